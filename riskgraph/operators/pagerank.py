@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskgraph.session import cut_lineage
+from riskgraph.session import bucketed_table, cut_lineage
 
 
 def edge_shares(edges: DataFrame, weighted: bool) -> DataFrame:
@@ -32,36 +32,49 @@ def edge_shares(edges: DataFrame, weighted: bool) -> DataFrame:
 
 
 def pagerank_many(nodes: DataFrame, variants: dict[str, tuple[DataFrame, bool]],
-                  damping: float = 0.85, max_iter: int = 20, tol: float | None = None) -> DataFrame:
+                  damping: float = 0.85, max_iter: int = 20, tol: float | None = None,
+                  cut_every: int = 5) -> DataFrame:
     """Run PageRank for every variant ``name -> (edges(src,dst,w), weighted)``.
 
     Returns ``(variant, guid, pagerank)`` for every node of ``nodes`` and
-    every variant. The share table is checkpointed once; the rank table is
-    checkpointed every round so a lost executor never replays the loop.
+    every variant. The share table is written once, bucketed on
+    ``(variant, src)``: each round's join of ranks to edges then shuffles
+    only the rank side, never the edges. A round reads the previous ranks
+    once (new ranks come from the static node table left-joined to the
+    incoming contributions), so several rounds can share one plan; the
+    ranks are written out every ``cut_every`` rounds, and every round when
+    a tolerance needs the change between rounds.
     """
+    spark = nodes.sparkSession
     names = list(variants)
     shares = [edge_shares(e, weighted).select(F.lit(n).alias("variant"), "src", "dst", "share")
               for n, (e, weighted) in variants.items()]
-    e_all = cut_lineage(reduce(DataFrame.unionByName, shares).repartition("variant", "src"))
+    n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    e_all = bucketed_table(reduce(DataFrame.unionByName, shares), ["variant", "src"], n_buckets)
     base = 1.0 - damping
-    ranks = nodes.select("guid").select(
-        F.explode(F.array(*[F.lit(n) for n in names])).alias("variant"), "guid",
-        F.lit(base).alias("pr"))
-    ranks = cut_lineage(ranks.repartition("variant", "guid"))
-    for _ in range(max_iter):
+    node_variants = cut_lineage(nodes.select(
+        F.explode(F.array(*[F.lit(n) for n in names])).alias("variant"), "guid"))
+    ranks = node_variants.withColumn("pr", F.lit(base))
+    since_cut = 0
+    for it in range(max_iter):
         contrib = (e_all.join(ranks.withColumnRenamed("guid", "src"), ["variant", "src"])
                    .groupBy("variant", F.col("dst").alias("guid"))
                    .agg(F.sum(F.col("pr") * F.col("share")).alias("s")))
-        new = ranks.join(contrib, ["variant", "guid"], "left").select(
-            "variant", "guid",
-            (F.lit(base) + F.lit(damping) * F.coalesce(F.col("s"), F.lit(0.0))).alias("pr"),
-            F.abs(F.lit(base) + F.lit(damping) * F.coalesce(F.col("s"), F.lit(0.0)) - F.col("pr")).alias("delta"))
-        new = cut_lineage(new)
-        ranks = new.select("variant", "guid", "pr")
+        new = node_variants.join(contrib, ["variant", "guid"], "left").select(
+            "variant", "guid", (F.lit(base) + F.lit(damping) * F.coalesce(F.col("s"), F.lit(0.0))).alias("pr"))
+        since_cut += 1
         if tol is not None:
-            moved = new.agg(F.max("delta").alias("m")).first()["m"] or 0.0
+            new = cut_lineage(new)
+            moved = (new.join(ranks.withColumnRenamed("pr", "old"), ["variant", "guid"])
+                     .agg(F.max(F.abs(F.col("pr") - F.col("old"))).alias("m")).first()["m"] or 0.0)
+            ranks = new
             if moved < tol:
                 break
+        elif since_cut >= cut_every or it == max_iter - 1:
+            ranks = cut_lineage(new)
+            since_cut = 0
+        else:
+            ranks = new
     return ranks.withColumnRenamed("pr", "pagerank")
 
 

@@ -185,9 +185,15 @@ SELECT guid, fraudMoneyTransfer, moneyTransferErrorCancelAmount, lastOrderDate F
 QUALIFY row_number() OVER (PARTITION BY guid ORDER BY lastOrderDate DESC, seq DESC) = 1""")
 _cte("fscore", ["ur", "g_id", "risk_deg"], """
 SELECT ur.guid, ur.fraudRisk AS label,
-       coalesce((SELECT avg(CAST(d.fraudRiskDegree AS DOUBLE) / d.degree) FROM g_id i
-                 JOIN risk_deg d ON d.guid = i.end_guid WHERE i.start_guid = ur.guid), 0.0) AS score
+       round(coalesce((SELECT avg(CAST(d.fraudRiskDegree AS DOUBLE) / d.degree) FROM g_id i
+                       JOIN risk_deg d ON d.guid = i.end_guid WHERE i.start_guid = ur.guid), 0.0) + 1e-9, 6) AS score
 FROM ur""")
+_cte("curve", ["fscore"], """
+SELECT threshold,
+       CAST(sum(pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS tp,
+       CAST(sum(n - pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS fp,
+       sum(pos) OVER () AS P, sum(n - pos) OVER () AS N
+FROM (SELECT round(score, 6) AS threshold, sum(label) AS pos, count(*) AS n FROM fscore GROUP BY 1) s""")
 
 
 def _with(*names: str) -> str:
@@ -440,6 +446,20 @@ GROUP BY s.node2 ORDER BY totalScore DESC, userId"""),
     "pagerank_weighted_p2p_received": _pr("pagerank_weighted_p2p_received"),
     "user_feature_table": _q(["feat"], "SELECT guid, fraudMoneyTransfer, wccId, fraudRisk, "
                              + ", ".join(_fcol(c) for c in _FEATURES) + " FROM feat"),
+    "accuracy": _q(["fscore"], """
+SELECT round(avg(CASE WHEN CAST(score >= 0.5 AS INTEGER) = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy
+FROM fscore"""),
+    "confusion_matrix": _q(["fscore"], """
+SELECT label, predicted, cnt, round(cnt / sum(cnt) OVER (PARTITION BY label), 6) AS rate
+FROM (SELECT label, CAST(score >= 0.5 AS INTEGER) AS predicted, count(*) AS cnt FROM fscore GROUP BY 1, 2) c"""),
+    "roc_points": _q(["curve"], """
+SELECT threshold, tp, fp, round(tp / NULLIF(P, 0), 6) AS tpr, round(fp / NULLIF(N, 0), 6) AS fpr FROM curve"""),
+    "pr_points": _q(["curve"], """
+SELECT threshold, tp, fp, round(tp / NULLIF(tp + fp, 0), 6) AS precision, round(tp / NULLIF(P, 0), 6) AS recall
+FROM curve"""),
+    "score_write_back": _q(["g_user", "fscore"], """
+SELECT u.guid, f.score AS predictedProbability
+FROM g_user u LEFT JOIN fscore f ON f.guid = u.guid AND f.score > 0.88 AND f.label = 0"""),
     "ml_training_set": _q(["feat"], "SELECT guid, " + ", ".join(_fcol(c) for c in _FEATURES_10)
                           + ", fraudRisk - fraudMoneyTransfer AS label FROM feat"),
 }

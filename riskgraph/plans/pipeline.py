@@ -17,6 +17,7 @@ from riskgraph.functions.exprs import inverse_degree_weight, ratio
 from riskgraph.operators import degree as deg
 from riskgraph.operators.components import wcc
 from riskgraph.operators.graph import Graph
+from riskgraph.operators.louvain import louvain, symmetric_entries
 from riskgraph.operators.pagerank import pagerank_many
 from riskgraph.operators.resolve import er_p2p_shared_card, er_shared_ids, label_fraud_risk
 from riskgraph.operators.similarity import node_similarity
@@ -165,6 +166,12 @@ class FraudPipeline:
                 .select("guid", "wccId", "communitySize",
                         (F.col("communitySize") > 1).cast("int").alias("partOfCommunity")))
 
+    @cached_property
+    def features(self) -> DataFrame:
+        """The feature table, materialised once (read by training, scoring
+        and importance)."""
+        return cut_lineage(self.feature_table())
+
     def feature_table(self) -> DataFrame:
         """One row per user: ids, labels and the 18 features."""
         u = self.users_risk
@@ -191,9 +198,55 @@ class FraudPipeline:
         per_user = (self.id_edges.join(rd, "end_guid")
                     .groupBy(F.col("start_guid").alias("guid"))
                     .agg(F.avg("r").alias("score")))
+        # Rounded (with a 1e-9 nudge against summation-order noise) so the
+        # score is the same number in every engine.
         return (self.users_risk.select("guid", F.col("fraudRisk").alias("label"))
                 .join(per_user, "guid", "left")
-                .select("guid", "label", F.coalesce(F.col("score"), F.lit(0.0)).alias("score")))
+                .select("guid", "label",
+                        F.round(F.coalesce(F.col("score"), F.lit(0.0)) + F.lit(1e-9), 6).alias("score")))
+
+    def fixed_predictions(self, threshold: float = 0.5) -> DataFrame:
+        return self.fixed_score().withColumn("prediction", (F.col("score") >= threshold).cast("int"))
+
+    # ---- Louvain ---------------------------------------------------------
+    def louvain_graph(self) -> tuple[DataFrame, DataFrame]:
+        """Nodes User+Card+Device (string ids) and symmetric entries of
+        HAS_CC and USED (undirected, parallel edges kept) and P2P (directed,
+        one edge per pair)."""
+        g = self.g
+        nodes = (g.users.select(F.col("guid").cast("string").alias("node"))
+                 .unionByName(g.nodes["Card"].select(F.col("guid").alias("node")))
+                 .unionByName(g.nodes["Device"].select(F.col("guid").alias("node"))))
+        und = g.identifier_edges(("HAS_CC", "USED")).select(
+            F.col("start_guid").cast("string").alias("src"), F.col("end_guid").alias("dst"), F.lit(1.0).alias("w"))
+        p2p = self.p2p.select(F.col("start_guid").cast("string").alias("src"),
+                              F.col("end_guid").cast("string").alias("dst")).distinct() \
+            .withColumn("w", F.lit(1.0))
+        return nodes, symmetric_entries(und, p2p)
+
+    @cached_property
+    def louvain_labels(self) -> DataFrame:
+        """(node, community) for User, Card and Device nodes."""
+        nodes, edges = self.louvain_graph()
+        return louvain(nodes, edges)
+
+    # ---- model -------------------------------------------------------------
+    @cached_property
+    def forest(self):
+        """(assembler, model, train, test) of the random forest."""
+        from riskgraph.plans import model as mdl
+        from riskgraph.plans.queries import FEATURES_10
+        t = self.features.select("guid", *FEATURES_10,
+                                 (F.col("fraudRisk") - F.col("fraudMoneyTransfer")).alias("label"))
+        train, test = mdl.split(t)
+        asm, model = mdl.fit_forest(train, FEATURES_10)
+        return asm, model, train, test
+
+    @cached_property
+    def rf_predictions(self) -> DataFrame:
+        from riskgraph.plans import model as mdl
+        asm, model, _, test = self.forest
+        return cut_lineage(mdl.score(asm, model, test))
 
 
 _CACHE: dict = {}

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from riskgraph.functions.exprs import r6
 from riskgraph.operators import degree as deg
 from riskgraph.operators.graph import NATURAL, REVERSE, UNDIRECTED, orient, project, projection_counts
-from riskgraph.plans import reports
+from riskgraph.plans import metrics, model, reports
 from riskgraph.plans.pipeline import pipeline_for
 from riskgraph.sources import files, sinks
 from riskgraph.sources.overlay import _read, overlay_p2p, overlay_tables
@@ -317,17 +317,101 @@ def _fmt(c):
 
 
 def user_feature_table(spark, sf):
-    t = _p(spark, sf).feature_table()
+    t = _p(spark, sf).features
     cols = [_fmt(c) for c in FEATURE_COLUMNS]
     return t.select("guid", "fraudMoneyTransfer", "wccId", "fraudRisk", *cols)
 
 
 def ml_training_set(spark, sf):
-    t = _p(spark, sf).feature_table()
+    t = _p(spark, sf).features
     cols = [_fmt(c) for c in FEATURES_10]
     return t.select("guid", *cols, (F.col("fraudRisk") - F.col("fraudMoneyTransfer")).alias("label"))
 
 
+# ---- milestone 7: metrics on a fixed score, forest ----------------------
+def accuracy(spark, sf):
+    return metrics.accuracy(_p(spark, sf).fixed_predictions())
+
+
+def confusion_matrix(spark, sf):
+    return metrics.confusion(_p(spark, sf).fixed_predictions())
+
+
+def roc_points(spark, sf):
+    return metrics.roc_points(_p(spark, sf).fixed_score())
+
+
+def pr_points(spark, sf):
+    return metrics.pr_points(_p(spark, sf).fixed_score())
+
+
+def score_write_back(spark, sf):
+    p = _p(spark, sf)
+    short = (p.fixed_score().where((F.col("score") > 0.88) & (F.col("label") == 0))
+             .select("guid", F.col("score").alias("predictedProbability")))
+    return sinks.write_back(p.users.select("guid"), short, "predictedProbability")
+
+
+def rf_predictions(spark, sf):
+    pr = _p(spark, sf).rf_predictions
+    return pr.select("guid", "label", F.col("prediction").cast("int").alias("prediction"),
+                     r6("probability").alias("probability"))
+
+
+def rf_accuracy(spark, sf):
+    return metrics.accuracy(_p(spark, sf).rf_predictions)
+
+
+def rf_confusion_matrix(spark, sf):
+    return metrics.confusion(_p(spark, sf).rf_predictions)
+
+
+def rf_roc_points(spark, sf):
+    return metrics.roc_points(_p(spark, sf).rf_predictions, score="probability")
+
+
+def rf_pr_points(spark, sf):
+    return metrics.pr_points(_p(spark, sf).rf_predictions, score="probability")
+
+
+def permutation_importance(spark, sf):
+    p = _p(spark, sf)
+    asm, model_, train, _ = p.forest
+    return model.permutation_importance(asm, model_, train, FEATURES_10)
+
+
+def rf_shortlist(spark, sf):
+    p = _p(spark, sf)
+    s = model.shortlist(p.rf_predictions).select("guid", "probability")
+    return (s.join(p.community_features(), "guid")
+            .select("guid", "wccId", "communitySize", r6("probability").alias("predictedProbability")))
+
+
+def rf_write_back(spark, sf):
+    p = _p(spark, sf)
+    s = model.shortlist(p.rf_predictions).select("guid", r6("probability").alias("predictedProbability"))
+    return sinks.write_back(p.users.select("guid"), s, "predictedProbability")
+
+
+# ---- milestone 8: Louvain ---------------------------------------------------
+def louvain(spark, sf):
+    p = _p(spark, sf)
+    lab = p.louvain_labels
+    return (p.users.select("guid", F.col("guid").cast("string").alias("node"))
+            .join(lab, "node").select("guid", F.col("community").alias("louvainCommunityId")))
+
+
+def louvain_report(spark, sf):
+    p = _p(spark, sf)
+    users = p.users.join(louvain(spark, sf), "guid")
+    return reports.community_report(users, "louvainCommunityId", 100)
+
+
+def louvain_subgraph(spark, sf):
+    p = _p(spark, sf)
+    return reports.community_subgraph(p, louvain(spark, sf), "louvainCommunityId")
+
+
 QUERIES = {
     "identifier_degrees": identifier_degrees,
     "id_ratios": id_ratios,
@@ -382,4 +466,20 @@ QUERIES = {
     "pagerank_weighted_p2p_received": _pr("pagerank_weighted_p2p_received"),
     "user_feature_table": user_feature_table,
     "ml_training_set": ml_training_set,
+    "accuracy": accuracy,
+    "confusion_matrix": confusion_matrix,
+    "roc_points": roc_points,
+    "pr_points": pr_points,
+    "score_write_back": score_write_back,
+    "rf_predictions": rf_predictions,
+    "rf_accuracy": rf_accuracy,
+    "rf_confusion_matrix": rf_confusion_matrix,
+    "rf_roc_points": rf_roc_points,
+    "rf_pr_points": rf_pr_points,
+    "permutation_importance": permutation_importance,
+    "rf_shortlist": rf_shortlist,
+    "rf_write_back": rf_write_back,
+    "louvain": louvain,
+    "louvain_report": louvain_report,
+    "louvain_subgraph": louvain_subgraph,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,19 +65,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the reliable checkpoint folder and cut its lineage.
+    """Materialise ``df`` as a Parquet table in the reliable checkpoint
+    folder and continue from that table.
 
     Used by the iterative algorithms once per round: a lost executor then
-    re-reads the checkpoint instead of replaying every earlier round.
+    re-reads the table instead of replaying every earlier round. A written
+    table is preferred over ``Dataset.checkpoint()`` because a checkpoint
+    keeps the size estimate of the plan it replaced; in a loop that joins a
+    frame with something derived from itself the estimate squares every
+    round (and eventually exhausts the driver), while a read-back table
+    carries its true file size, which is also what AQE and the broadcast
+    threshold should see.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_dir(spark, f"tables/{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def bucketed_table(df: DataFrame, cols: list[str], buckets: int) -> DataFrame:
+    """Write ``df`` once as a table bucketed (and sorted) on ``cols`` in the
+    checkpoint folder. Joins on ``cols`` against it then shuffle only the
+    other side, which is what an iterative job over a fixed edge table
+    wants every round."""
+    spark = df.sparkSession
+    name = f"rg_{uuid.uuid4().hex}"
+    path = scratch_dir(spark, f"tables/{name}")
+    (df.write.mode("overwrite").bucketBy(buckets, *cols).sortBy(*cols)
+     .option("path", path).saveAsTable(name))
+    return spark.table(name)
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A folder for written intermediate tables, beside the checkpoints."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    path = os.path.join(base, name)
-    return path
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/{name}"
