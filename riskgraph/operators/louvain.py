@@ -6,11 +6,11 @@ neighbouring community with the best modularity gain; phase 2 contracts
 communities into nodes (self-loops keep the internal weight) and repeats.
 
 Parallel (synchronous) moves can swap two nodes forever, so in each round
-only the nodes whose hash parity matches the round may move. Every round
-is a handful of joins and partial aggregates over the edge table; the
-best target per node is a ``min`` over (-gain, community) structs, a
-partial aggregate, so a hub's many neighbour communities are combined
-map-side. Node and community tables are checkpointed every round.
+only the nodes whose hash parity matches the round may move. Every round is a handful of joins and partial aggregates
+over the edge table; the best target per node is a ``min`` over
+(-score, community) structs, a partial aggregate, so a hub's many
+neighbour communities are combined map-side. The community table is
+written out every round.
 
 Graph convention: ``edges`` are symmetric entries ``(src, dst, w)``; an
 undirected edge appears as two entries, a self-loop entry carries the
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskgraph.session import cut_lineage
+from riskgraph.session import cut_lineage, cut_lineage_observed
 
 
 def symmetric_entries(undirected: DataFrame | None = None, directed: DataFrame | None = None) -> DataFrame:
@@ -59,42 +59,52 @@ def modularity(edges: DataFrame, assign: DataFrame) -> float:
 
 
 def _one_level(nodes: DataFrame, edges: DataFrame, two_m: float, level: int, max_iter: int,
-               min_moved_fraction: float) -> tuple[DataFrame, int]:
+               min_moved_fraction: float, tolerance: float) -> tuple[DataFrame, int]:
     """Local moving on one level. Returns ``(node, community)`` and the
-    number of moves made."""
+    number of moves made.
+
+    For node i in C with degree k, the gain of moving to D is
+    ``(kin_D - kin_C)/m - k (tot_D - tot_C + k) / (2 m^2)``; its arg max over
+    D depends only on ``kin_D/m - k tot_D/(2 m^2)``, so the best target, the
+    weight into the own community and the final gain all come out of ONE
+    partial aggregate per node. Only a hash-chosen half of the nodes may
+    move in a round, so neighbours rarely swap places; a round that gains
+    less than ``tolerance`` (sum of the movers' gains) ends the level.
+    """
     m = two_m / 2.0
-    k = cut_lineage(nodes.join(edges.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k")), "node", "left")
-                    .select("node", F.coalesce(F.col("k"), F.lit(0.0)).alias("k"), F.col("node").alias("c")))
-    n_nodes = k.count()
-    comm = k
+    comm, obs = cut_lineage_observed(
+        nodes.join(edges.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k")), "node", "left")
+        .select("node", F.coalesce(F.col("k"), F.lit(0.0)).alias("k"), F.col("node").alias("c")),
+        n=F.count(F.lit(1)))
+    n_nodes = obs["n"]
     links = edges.where(F.col("src") != F.col("dst"))
     total_moves = 0
     for it in range(max_iter):
         tot = comm.groupBy("c").agg(F.sum("k").alias("tot"))
-        nb = (links.join(comm.select(F.col("node").alias("dst"), F.col("c").alias("cv")), "dst")
-              .groupBy(F.col("src").alias("node"), "cv").agg(F.sum("w").alias("kin")))
-        x = nb.join(comm, "node")
-        own = x.where(F.col("cv") == F.col("c")).select("node", F.col("kin").alias("kin_own"))
-        cur = (comm.join(own, "node", "left").join(tot, "c")
-               .select("node", "c", "k", F.coalesce("kin_own", F.lit(0.0)).alias("kin_own"), F.col("tot").alias("tot_c")))
-        cand = (x.where(F.col("cv") != F.col("c")).select("node", "cv", "kin")
-                .join(tot.select(F.col("c").alias("cv"), F.col("tot").alias("tot_d")), "cv")
-                .join(cur, "node"))
-        gain = ((F.col("kin") - F.col("kin_own")) / F.lit(m)
-                - F.col("k") * (F.col("tot_d") - F.col("tot_c") + F.col("k")) / F.lit(2.0 * m * m))
-        best = (cand.select("node", gain.alias("gain"), "cv")
-                .groupBy("node").agg(F.min(F.struct((-F.col("gain")).alias("ng"), F.col("cv"))).alias("b")))
+        kin = (links.join(comm.select(F.col("node").alias("dst"), F.col("c").alias("cv")), "dst")
+               .groupBy(F.col("src").alias("node"), "cv").agg(F.sum("w").alias("kin")))
+        rows = (kin.join(comm, "node")
+                .join(tot.select(F.col("c").alias("cv"), F.col("tot").alias("tot_d")), "cv"))
+        score = F.col("kin") / F.lit(m) - F.col("k") * F.col("tot_d") / F.lit(2.0 * m * m)
+        best = rows.groupBy("node").agg(
+            F.min(F.when(F.col("cv") != F.col("c"),
+                         F.struct((-score).alias("ns"), F.col("cv").alias("cv")))).alias("b"),
+            F.sum(F.when(F.col("cv") == F.col("c"), F.col("kin")).otherwise(0.0)).alias("kin_own"))
+        cur = comm.join(tot, "c").join(best, "node", "left")
+        gain = (-F.col("b.ns") - F.col("kin_own") / F.lit(m)
+                + F.col("k") * (F.col("tot") - F.col("k")) / F.lit(2.0 * m * m))
         eligible = F.pmod(F.xxhash64(F.col("node"), F.lit(level), F.lit(it)), F.lit(2)) == 0
-        moved = (comm.join(best, "node", "left")
-                 .withColumn("go", F.col("b").isNotNull() & (-F.col("b.ng") > F.lit(1e-12)) & eligible))
-        comm_next = cut_lineage(moved.select("node", F.when(F.col("go"), F.col("b.cv")).otherwise(F.col("c")).alias("c"),
-                                             "k", "go"))
-        n_moved = comm_next.where(F.col("go")).count()
-        comm = comm_next.drop("go")
+        go = F.col("b").isNotNull() & (gain > F.lit(1e-12)) & eligible
+        comm, r = cut_lineage_observed(
+            cur.select("node", F.when(go, F.col("b.cv")).otherwise(F.col("c")).alias("c"), "k",
+                       F.when(go, gain).alias("gain")),
+            n=F.count("gain"), g=F.sum("gain"))
+        n_moved, gained = r["n"], r["g"] or 0.0
+        comm = comm.drop("gain")
         total_moves += n_moved
         if n_moved == 0 and it > 0:
             break
-        if n_nodes and n_moved < min_moved_fraction * n_nodes and it > 1:
+        if it > 0 and (gained < tolerance or n_moved < min_moved_fraction * n_nodes):
             break
     return comm.select("node", F.col("c").alias("community")), total_moves
 
@@ -115,7 +125,7 @@ def louvain(nodes: DataFrame, edges: DataFrame, max_levels: int = 10, max_iter:
     level_nodes = nodes.select("node")
     q_prev = modularity(edges, level_nodes.select("node", F.col("node").alias("community")))
     for level in range(max_levels):
-        comm, moves = _one_level(level_nodes, edges, two_m, level, max_iter, min_moved_fraction)
+        comm, moves = _one_level(level_nodes, edges, two_m, level, max_iter, min_moved_fraction, tolerance)
         if moves == 0:
             break
         assign = cut_lineage(assign.join(comm.select(F.col("node").alias("community"),

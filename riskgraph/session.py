@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 # Settings that matter at any scale: AQE re-plans joins from measured shuffle
 # sizes (runtime broadcast only when the built side is measured small), splits
@@ -83,6 +83,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def cut_lineage_observed(df: DataFrame, **metrics) -> tuple[DataFrame, dict]:
+    """``cut_lineage`` that also returns aggregate metrics of the written
+    rows (``name=Column`` aggregates), gathered by the same job through
+    ``DataFrame.observe``: a loop's stopping scalar costs no extra pass."""
+    obs = Observation(f"obs_{uuid.uuid4().hex}")
+    observed = df.observe(obs, *[c.alias(n) for n, c in metrics.items()])
+    out = cut_lineage(observed)
+    return out, obs.get
+
+
 def bucketed_table(df: DataFrame, cols: list[str], buckets: int) -> DataFrame:
     """Write ``df`` once as a table bucketed (and sorted) on ``cols`` in the
     checkpoint folder. Joins on ``cols`` against it then shuffle only the
