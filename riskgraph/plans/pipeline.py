@@ -46,15 +46,22 @@ PAGERANK_FEATURES = {
 
 class FraudPipeline:
     def __init__(self, spark: SparkSession, graph: Graph, pagerank_iter: int = PAGERANK_ITER,
-                 pagerank_tol: float | None = None):
+                 pagerank_tol: float | None = None, exclusive_ids: str = "infinite"):
+        """``exclusive_ids``: weight of a degree-1 identifier in the
+        similarity graph, ``"infinite"`` (IEEE 1/0, its owner then scores 0
+        with everyone) or ``"ignore"`` (such identifiers are left out)."""
         self.spark = spark
         self.g = graph
         self.pagerank_iter = pagerank_iter
         self.pagerank_tol = pagerank_tol
+        if exclusive_ids not in ("infinite", "ignore"):
+            raise ValueError("exclusive_ids must be 'infinite' or 'ignore'")
+        self.exclusive_ids = exclusive_ids
 
     @classmethod
-    def for_testdata(cls, spark: SparkSession, sf_dir: str) -> "FraudPipeline":
-        return cls(spark, overlay_graph(spark, sf_dir))
+    def for_testdata(cls, spark: SparkSession, sf_dir: str, parallel_edges: str = "keep",
+                     **kw) -> "FraudPipeline":
+        return cls(spark, overlay_graph(spark, sf_dir, parallel_edges), **kw)
 
     # ---- base frames -------------------------------------------------
     @property
@@ -121,6 +128,8 @@ class FraudPipeline:
         d = self.id_degrees().select(F.col("guid").alias("end_guid"), "degree")
         touched = self.risk_touched_ids().withColumnRenamed("guid", "end_guid")
         e = self.id_edges.join(touched, "end_guid", "left_semi").join(d, "end_guid")
+        if self.exclusive_ids == "ignore":
+            e = e.where(F.col("degree") > 1)
         return e.select("start_guid", "end_guid", "end_label",
                         inverse_degree_weight("degree").alias("inverseDegreeWeight"))
 
@@ -242,6 +251,14 @@ class FraudPipeline:
         asm, model = mdl.fit_forest(train, FEATURES_10)
         return asm, model, train, test
 
+    def importance(self, dataset: str = "train") -> DataFrame:
+        """Permutation importance on the training rows (as the analysis
+        does) or on the held-out rows (``dataset="test"``)."""
+        from riskgraph.plans import model as mdl
+        from riskgraph.plans.queries import FEATURES_10
+        asm, model, train, test = self.forest
+        return mdl.permutation_importance(asm, model, train if dataset == "train" else test, FEATURES_10)
+
     @cached_property
     def rf_predictions(self) -> DataFrame:
         from riskgraph.plans import model as mdl

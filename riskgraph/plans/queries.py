@@ -375,9 +375,7 @@ def rf_pr_points(spark, sf):
 
 
 def permutation_importance(spark, sf):
-    p = _p(spark, sf)
-    asm, model_, train, _ = p.forest
-    return model.permutation_importance(asm, model_, train, FEATURES_10)
+    return _p(spark, sf).importance("train")
 
 
 def rf_shortlist(spark, sf):

@@ -126,10 +126,11 @@ def _labelled_transfers(p: FraudPipeline) -> DataFrame:
                            F.col("fraudRisk").alias("r2")), "end_guid"))
 
 
-def weighted_degree_top(p: FraudPipeline, top: int = 10) -> DataFrame:
+def weighted_degree_top(p: FraudPipeline, top: int = 10, key: str = "uid8") -> DataFrame:
     """Non-risk users ranked by the summed fraudRiskRatio of their edges to
     identifiers that touch a risk user; average >= 0.25; top 10. Users are
-    grouped by their 8-character display id."""
+    grouped by their 8-character display id (``key="uid8"``, as the
+    analysis does, which merges colliding prefixes) or by ``guid``."""
     rd = p.risk_degrees().select(F.col("guid").alias("end_guid"),
                                  ratio("fraudRiskDegree", "degree").alias("fraudRiskRatio"))
     touched = p.risk_touched_ids().withColumnRenamed("guid", "end_guid")
@@ -137,7 +138,8 @@ def weighted_degree_top(p: FraudPipeline, top: int = 10) -> DataFrame:
     e = (p.id_edges.join(touched, "end_guid", "left_semi")
          .join(non_risk, "start_guid", "left_semi")
          .join(rd, "end_guid"))
-    g = e.groupBy(uid8("start_guid").alias("uid")).agg(
+    k = uid8("start_guid") if key == "uid8" else F.col("start_guid").cast("string")
+    g = e.groupBy(k.alias("uid")).agg(
         F.sum("fraudRiskRatio").alias("totalIdFraudRisk"),
         F.count(F.lit(1)).alias("numberFraudRiskIds"))
     g = g.withColumn("averageFraudIdRisk", F.col("totalIdFraudRisk") / F.col("numberFraudRiskIds"))

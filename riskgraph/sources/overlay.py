@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskgraph.operators.graph import Graph
-from riskgraph.sources.sinks import attach_edges
+from riskgraph.sources.sinks import attach_edges, last_row_per_key, merge_edges
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -100,11 +100,18 @@ _DATE_COL = {"HAS_CC": "cardDate", "USED": "deviceDate", "HAS_IP": "ipDate"}
 _LABEL = {"HAS_CC": "Card", "USED": "Device", "HAS_IP": "IP"}
 
 
-def overlay_graph(spark: SparkSession, sf_dir: str) -> Graph:
+def overlay_graph(spark: SparkSession, sf_dir: str, parallel_edges: str = "keep") -> Graph:
     """Build the graph: nodes first, then edges attached to existing nodes
-    (edges with a missing endpoint are dropped, parallel edges kept)."""
+    (edges with a missing endpoint are dropped). ``parallel_edges="keep"``
+    appends every row; ``"merge"`` keeps one edge per (start, end), the last
+    by date (then amount, then source order)."""
     users = overlay_users(spark, sf_dir)
     id_edges = overlay_identifier_edges(spark, sf_dir)
+    if parallel_edges == "merge":
+        # the date is the only property, so rows tied on it are identical
+        id_edges = last_row_per_key(id_edges, ["start_guid", "end_guid", "rel"], ["edgeDate"])
+    elif parallel_edges != "keep":
+        raise ValueError("parallel_edges must be 'keep' or 'merge'")
     edges: dict[str, DataFrame] = {}
     nodes: dict[str, DataFrame] = {"User": users}
     for t in ("HAS_CC", "USED", "HAS_IP"):
@@ -113,11 +120,16 @@ def overlay_graph(spark: SparkSession, sf_dir: str) -> Graph:
         edges[t] = e
         nodes[_LABEL[t]] = e.select(F.col("end_guid").alias("guid")).distinct()
     p2p = overlay_p2p(spark, sf_dir)
-    edges["P2P"] = attach_edges(p2p, users, users).drop("_order")
+    if parallel_edges == "merge":
+        edges["P2P"] = merge_edges(p2p, users, users, ["transactionDateTime", "totalAmount", "_order"]).drop("_order")
+    else:
+        edges["P2P"] = attach_edges(p2p, users, users).drop("_order")
     edges["REFERRED"] = attach_edges(overlay_referred(spark, sf_dir), users, users)
+    if parallel_edges == "merge":
+        edges["REFERRED"] = edges["REFERRED"].distinct()
     return Graph(nodes=nodes, edges=edges,
                  id_edges=id_edges.select("start_guid", "end_guid", "rel", "end_label"),
-                 meta={"sf_dir": sf_dir})
+                 meta={"sf_dir": sf_dir, "parallel_edges": parallel_edges})
 
 
 def overlay_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
