@@ -264,6 +264,7 @@ def _pr(v):
 
 SQL: dict[str, str] = {
     "identifier_degrees": _q(["id_deg"], "SELECT label, guid, degree, flaggedDegree FROM id_deg"),
+    "stream_identifier_degrees": _q(["id_deg"], "SELECT label, guid, degree FROM id_deg"),
     "id_ratios": _q(["id_deg"], """
 SELECT label, guid, degree, flaggedDegree, round(CAST(flaggedDegree AS DOUBLE) / degree, 6) AS flaggedRatio
 FROM id_deg"""),

@@ -410,6 +410,12 @@ def louvain_subgraph(spark, sf):
     return reports.community_subgraph(p, louvain(spark, sf), "louvainCommunityId")
 
 
+# ---- streaming ---------------------------------------------------------------
+def stream_identifier_degrees(spark, sf):
+    from riskgraph.streaming.ingest import streamed_identifier_degrees
+    return streamed_identifier_degrees(spark, sf)
+
+
 QUERIES = {
     "identifier_degrees": identifier_degrees,
     "id_ratios": id_ratios,
@@ -480,4 +486,5 @@ QUERIES = {
     "louvain": louvain,
     "louvain_report": louvain_report,
     "louvain_subgraph": louvain_subgraph,
+    "stream_identifier_degrees": stream_identifier_degrees,
 }

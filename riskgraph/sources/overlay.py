@@ -48,13 +48,20 @@ def overlay_identifier_edges(spark: SparkSession, sf_dir: str, types=("HAS_CC",
     lineitem joined once to orders: ``(start_guid, end_guid, rel, end_label,
     edgeDate)``. The scan reads five lineitem columns with the flag/line
     predicates pushed into Parquet."""
+    return identifier_edges_from(_read(spark, sf_dir, "lineitem"), _read(spark, sf_dir, "orders"), types)
+
+
+def identifier_edges_from(lineitem: DataFrame, orders: DataFrame,
+                          types=("HAS_CC", "USED", "HAS_IP")) -> DataFrame:
+    """The identifier-edge derivation over given line items (a batch or a
+    stream) and orders (batch)."""
     flags = {"HAS_CC": "R", "USED": "A", "HAS_IP": "N"}
     wanted = [flags[t] for t in types]
-    li = (_read(spark, sf_dir, "lineitem")
+    li = (lineitem
           .where(F.col("l_returnflag").isin(*wanted) & (F.col("l_linenumber") <= 2))
           .where((F.col("l_returnflag") == "N") | (F.col("l_linenumber") == 1))
           .select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate"))
-    o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    o = orders.select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     flag = F.col("l_returnflag")
     rel = (F.when(flag == "R", F.lit("HAS_CC"))
