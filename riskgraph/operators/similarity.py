@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskgraph.session import cut_lineage
+
 
 def _weight_class(w):
     return F.floor(F.log2(w))
@@ -62,24 +64,71 @@ def pair_scores(members: DataFrame, pairs: DataFrame) -> DataFrame:
     return inter.select("a", "b", (F.col("I") / (F.col("Wa") + F.col("Wb") - F.col("I"))).alias("similarity"))
 
 
+def copy_groups(members: DataFrame) -> DataFrame:
+    """``(node, grp)``: nodes with identical (item, weight) sets share ``grp``
+    (the smallest node of the group). The set signature is two independent
+    order-free 64-bit hash XORs (items are distinct per node) plus the size,
+    all partial aggregates, so a group holding a third of the nodes is
+    combined map-side."""
+    sig = members.groupBy("node").agg(
+        F.bit_xor(F.xxhash64("item", "w")).alias("h1"),
+        F.bit_xor(F.xxhash64(F.lit(17), "item", "w")).alias("h2"),
+        F.count(F.lit(1)).alias("n"))
+    grp = sig.groupBy("h1", "h2", "n").agg(F.min("node").alias("grp"))
+    return sig.join(grp, ["h1", "h2", "n"]).select("node", "grp")
+
+
+def _smallest_members(groups: DataFrame, k: int) -> DataFrame:
+    """The ``k`` smallest nodes of every group ``(grp, member)``. The
+    row_number filter is planned as a window group limit, applied before
+    the shuffle too, so a huge group ships only k rows per partition."""
+    w = Window.partitionBy("grp").orderBy("node")
+    return (groups.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k)
+            .select("grp", F.col("node").alias("member")))
+
+
 def node_similarity(members: DataFrame, cutoff: float = 0.01, top_k: int = 10) -> DataFrame:
     """``members``: ``(node, item, w)`` (parallel memberships are merged to one,
     keeping the largest weight). Returns directed ``(node1, node2,
     similarity)``: for every node its ``top_k`` most similar others with
     similarity >= ``cutoff``; ties go to the smaller id.
 
+    Nodes with identical item sets ("copies") are collapsed to one
+    representative first: copies are similar with score 1, and a copy's
+    score with anyone else equals its representative's. Pairs are then
+    scored between representatives only and expanded back, emitting at most
+    ``2 * top_k`` rows per node, so a copy group holding a third of all nodes
+    never produces its pairs.
+
     A node with an infinite total weight (it holds an item of infinite
     weight) has similarity 0 with everyone and is left out when
     ``cutoff > 0``.
     """
+    if cutoff <= 0:
+        raise ValueError("cutoff must be > 0 for the prefix filter")
     m = members.groupBy("node", "item").agg(F.max("w").alias("w"))
     inf = float("inf")
     finite_nodes = m.groupBy("node").agg(F.max("w").alias("mx")).where(F.col("mx") < inf).select("node")
-    m = m.join(finite_nodes, "node", "left_semi").where(F.col("w") > 0)
-    if cutoff <= 0:
-        raise ValueError("cutoff must be > 0 for the prefix filter")
-    scored = pair_scores(m, candidate_pairs(m, cutoff)).where(F.col("similarity") >= cutoff)
-    both = (scored.select(F.col("a").alias("node1"), F.col("b").alias("node2"), "similarity")
-            .unionByName(scored.select(F.col("b").alias("node1"), F.col("a").alias("node2"), "similarity")))
+    # members and copy groups are read by several branches: written once
+    m = cut_lineage(m.join(finite_nodes, "node", "left_semi").where(F.col("w") > 0))
+    groups = cut_lineage(copy_groups(m))
+    reps = groups.where(F.col("node") == F.col("grp")).select("node")
+    m_rep = m.join(reps, "node", "left_semi")
+    scored = pair_scores(m_rep, candidate_pairs(m_rep, cutoff)).where(F.col("similarity") >= cutoff)
+    rep_pairs = (scored.select(F.col("a").alias("g1"), F.col("b").alias("g2"), "similarity")
+                 .unionByName(scored.select(F.col("b").alias("g1"), F.col("a").alias("g2"), "similarity")))
+    smallest = _smallest_members(groups, top_k + 1)
+    # per representative: its best non-copy partners, expanded to members
+    by_rep = Window.partitionBy("g1").orderBy(F.round("similarity", 9).desc(), F.col("node2").asc())
+    rep_list = (rep_pairs.join(smallest.withColumnRenamed("grp", "g2"), "g2")
+                .select("g1", F.col("member").alias("node2"), "similarity")
+                .withColumn("__rn", F.row_number().over(by_rep)).where(F.col("__rn") <= top_k)
+                .drop("__rn"))
+    others = groups.withColumnRenamed("grp", "g1").join(rep_list, "g1").select(
+        F.col("node").alias("node1"), "node2", "similarity")
+    copies = (groups.join(smallest, "grp").where(F.col("member") != F.col("node"))
+              .select(F.col("node").alias("node1"), F.col("member").alias("node2"),
+                      F.lit(1.0).alias("similarity")))
+    both = copies.unionByName(others)
     w = Window.partitionBy("node1").orderBy(F.round("similarity", 9).desc(), F.col("node2").asc())
     return both.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= top_k).drop("__rn")

@@ -203,3 +203,26 @@ def test_louvain_two_cliques(spark):
     q = modularity(entries, spark.createDataFrame(list(res.items()), "node string, community string"))
     singles = modularity(entries, spark.createDataFrame([(n, n) for n in res], "node string, community string"))
     assert q > singles and q > 0.4
+
+
+def test_similarity_copy_groups_equal_brute_force(spark):
+    rnd = random.Random(11)
+    members = []
+    # a big group of copies (identical sets), a few smaller groups, and noise
+    for u in range(0, 60):
+        members += [(u, "a", 0.0), (u, "b", 0.0)]
+    for u in range(60, 75):
+        members += [(u, "a", 0.0), (u, "c", 0.0)]
+    for u in range(75, 120):
+        for _ in range(rnd.randint(1, 4)):
+            members.append((u, f"i{rnd.randrange(12)}", 0.0))
+        if u % 3 == 0:
+            members.append((u, "a", 0.0))
+    degree = {}
+    for u, i, _ in members:
+        degree[i] = degree.get(i, 0) + 1
+    members = [(u, i, float("inf") if degree[i] == 1 else 1.0 / (degree[i] - 1)) for u, i, _ in members]
+    df = spark.createDataFrame(members, "node long, item string, w double")
+    for cutoff, k in ((0.01, 10), (0.2, 4)):
+        got = sorted((r.node1, r.node2, round(r.similarity, 9)) for r in node_similarity(df, cutoff, k).collect())
+        assert got == _brute_similarity(members, cutoff, k)
