@@ -58,10 +58,12 @@ def modularity(edges: DataFrame, assign: DataFrame) -> float:
     return r["i"] / r["m2"] - r["t2"] / (r["m2"] * r["m2"])
 
 
-def _one_level(nodes: DataFrame, edges: DataFrame, two_m: float, level: int, max_iter: int,
-               min_moved_fraction: float, tolerance: float) -> tuple[DataFrame, int]:
-    """Local moving on one level. Returns ``(node, community)`` and the
-    number of moves made.
+def _one_level(edges: DataFrame, two_m: float, level: int, max_iter: int,
+               min_moved_fraction: float, tolerance: float) -> tuple[DataFrame, int, float]:
+    """Local moving on one level over the nodes that have edges (a node
+    without edges never moves). Returns ``(node, community)``, the number of
+    moves and the summed gain of the moves (the level's modularity gain,
+    up to simultaneous-move effects).
 
     For node i in C with degree k, the gain of moving to D is
     ``(kin_D - kin_C)/m - k (tot_D - tot_C + k) / (2 m^2)``; its arg max over
@@ -73,12 +75,12 @@ def _one_level(nodes: DataFrame, edges: DataFrame, two_m: float, level: int, max
     """
     m = two_m / 2.0
     comm, obs = cut_lineage_observed(
-        nodes.join(edges.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k")), "node", "left")
-        .select("node", F.coalesce(F.col("k"), F.lit(0.0)).alias("k"), F.col("node").alias("c")),
+        edges.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k"))
+        .select("node", "k", F.col("node").alias("c")),
         n=F.count(F.lit(1)))
     n_nodes = obs["n"]
     links = edges.where(F.col("src") != F.col("dst"))
-    total_moves = 0
+    total_moves, total_gain = 0, 0.0
     for it in range(max_iter):
         tot = comm.groupBy("c").agg(F.sum("k").alias("tot"))
         kin = (links.join(comm.select(F.col("node").alias("dst"), F.col("c").alias("cv")), "dst")
@@ -102,11 +104,12 @@ def _one_level(nodes: DataFrame, edges: DataFrame, two_m: float, level: int, max
         n_moved, gained = r["n"], r["g"] or 0.0
         comm = comm.drop("gain")
         total_moves += n_moved
+        total_gain += gained
         if n_moved == 0 and it > 0:
             break
         if it > 0 and (gained < tolerance or n_moved < min_moved_fraction * n_nodes):
             break
-    return comm.select("node", F.col("c").alias("community")), total_moves
+    return comm.select("node", F.col("c").alias("community")), total_moves, total_gain
 
 
 def louvain(nodes: DataFrame, edges: DataFrame, max_levels: int = 10, max_iter: int = 10,
@@ -114,30 +117,27 @@ def louvain(nodes: DataFrame, edges: DataFrame, max_levels: int = 10, max_iter:
     """Communities ``(node, community)`` for every node of ``nodes(node)``.
 
     ``edges``: symmetric entries ``(src, dst, w)`` (see ``symmetric_entries``).
-    Stops when a level moves no node, when modularity gains less than
-    ``tolerance``, or after ``max_levels``.
+    Stops when a level moves no node, when a level gains less than
+    ``tolerance`` modularity, or after ``max_levels``. Nodes without edges
+    stay in their own community.
     """
-    edges = cut_lineage(edges.groupBy("src", "dst").agg(F.sum("w").alias("w")))
-    two_m = edges.agg(F.sum("w").alias("s")).first()["s"] or 0.0
-    assign = cut_lineage(nodes.select("node", F.col("node").alias("community")))
+    edges, obs = cut_lineage_observed(edges.groupBy("src", "dst").agg(F.sum("w").alias("w")),
+                                      s=F.sum("w"))
+    two_m = obs["s"] or 0.0
+    assign = nodes.select("node", F.col("node").alias("community"))
     if two_m == 0:
-        return assign
-    level_nodes = nodes.select("node")
-    q_prev = modularity(edges, level_nodes.select("node", F.col("node").alias("community")))
+        return cut_lineage(assign)
     for level in range(max_levels):
-        comm, moves = _one_level(level_nodes, edges, two_m, level, max_iter, min_moved_fraction, tolerance)
+        comm, moves, gained = _one_level(edges, two_m, level, max_iter, min_moved_fraction, tolerance)
         if moves == 0:
             break
-        assign = cut_lineage(assign.join(comm.select(F.col("node").alias("community"),
-                                                     F.col("community").alias("nc")), "community")
-                             .select("node", F.col("nc").alias("community")))
+        nc = comm.select(F.col("node").alias("community"), F.col("community").alias("nc"))
+        assign = cut_lineage(assign.join(nc, "community", "left")
+                             .select("node", F.coalesce(F.col("nc"), F.col("community")).alias("community")))
         cs = comm.select(F.col("node").alias("src"), F.col("community").alias("cs"))
         cd = comm.select(F.col("node").alias("dst"), F.col("community").alias("cd"))
         edges = cut_lineage(edges.join(cs, "src").join(cd, "dst")
                             .groupBy(F.col("cs").alias("src"), F.col("cd").alias("dst")).agg(F.sum("w").alias("w")))
-        level_nodes = cut_lineage(comm.select(F.col("community").alias("node")).distinct())
-        q = modularity(edges, level_nodes.select("node", F.col("node").alias("community")))
-        if q - q_prev < tolerance:
+        if gained < tolerance:
             break
-        q_prev = q
     return assign
