@@ -60,8 +60,8 @@ class FraudPipeline:
 
     @classmethod
     def for_testdata(cls, spark: SparkSession, sf_dir: str, parallel_edges: str = "keep",
-                     **kw) -> "FraudPipeline":
-        return cls(spark, overlay_graph(spark, sf_dir, parallel_edges), **kw)
+                     materialize: bool = False, **kw) -> "FraudPipeline":
+        return cls(spark, overlay_graph(spark, sf_dir, parallel_edges, materialize), **kw)
 
     # ---- base frames -------------------------------------------------
     @property
@@ -271,10 +271,10 @@ _CACHE: dict = {}
 
 def pipeline_for(spark: SparkSession, sf_dir: str) -> FraudPipeline:
     """One pipeline per (session, folder), so queries of one run share the
-    materialised stages."""
+    loaded graph and the materialised stages."""
     key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     p = _CACHE.get(key)
     if p is None:
-        p = FraudPipeline.for_testdata(spark, sf_dir)
+        p = FraudPipeline.for_testdata(spark, sf_dir, materialize=True)
         _CACHE[key] = p
     return p

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskgraph.operators.graph import Graph
+from riskgraph.session import bucketed_table
 from riskgraph.sources.sinks import attach_edges, last_row_per_key, merge_edges
 
 
@@ -107,11 +108,18 @@ _DATE_COL = {"HAS_CC": "cardDate", "USED": "deviceDate", "HAS_IP": "ipDate"}
 _LABEL = {"HAS_CC": "Card", "USED": "Device", "HAS_IP": "IP"}
 
 
-def overlay_graph(spark: SparkSession, sf_dir: str, parallel_edges: str = "keep") -> Graph:
+def overlay_graph(spark: SparkSession, sf_dir: str, parallel_edges: str = "keep",
+                  materialize: bool = False) -> Graph:
     """Build the graph: nodes first, then edges attached to existing nodes
     (edges with a missing endpoint are dropped). ``parallel_edges="keep"``
     appends every row; ``"merge"`` keeps one edge per (start, end), the last
-    by date (then amount, then source order)."""
+    by date (then amount, then source order).
+
+    With ``materialize`` the graph is loaded once: users, identifier edges
+    and transfers are written as tables bucketed on the user key (same
+    bucket count), so later queries read the compact edge tables instead of
+    re-deriving them, and their joins on the user key shuffle neither side.
+    """
     users = overlay_users(spark, sf_dir)
     id_edges = overlay_identifier_edges(spark, sf_dir)
     if parallel_edges == "merge":
@@ -119,6 +127,10 @@ def overlay_graph(spark: SparkSession, sf_dir: str, parallel_edges: str = "keep"
         id_edges = last_row_per_key(id_edges, ["start_guid", "end_guid", "rel"], ["edgeDate"])
     elif parallel_edges != "keep":
         raise ValueError("parallel_edges must be 'keep' or 'merge'")
+    if materialize:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        users = bucketed_table(users, ["guid"], n)
+        id_edges = bucketed_table(id_edges, ["start_guid"], n)
     edges: dict[str, DataFrame] = {}
     nodes: dict[str, DataFrame] = {"User": users}
     for t in ("HAS_CC", "USED", "HAS_IP"):
@@ -131,6 +143,8 @@ def overlay_graph(spark: SparkSession, sf_dir: str, parallel_edges: str = "keep"
         edges["P2P"] = merge_edges(p2p, users, users, ["transactionDateTime", "totalAmount", "_order"]).drop("_order")
     else:
         edges["P2P"] = attach_edges(p2p, users, users).drop("_order")
+    if materialize:
+        edges["P2P"] = bucketed_table(edges["P2P"], ["start_guid"], n)
     edges["REFERRED"] = attach_edges(overlay_referred(spark, sf_dir), users, users)
     if parallel_edges == "merge":
         edges["REFERRED"] = edges["REFERRED"].distinct()

@@ -63,10 +63,24 @@ def test_entry(spark):
     assert sum(r.totalUserCount for r in rows) == 150
 
 
-def _plan(df) -> str:
+def test_loaded_graph_joins_on_user_key_without_shuffle(spark):
+    # users and identifier edges are bucketed on the user key: the join of
+    # the identifier-degree report reads both sides without an exchange
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # plan as at scale
+    try:
+        plan = _plan(QUERIES["identifier_degrees"](spark, SF_SMALL), "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin [start_guid" in plan and "Bucketed: true" in plan
+    # the only exchange is the (partially aggregated) group-by identifier
+    assert plan.count("Exchange ") == 1
+    assert "Exchange hashpartitioning(end_label" in plan
+
+
+def _plan(df, mode="formatted") -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        df.explain(mode="formatted")
+        df.explain(mode=mode)
     return buf.getvalue()
 
 
@@ -78,7 +92,10 @@ def test_no_cartesian_or_nested_loop_join(spark, name):
 
 
 def test_pushdown_and_pruning_reach_the_scan(spark):
-    plan = _plan(QUERIES["identifier_degrees"](spark, SF_SMALL))
+    from riskgraph.operators.degree import identifier_degrees
+    from riskgraph.sources.overlay import overlay_identifier_edges, overlay_users
+    plan = _plan(identifier_degrees(overlay_identifier_edges(spark, SF_SMALL), overlay_users(spark, SF_SMALL),
+                                    {"flaggedDegree": "fraudMoneyTransfer"}))
     scan = [blk for blk in plan.split("\n\n") if "Scan parquet" in blk and "lineitem" in blk]
     assert scan, plan
     text = scan[0]
