@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from riskgraph.sources.schema import (
     CSV_COLUMNS,
-    EDGE_TABLES,
-    NODE_TABLES,
     canonical_table,
     classify,
     table_schema,
@@ -136,6 +134,3 @@ def load_totals(tables: dict[str, DataFrame], kinds: dict[str, str]) -> DataFram
     unioned = reduce(DataFrame.unionByName, parts)
     return unioned.rollup("kind", "tableName").agg(F.count(F.lit(1)).alias("rowCount"))
 
-
-NODE_LABEL_OF = NODE_TABLES
-EDGE_SPEC_OF = EDGE_TABLES

@@ -94,3 +94,9 @@ def write_back(users: DataFrame, scores: DataFrame, column: str, key: str = "gui
         return j.withColumn(column, F.coalesce(F.col("__v"), F.col(column))).drop("__v")
     return j.withColumnRenamed("__v", column)
 
+
+
+def unwind_batches(df: DataFrame, column: str = "batches") -> DataFrame:
+    """Rows carried as a list of records (``array<struct>``) -> one row per
+    record, its fields as columns (``explode``; runs per partition)."""
+    return df.select(F.explode(F.col(column)).alias("__r")).select("__r.*")

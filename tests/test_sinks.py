@@ -46,3 +46,22 @@ def test_endpoint_labels_and_write_back(spark):
     scores = spark.createDataFrame([(1, 0.9)], "guid long, p double")
     out = {r.guid: r.p for r in sinks.write_back(users, scores, "p").collect()}
     assert out == {1: 0.9, 2: 0.5}
+
+
+def test_unwind_batches_then_merge(spark):
+    df = spark.createDataFrame(
+        [([(1, 0, 1), (2, 1, 1)],), ([(1, 1, 2)],)],
+        "batches array<struct<guid:long,flag:int,seq:int>>")
+    rows = sinks.unwind_batches(df)
+    assert rows.columns == ["guid", "flag", "seq"] and rows.count() == 3
+    old = spark.createDataFrame([(3, 0)], "guid long, flag int")
+    out = {r.guid: r.flag for r in sinks.merge_nodes(old, rows, ["seq"]).collect()}
+    assert out == {1: 1, 2: 1, 3: 0}
+
+
+def test_timestamp_normalisation(spark):
+    from riskgraph.sources.files import normalise_timestamps
+    df = spark.createDataFrame([("2020-01-02 03:04:05",)], "transactionDateTime string")
+    out = normalise_timestamps(df)
+    assert dict(out.dtypes)["transactionDateTime"] == "timestamp"
+    assert out.first().transactionDateTime.hour == 3
