@@ -50,17 +50,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is read and used as is. Only when it is unset (local tests) a fresh
     scratch folder is made.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a session without a local context
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
+        if sc is not None:
+            sc.setCheckpointDir(configured)
+            return sc.getCheckpointDir() or configured
+        return configured
     local = tempfile.mkdtemp(prefix="riskgraph-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    if sc is not None:
+        sc.setCheckpointDir(local)
+        return sc.getCheckpointDir() or local
+    spark.conf.set("spark.checkpoint.dir", local)
+    return local
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
