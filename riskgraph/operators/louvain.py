@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskgraph.session import cut_lineage, cut_lineage_observed
+from riskgraph.session import bucketed_table, cut_lineage, cut_lineage_observed, shuffle_partitions
 
 
 def symmetric_entries(undirected: DataFrame | None = None, directed: DataFrame | None = None) -> DataFrame:
@@ -74,12 +74,15 @@ def _one_level(edges: DataFrame, two_m: float, level: int, max_iter: int,
     less than ``tolerance`` (sum of the movers' gains) ends the level.
     """
     m = two_m / 2.0
+    # The community table is written bucketed on the node and the level's
+    # links bucketed on their target, so the per-round join of links to the
+    # communities of their targets never reshuffles the edges.
     comm, obs = cut_lineage_observed(
         edges.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k"))
         .select("node", "k", F.col("node").alias("c")),
-        n=F.count(F.lit(1)))
+        bucket_by=["node"], n=F.count(F.lit(1)))
     n_nodes = obs["n"]
-    links = edges.where(F.col("src") != F.col("dst"))
+    links = bucketed_table(edges.where(F.col("src") != F.col("dst")), ["dst"], shuffle_partitions(edges.sparkSession))
     total_moves, total_gain = 0, 0.0
     for it in range(max_iter):
         tot = comm.groupBy("c").agg(F.sum("k").alias("tot"))
@@ -100,7 +103,7 @@ def _one_level(edges: DataFrame, two_m: float, level: int, max_iter: int,
         comm, r = cut_lineage_observed(
             cur.select("node", F.when(go, F.col("b.cv")).otherwise(F.col("c")).alias("c"), "k",
                        F.when(go, gain).alias("gain")),
-            n=F.count("gain"), g=F.sum("gain"))
+            bucket_by=["node"], n=F.count("gain"), g=F.sum("gain"))
         n_moved, gained = r["n"], r["g"] or 0.0
         comm = comm.drop("gain")
         total_moves += n_moved

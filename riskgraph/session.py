@@ -90,16 +90,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def cut_lineage_observed(df: DataFrame, **metrics) -> tuple[DataFrame, dict]:
-    """``cut_lineage`` that also returns aggregate metrics of the written
-    rows (``name=Column`` aggregates), gathered by the same job through
-    ``DataFrame.observe``: a loop's stopping scalar costs no extra pass."""
+def cut_lineage_observed(df: DataFrame, bucket_by: list[str] | None = None,
+                         **metrics) -> tuple[DataFrame, dict]:
+    """``cut_lineage`` (or ``bucketed_table`` when ``bucket_by`` is given)
+    that also returns aggregate metrics of the written rows (``name=Column``
+    aggregates), gathered by the same job through ``DataFrame.observe``: a
+    loop's stopping scalar costs no extra pass."""
     obs = Observation(f"obs_{uuid.uuid4().hex}")
     observed = df.observe(obs, *[c.alias(n) for n, c in metrics.items()])
-    out = cut_lineage(observed)
+    if bucket_by:
+        out = bucketed_table(observed, bucket_by, shuffle_partitions(df.sparkSession))
+    else:
+        out = cut_lineage(observed)
     return out, obs.get
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def bucketed_table(df: DataFrame, cols: list[str], buckets: int) -> DataFrame:
     """Write ``df`` once as a table bucketed (and sorted) on ``cols`` in the
     checkpoint folder. Joins on ``cols`` against it then shuffle only the
