@@ -22,7 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskgraph.session import bucketed_table, cut_lineage, cut_lineage_observed, shuffle_partitions
+from riskgraph.operators.skew import join_state, split_hot
+from riskgraph.session import cut_lineage, cut_lineage_observed
 
 
 def symmetric_entries(undirected: DataFrame | None = None, directed: DataFrame | None = None) -> DataFrame:
@@ -59,7 +60,8 @@ def modularity(edges: DataFrame, assign: DataFrame) -> float:
 
 
 def _one_level(edges: DataFrame, two_m: float, level: int, max_iter: int,
-               min_moved_fraction: float, tolerance: float) -> tuple[DataFrame, int, float]:
+               min_moved_fraction: float, tolerance: float,
+               hot: tuple[int, int] = (10_000, 100_000)) -> tuple[DataFrame, int, float]:
     """Local moving on one level over the nodes that have edges (a node
     without edges never moves). Returns ``(node, community)``, the number of
     moves and the summed gain of the moves (the level's modularity gain,
@@ -75,18 +77,19 @@ def _one_level(edges: DataFrame, two_m: float, level: int, max_iter: int,
     """
     m = two_m / 2.0
     # The community table is written bucketed on the node and the level's
-    # links bucketed on their target, so the per-round join of links to the
-    # communities of their targets never reshuffles the edges.
+    # links bucketed on their target (hub targets split off and joined by a
+    # bounded broadcast), so the per-round join of links to the communities
+    # of their targets never reshuffles the edges.
     comm, obs = cut_lineage_observed(
         edges.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k"))
         .select("node", "k", F.col("node").alias("c")),
         bucket_by=["node"], n=F.count(F.lit(1)))
     n_nodes = obs["n"]
-    links = bucketed_table(edges.where(F.col("src") != F.col("dst")), ["dst"], shuffle_partitions(edges.sparkSession))
+    links = split_hot(edges.where(F.col("src") != F.col("dst")), ["dst"], *hot)
     total_moves, total_gain = 0, 0.0
     for it in range(max_iter):
         tot = comm.groupBy("c").agg(F.sum("k").alias("tot"))
-        kin = (links.join(comm.select(F.col("node").alias("dst"), F.col("c").alias("cv")), "dst")
+        kin = (join_state(links, comm.select(F.col("node").alias("dst"), F.col("c").alias("cv")))
                .groupBy(F.col("src").alias("node"), "cv").agg(F.sum("w").alias("kin")))
         rows = (kin.join(comm, "node")
                 .join(tot.select(F.col("c").alias("cv"), F.col("tot").alias("tot_d")), "cv"))
@@ -116,7 +119,8 @@ def _one_level(edges: DataFrame, two_m: float, level: int, max_iter: int,
 
 
 def louvain(nodes: DataFrame, edges: DataFrame, max_levels: int = 10, max_iter: int = 10,
-            tolerance: float = 1e-4, min_moved_fraction: float = 0.001) -> DataFrame:
+            tolerance: float = 1e-4, min_moved_fraction: float = 0.001,
+            max_hot_keys: int = 10_000, min_hot_degree: int = 100_000) -> DataFrame:
     """Communities ``(node, community)`` for every node of ``nodes(node)``.
 
     ``edges``: symmetric entries ``(src, dst, w)`` (see ``symmetric_entries``).
@@ -131,7 +135,8 @@ def louvain(nodes: DataFrame, edges: DataFrame, max_levels: int = 10, max_iter:
     if two_m == 0:
         return cut_lineage(assign)
     for level in range(max_levels):
-        comm, moves, gained = _one_level(edges, two_m, level, max_iter, min_moved_fraction, tolerance)
+        comm, moves, gained = _one_level(edges, two_m, level, max_iter, min_moved_fraction, tolerance,
+                                         (max_hot_keys, min_hot_degree))
         if moves == 0:
             break
         nc = comm.select(F.col("node").alias("community"), F.col("community").alias("nc"))

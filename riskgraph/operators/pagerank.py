@@ -17,7 +17,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskgraph.session import bucketed_table, cut_lineage
+from riskgraph.operators.skew import join_state, split_hot
+from riskgraph.session import cut_lineage
 
 
 def edge_shares(edges: DataFrame, weighted: bool) -> DataFrame:
@@ -33,13 +34,15 @@ def edge_shares(edges: DataFrame, weighted: bool) -> DataFrame:
 
 def pagerank_many(nodes: DataFrame, variants: dict[str, tuple[DataFrame, bool]],
                   damping: float = 0.85, max_iter: int = 20, tol: float | None = None,
-                  cut_every: int = 5) -> DataFrame:
+                  cut_every: int = 5, max_hot_keys: int = 10_000, min_hot_degree: int = 100_000) -> DataFrame:
     """Run PageRank for every variant ``name -> (edges(src,dst,w), weighted)``.
 
     Returns ``(variant, guid, pagerank)`` for every node of ``nodes`` and
     every variant. The share table is written once, bucketed on
     ``(variant, src)``: each round's join of ranks to edges then shuffles
-    only the rank side, never the edges. A round reads the previous ranks
+    only the rank side, never the edges. Sources with a huge out-degree are
+    split off first (``skew.split_hot``) and joined to a broadcast of their
+    own ranks, so no bucket holds a hot node. A round reads the previous ranks
     once (new ranks come from the static node table left-joined to the
     incoming contributions), so several rounds can share one plan; the
     ranks are written out every ``cut_every`` rounds, and every round when
@@ -49,15 +52,14 @@ def pagerank_many(nodes: DataFrame, variants: dict[str, tuple[DataFrame, bool]],
     names = list(variants)
     shares = [edge_shares(e, weighted).select(F.lit(n).alias("variant"), "src", "dst", "share")
               for n, (e, weighted) in variants.items()]
-    n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e_all = bucketed_table(reduce(DataFrame.unionByName, shares), ["variant", "src"], n_buckets)
+    e_all = split_hot(reduce(DataFrame.unionByName, shares), ["variant", "src"], max_hot_keys, min_hot_degree)
     base = 1.0 - damping
     node_variants = cut_lineage(nodes.select(
         F.explode(F.array(*[F.lit(n) for n in names])).alias("variant"), "guid"))
     ranks = node_variants.withColumn("pr", F.lit(base))
     since_cut = 0
     for it in range(max_iter):
-        contrib = (e_all.join(ranks.withColumnRenamed("guid", "src"), ["variant", "src"])
+        contrib = (join_state(e_all, ranks.withColumnRenamed("guid", "src"))
                    .groupBy("variant", F.col("dst").alias("guid"))
                    .agg(F.sum(F.col("pr") * F.col("share")).alias("s")))
         new = node_variants.join(contrib, ["variant", "guid"], "left").select(

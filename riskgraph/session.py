@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at any scale: AQE re-plans joins from measured shuffle
 # sizes (runtime broadcast only when the built side is measured small), splits
@@ -93,16 +93,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def cut_lineage_observed(df: DataFrame, bucket_by: list[str] | None = None,
                          **metrics) -> tuple[DataFrame, dict]:
     """``cut_lineage`` (or ``bucketed_table`` when ``bucket_by`` is given)
-    that also returns aggregate metrics of the written rows (``name=Column``
-    aggregates), gathered by the same job through ``DataFrame.observe``: a
-    loop's stopping scalar costs no extra pass."""
-    obs = Observation(f"obs_{uuid.uuid4().hex}")
-    observed = df.observe(obs, *[c.alias(n) for n, c in metrics.items()])
+    that also returns aggregate metrics (``name=Column`` aggregates) of the
+    written rows, computed over the written table: one scalar row to the
+    driver. (``DataFrame.observe`` would save that scan, but in Spark 4.1
+    an observation registered on the session makes later pyspark.ml model
+    transforms fail to serialise, so it is not used.)"""
     if bucket_by:
-        out = bucketed_table(observed, bucket_by, shuffle_partitions(df.sparkSession))
+        out = bucketed_table(df, bucket_by, shuffle_partitions(df.sparkSession))
     else:
-        out = cut_lineage(observed)
-    return out, obs.get
+        out = cut_lineage(df)
+    row = out.agg(*[c.alias(n) for n, c in metrics.items()]).first()
+    return out, row.asDict()
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

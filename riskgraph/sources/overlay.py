@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskgraph.operators.graph import Graph
-from riskgraph.session import bucketed_table
+from riskgraph.session import cut_lineage
 from riskgraph.sources.sinks import attach_edges, last_row_per_key, merge_edges
 
 
@@ -116,9 +116,11 @@ def overlay_graph(spark: SparkSession, sf_dir: str, parallel_edges: str = "keep"
     by date (then amount, then source order).
 
     With ``materialize`` the graph is loaded once: users, identifier edges
-    and transfers are written as tables bucketed on the user key (same
-    bucket count), so later queries read the compact edge tables instead of
-    re-deriving them, and their joins on the user key shuffle neither side.
+    and transfers are written as tables in the checkpoint folder, so later
+    queries read the compact edge tables instead of re-deriving them. They
+    are deliberately not bucketed on the user key: a user holding a third
+    of the edges would make one bucket (one task) that AQE cannot split,
+    while a shuffle join lets AQE split the hot key.
     """
     users = overlay_users(spark, sf_dir)
     id_edges = overlay_identifier_edges(spark, sf_dir)
@@ -128,9 +130,8 @@ def overlay_graph(spark: SparkSession, sf_dir: str, parallel_edges: str = "keep"
     elif parallel_edges != "keep":
         raise ValueError("parallel_edges must be 'keep' or 'merge'")
     if materialize:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        users = bucketed_table(users, ["guid"], n)
-        id_edges = bucketed_table(id_edges, ["start_guid"], n)
+        users = cut_lineage(users)
+        id_edges = cut_lineage(id_edges)
     edges: dict[str, DataFrame] = {}
     nodes: dict[str, DataFrame] = {"User": users}
     for t in ("HAS_CC", "USED", "HAS_IP"):
@@ -144,7 +145,7 @@ def overlay_graph(spark: SparkSession, sf_dir: str, parallel_edges: str = "keep"
     else:
         edges["P2P"] = attach_edges(p2p, users, users).drop("_order")
     if materialize:
-        edges["P2P"] = bucketed_table(edges["P2P"], ["start_guid"], n)
+        edges["P2P"] = cut_lineage(edges["P2P"])
     edges["REFERRED"] = attach_edges(overlay_referred(spark, sf_dir), users, users)
     if parallel_edges == "merge":
         edges["REFERRED"] = edges["REFERRED"].distinct()

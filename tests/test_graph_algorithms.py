@@ -226,3 +226,21 @@ def test_similarity_copy_groups_equal_brute_force(spark):
     for cutoff, k in ((0.01, 10), (0.2, 4)):
         got = sorted((r.node1, r.node2, round(r.similarity, 9)) for r in node_similarity(df, cutoff, k).collect())
         assert got == _brute_similarity(members, cutoff, k)
+
+
+def test_hot_key_split_gives_same_results(spark):
+    # a hub sending to / linked with many nodes: force the hot path with tiny thresholds
+    nodes = _nodes(spark, range(40))
+    pairs = [(0, i, 1.0) for i in range(1, 40)] + [(i, (i + 1) % 40, 2.0) for i in range(1, 40)]
+    e = spark.createDataFrame(pairs, "src long, dst long, w double")
+    plain = {(r.variant, r.guid): r.pagerank for r in pagerank_many(nodes, {"u": (e, False), "w": (e, True)}, max_iter=6).collect()}
+    split = {(r.variant, r.guid): r.pagerank for r in pagerank_many(nodes, {"u": (e, False), "w": (e, True)}, max_iter=6,
+                                                                   max_hot_keys=2, min_hot_degree=5).collect()}
+    assert plain.keys() == split.keys()
+    assert all(abs(plain[k] - split[k]) < 1e-12 for k in plain)
+    und = spark.createDataFrame([(str(a), str(b), w) for a, b, w in pairs], "src string, dst string, w double")
+    entries = symmetric_entries(und)
+    lnodes = spark.createDataFrame([(str(i),) for i in range(40)], "node string")
+    a = {r.node: r.community for r in louvain(lnodes, entries).collect()}
+    b = {r.node: r.community for r in louvain(lnodes, entries, max_hot_keys=2, min_hot_degree=5).collect()}
+    assert a == b
