@@ -32,16 +32,16 @@ class HotSplit:
 
 def split_hot(edges: DataFrame, key: list[str], max_hot_keys: int = 10_000,
               min_hot_degree: int = 100_000) -> HotSplit:
-    degrees, obs = cut_lineage_observed(edges.groupBy(*key).agg(F.count(F.lit(1)).alias("__deg")),
-                                        total=F.sum("__deg"))
-    total = obs["total"] or 0
+    degrees = edges.groupBy(*key).agg(F.count(F.lit(1)).alias("__deg"))
+    stats = degrees.agg(F.sum("__deg").alias("total"), F.max("__deg").alias("top")).first()
+    total, top = stats["total"] or 0, stats["top"] or 0
     threshold = max(min_hot_degree, -(-total // max_hot_keys))
+    n = shuffle_partitions(edges.sparkSession)
+    if top <= threshold:          # the common case: no hot key, one aggregate
+        return HotSplit(bucketed_table(edges, key, n), None, None, key, 0)
     hot_keys, obs = cut_lineage_observed(degrees.where(F.col("__deg") > threshold).select(*key),
                                          n=F.count(F.lit(1)))
     n_hot = obs["n"]
-    n = shuffle_partitions(edges.sparkSession)
-    if n_hot == 0:
-        return HotSplit(bucketed_table(edges, key, n), None, None, key, 0)
     # hot_keys has at most max_hot_keys rows: broadcasting it is bounded
     cold = bucketed_table(edges.join(F.broadcast(hot_keys), key, "left_anti"), key, n)
     hot = cut_lineage(edges.join(F.broadcast(hot_keys), key, "left_semi"))
