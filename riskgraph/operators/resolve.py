@@ -9,16 +9,23 @@ from pyspark.sql import functions as F
 def er_p2p_shared_card(p2p: DataFrame, has_cc: DataFrame) -> DataFrame:
     """Rule 1: u1 sent money to u2 and both hold the same card.
 
-    Distinct transfer pairs (u1 != u2) are joined to u1's cards, then
-    semi-joined on (u2, card). The intermediate is one row per (pair, card
-    of u1), never a card self-join, so hub cards do not square.
+    For each distinct transfer pair (u1 != u2) the side with FEWER cards is
+    expanded to its cards and the other side's (user, card) set probed by
+    a semi-join: the work per pair is min(cards(u1), cards(u2)), never a
+    card self-join, so neither hub cards nor card-hoarding users square.
     Output: directed ``(start_guid, end_guid)``, one row per pair.
     """
     pairs = (p2p.select(F.col("start_guid").alias("u1"), F.col("end_guid").alias("u2"))
              .where(F.col("u1") != F.col("u2")).distinct())
     cc = has_cc.select(F.col("start_guid").alias("user"), F.col("end_guid").alias("card")).distinct()
-    a = pairs.join(cc.withColumnRenamed("user", "u1"), "u1")
-    b = a.join(cc.withColumnRenamed("user", "u2"), ["u2", "card"], "left_semi")
+    n = cc.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
+    p = (pairs.join(n.select(F.col("user").alias("u1"), F.col("n").alias("n1")), "u1")
+         .join(n.select(F.col("user").alias("u2"), F.col("n").alias("n2")), "u2"))
+    first_small = F.col("n1") <= F.col("n2")
+    p = p.select("u1", "u2", F.when(first_small, F.col("u1")).otherwise(F.col("u2")).alias("s"),
+                 F.when(first_small, F.col("u2")).otherwise(F.col("u1")).alias("o"))
+    a = p.join(cc.withColumnRenamed("user", "s"), "s")
+    b = a.join(cc.withColumnRenamed("user", "o"), ["o", "card"], "left_semi")
     return b.select(F.col("u1").alias("start_guid"), F.col("u2").alias("end_guid")).distinct()
 
 

@@ -224,12 +224,13 @@ FROM (SELECT CASE WHEN {num} = 0 THEN '0' WHEN {num} = degree THEN '1' ELSE 'Bet
 GROUP BY b""")
 
 
-def _dist(src_select, count_name):
+def _dist(src_select, count_name, pct_digits=None):
+    q = "x" if pct_digits is None else f"round(x, {pct_digits})"
     return f"""
 SELECT count(*) AS {count_name}, round(min(x), 6) AS min, round(max(x), 6) AS max, round(avg(x), 6) AS mean,
-       round(quantile_cont(x, 0.5), 6) AS p50, round(quantile_cont(x, 0.75), 6) AS p75,
-       round(quantile_cont(x, 0.9), 6) AS p90, round(quantile_cont(x, 0.95), 6) AS p95,
-       round(quantile_cont(x, 0.99), 6) AS p99
+       round(quantile_cont({q}, 0.5), 6) AS p50, round(quantile_cont({q}, 0.75), 6) AS p75,
+       round(quantile_cont({q}, 0.9), 6) AS p90, round(quantile_cont({q}, 0.95), 6) AS p95,
+       round(quantile_cont({q}, 0.99), 6) AS p99
 FROM ({src_select}) s"""
 
 
@@ -430,7 +431,7 @@ ORDER BY round(totalIdFraudRisk, 9) DESC, uid LIMIT 10"""),
     "fraud_shared_ids": _q(["fsi"], """
 SELECT start_guid, end_guid, end_label, round(w, 6) AS inverseDegreeWeight FROM fsi"""),
     "node_similarity": _q(["sim"], "SELECT node1, node2, round(similarity, 6) AS similarity FROM sim"),
-    "similarity_distribution": _q(["sim"], _dist("SELECT similarity AS x FROM sim", "relationshipsWritten")),
+    "similarity_distribution": _q(["sim"], _dist("SELECT similarity AS x FROM sim", "relationshipsWritten", 6)),
     "similar_to_communities": _q(["ur", "sim"], """
 SELECT s.node2 AS userId, round(sum(s.similarity), 6) AS totalScore,
        array_to_string(list_sort(list(DISTINCT CAST(f.wccId AS VARCHAR))), ',') AS closeToCommunityIds

@@ -275,7 +275,8 @@ def node_similarity(spark, sf):
 
 def similarity_distribution(spark, sf):
     s = _p(spark, sf).similarity
-    return reports.size_distribution(s, "similarity").withColumnRenamed("count", "relationshipsWritten")
+    return (reports.size_distribution(s, "similarity", pct_digits=6)
+            .withColumnRenamed("count", "relationshipsWritten"))
 
 
 def similar_to_communities(spark, sf):

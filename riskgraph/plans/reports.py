@@ -24,13 +24,16 @@ def ratio_buckets(deg: DataFrame, label: str, num: str, out: str) -> DataFrame:
     return b.select(out, "count", r3(F.col("count") / total).alias("percentCount"))
 
 
-def size_distribution(sizes: DataFrame, col: str, prefix: str = "") -> DataFrame:
-    """count, min, max, mean and exact (interpolated) percentiles of a size
+def size_distribution(sizes: DataFrame, col: str, prefix: str = "", pct_digits: int | None = None) -> DataFrame:
+    """count, min, max, mean and exact (interpolated) percentiles of a
     column. Spark's percentile keeps a value->count map, so its state is
-    bounded by the number of distinct sizes, not by rows."""
+    bounded by the number of distinct values, not by rows: integer sizes
+    have few; a continuous score is rounded to ``pct_digits`` first, which
+    bounds the map to 10**pct_digits + 1 entries at any scale."""
     aggs = [F.count(F.lit(1)).alias(f"{prefix}count"), r6(F.min(col)).alias(f"{prefix}min"),
             r6(F.max(col)).alias(f"{prefix}max"), r6(F.avg(col)).alias(f"{prefix}mean")]
-    aggs += [r6(F.percentile(F.col(col), p)).alias(f"{prefix}{n}") for p, n in zip(PERCENTILES, _PCT_NAMES)]
+    v = F.col(col) if pct_digits is None else F.round(F.col(col), pct_digits)
+    aggs += [r6(F.percentile(v, p)).alias(f"{prefix}{n}") for p, n in zip(PERCENTILES, _PCT_NAMES)]
     return sizes.agg(*aggs)
 
 
