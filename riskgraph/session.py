@@ -111,14 +111,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def bucketed_table(df: DataFrame, cols: list[str], buckets: int) -> DataFrame:
-    """Write ``df`` once as a table bucketed (and sorted) on ``cols`` in the
+    """Write ``df`` once as a table bucketed on ``cols`` in the
     checkpoint folder. Joins on ``cols`` against it then shuffle only the
     other side, which is what an iterative job over a fixed edge table
     wants every round."""
     spark = df.sparkSession
     name = f"rg_{uuid.uuid4().hex}"
     path = scratch_dir(spark, f"tables/{name}")
-    (df.write.mode("overwrite").bucketBy(buckets, *cols).sortBy(*cols)
+    (df.write.mode("overwrite").bucketBy(buckets, *cols)
      .option("path", path).saveAsTable(name))
     return spark.table(name)
 
