@@ -375,19 +375,17 @@ SELECT wccId AS community, count(*) AS cnt, CAST(sum(fraudMoneyTransfer) AS BIGI
        round(CAST(sum(fraudMoneyTransfer) AS DOUBLE) / count(*), 6) AS flaggedRatio
 FROM ur GROUP BY wccId ORDER BY flaggedCount DESC, community LIMIT 100"""),
     "community_subgraph": _q(["wccl", "g_user", "g_id", "g_p2p"], f"""
-SELECT e1.u AS u1, e2.u AS u2, e1.id AS identifier,
-       CASE WHEN e1.u = e2.u THEN e1.c * (e1.c - 1) ELSE e1.c * e2.c END AS edgePairs,
-       coalesce(t.p2pCount, 0) AS p2pCount, round(t.p2pAmount, 6) AS p2pAmount
+SELECT 'ID' AS kind, CAST(e.u AS VARCHAR) AS src, e.id AS dst, e.c AS edges, CAST(NULL AS DOUBLE) AS amount
 FROM (SELECT start_guid AS u, end_guid AS id, count(*) AS c FROM g_id
-      WHERE start_guid IN (SELECT guid FROM wccl WHERE wccId = {_TOP_COMMUNITY}) GROUP BY 1, 2) e1
-JOIN (SELECT start_guid AS u, end_guid AS id, count(*) AS c FROM g_id
-      WHERE start_guid IN (SELECT guid FROM wccl WHERE wccId = {_TOP_COMMUNITY}) GROUP BY 1, 2) e2
-  ON e1.id = e2.id
-LEFT JOIN (SELECT u1, u2, count(*) AS p2pCount, sum(totalAmount) AS p2pAmount FROM (
-             SELECT start_guid AS u1, end_guid AS u2, totalAmount FROM g_p2p
-             UNION ALL SELECT end_guid, start_guid, totalAmount FROM g_p2p WHERE start_guid <> end_guid) x
-           GROUP BY u1, u2) t ON t.u1 = e1.u AND t.u2 = e2.u
-WHERE CASE WHEN e1.u = e2.u THEN e1.c * (e1.c - 1) ELSE e1.c * e2.c END > 0"""),
+      WHERE start_guid IN (SELECT guid FROM wccl WHERE wccId = {_TOP_COMMUNITY}) GROUP BY 1, 2) e
+WHERE e.id IN (SELECT end_guid FROM g_id WHERE start_guid IN (SELECT guid FROM wccl WHERE wccId = {_TOP_COMMUNITY})
+               GROUP BY end_guid HAVING count(*) >= 2)
+UNION ALL
+SELECT 'P2P', CAST(start_guid AS VARCHAR), CAST(end_guid AS VARCHAR), count(*), round(sum(totalAmount), 6)
+FROM g_p2p
+WHERE start_guid IN (SELECT guid FROM wccl WHERE wccId = {_TOP_COMMUNITY})
+  AND end_guid IN (SELECT guid FROM wccl WHERE wccId = {_TOP_COMMUNITY})
+GROUP BY start_guid, end_guid"""),
     "community_features": _q(["cfeat"], "SELECT guid, wccId, communitySize, partOfCommunity FROM cfeat"),
     "community_size_hist": _q(["wccl"], """
 SELECT CAST(floor(log10(community_size) * 10) AS INTEGER) AS bin, count(*) AS numberOfCommunities,

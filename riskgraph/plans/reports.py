@@ -58,12 +58,19 @@ def community_report(users: DataFrame, col: str, top: int = 100) -> DataFrame:
 
 
 def community_subgraph(p: FraudPipeline, labels: DataFrame, col: str, community=None) -> DataFrame:
-    """Members of one community, the identifiers two members share (pairs of
-    distinct edges) and the transfers between them (optional match).
+    """The subgraph of one community that the member-pair pattern
+    ``(u1)-[r1]->(n)<-[r2]-(u2)``, ``OPTIONAL (u1)-[:P2P]-(u2)`` draws,
+    returned as its edges rather than as all member pairs (a hub identifier
+    shared by many members would otherwise square):
+
+    * ``kind='ID'``: member -> identifier edges (parallel edges counted) for
+      identifiers reached by at least two member edges, i.e. the ``n`` of
+      some pair of distinct edges;
+    * ``kind='P2P'``: member -> member transfers (count and summed amount).
 
     ``community`` defaults to the community with most flagged users (ties:
-    smaller id), chosen by a top-1 query. Output per (u1, u2, identifier):
-    edgePairs, p2pCount, p2pAmount (null without transfers).
+    smaller id), chosen by a top-1 query. Output
+    ``(kind, src, dst, edges, amount)`` with ids as strings.
     """
     members = labels.select("guid", F.col(col).alias("community"))
     if community is None:
@@ -71,24 +78,20 @@ def community_subgraph(p: FraudPipeline, labels: DataFrame, col: str, community=
         members = members.join(top, "community", "left_semi")
     else:
         members = members.where(F.col("community") == community)
-    e = (p.id_edges.join(members.select(F.col("guid").alias("start_guid")), "start_guid", "left_semi")
-         .groupBy("start_guid", "end_guid").agg(F.count(F.lit(1)).alias("c")))
-    pairs = (e.select(F.col("start_guid").alias("u1"), "end_guid", F.col("c").alias("c1"))
-             .join(e.select(F.col("start_guid").alias("u2"), "end_guid", F.col("c").alias("c2")), "end_guid"))
-    pairs = pairs.select("u1", "u2", F.col("end_guid").alias("identifier"),
-                         F.when(F.col("u1") == F.col("u2"), F.col("c1") * (F.col("c1") - 1))
-                         .otherwise(F.col("c1") * F.col("c2")).alias("edgePairs")).where(F.col("edgePairs") > 0)
     m = members.select("guid")
-    t = p.p2p.join(m.withColumnRenamed("guid", "start_guid"), "start_guid", "left_semi") \
-        .join(m.withColumnRenamed("guid", "end_guid"), "end_guid", "left_semi")
-    und = (t.select(F.col("start_guid").alias("u1"), F.col("end_guid").alias("u2"), "totalAmount")
-           .unionByName(t.where(F.col("start_guid") != F.col("end_guid"))
-                        .select(F.col("end_guid").alias("u1"), F.col("start_guid").alias("u2"), "totalAmount")))
-    tr = und.groupBy("u1", "u2").agg(F.count(F.lit(1)).alias("p2pCount"), F.sum("totalAmount").alias("p2pAmount"))
-    return (pairs.join(tr, ["u1", "u2"], "left")
-            .select("u1", "u2", "identifier", "edgePairs",
-                    F.coalesce(F.col("p2pCount"), F.lit(0).cast("bigint")).alias("p2pCount"),
-                    r6("p2pAmount").alias("p2pAmount")))
+    e = (p.id_edges.join(m.withColumnRenamed("guid", "start_guid"), "start_guid", "left_semi")
+         .groupBy("start_guid", "end_guid").agg(F.count(F.lit(1)).alias("edges")))
+    shared = e.groupBy("end_guid").agg(F.sum("edges").alias("n")).where(F.col("n") >= 2).select("end_guid")
+    ids = e.join(shared, "end_guid", "left_semi").select(
+        F.lit("ID").alias("kind"), F.col("start_guid").cast("string").alias("src"),
+        F.col("end_guid").alias("dst"), "edges", F.lit(None).cast("double").alias("amount"))
+    t = (p.p2p.join(m.withColumnRenamed("guid", "start_guid"), "start_guid", "left_semi")
+         .join(m.withColumnRenamed("guid", "end_guid"), "end_guid", "left_semi")
+         .groupBy("start_guid", "end_guid")
+         .agg(F.count(F.lit(1)).alias("edges"), r6(F.sum("totalAmount")).alias("amount")))
+    tr = t.select(F.lit("P2P").alias("kind"), F.col("start_guid").cast("string").alias("src"),
+                  F.col("end_guid").cast("string").alias("dst"), "edges", "amount")
+    return ids.unionByName(tr)
 
 
 def p2p_flagged_share(p: FraudPipeline) -> DataFrame:
