@@ -52,7 +52,8 @@ def pagerank_many(nodes: DataFrame, variants: dict[str, tuple[DataFrame, bool]],
     names = list(variants)
     shares = [edge_shares(e, weighted).select(F.lit(n).alias("variant"), "src", "dst", "share")
               for n, (e, weighted) in variants.items()]
-    e_all = split_hot(reduce(DataFrame.unionByName, shares), ["variant", "src"], max_hot_keys, min_hot_degree)
+    e_all = split_hot(cut_lineage(reduce(DataFrame.unionByName, shares)), ["variant", "src"],
+                      max_hot_keys, min_hot_degree)
     base = 1.0 - damping
     node_variants = cut_lineage(nodes.select(
         F.explode(F.array(*[F.lit(n) for n in names])).alias("variant"), "guid"))

@@ -114,7 +114,8 @@ def node_similarity(members: DataFrame, cutoff: float = 0.01, top_k: int = 10) -
     groups = cut_lineage(copy_groups(m))
     reps = groups.where(F.col("node") == F.col("grp")).select("node")
     m_rep = m.join(reps, "node", "left_semi")
-    scored = pair_scores(m_rep, candidate_pairs(m_rep, cutoff)).where(F.col("similarity") >= cutoff)
+    # written once: both orientations and the expansion read it
+    scored = cut_lineage(pair_scores(m_rep, candidate_pairs(m_rep, cutoff)).where(F.col("similarity") >= cutoff))
     rep_pairs = (scored.select(F.col("a").alias("g1"), F.col("b").alias("g2"), "similarity")
                  .unionByName(scored.select(F.col("b").alias("g1"), F.col("a").alias("g2"), "similarity")))
     smallest = _smallest_members(groups, top_k + 1)

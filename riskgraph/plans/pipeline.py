@@ -86,11 +86,22 @@ class FraudPipeline:
 
     # ---- part 2: entity resolution -----------------------------------
     def p2p_shared_card(self) -> DataFrame:
-        return er_p2p_shared_card(self.p2p, self.g.edges["HAS_CC"])
+        return self._p2p_shared_card
 
     def shared_ids(self) -> DataFrame:
+        return self._shared_ids
+
+    @cached_property
+    def _p2p_shared_card(self) -> DataFrame:
+        """Rule-1 pairs, written once (read by components, PageRank and
+        the features)."""
+        return cut_lineage(er_p2p_shared_card(self.p2p, self.g.edges["HAS_CC"]))
+
+    @cached_property
+    def _shared_ids(self) -> DataFrame:
+        """Rule-2 pairs, written once."""
         d = self.id_degrees().select("guid", "degree")
-        return er_shared_ids(self.id_edges, d, HUB_MAX_DEGREE, MIN_SHARED_IDS)
+        return cut_lineage(er_shared_ids(self.id_edges, d, HUB_MAX_DEGREE, MIN_SHARED_IDS))
 
     def resolution_edges(self) -> DataFrame:
         """Undirected user-user edges for WCC: both rule outputs."""
