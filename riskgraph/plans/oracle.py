@@ -307,6 +307,11 @@ GROUP BY guid HAVING count(*) > 1"""),
     "edge_merge_last_wins": _q(["g_p2p_raw", "g_user"], """
 SELECT start_guid, end_guid, totalAmount, transactionDateTime FROM g_p2p_raw
 WHERE start_guid IN (SELECT guid FROM g_user) AND end_guid IN (SELECT guid FROM g_user)
+QUALIFY row_number() OVER (PARTITION BY start_guid, end_guid
+                           ORDER BY transactionDateTime DESC, totalAmount DESC, o_orderkey DESC) = 1"""),
+    "stream_edge_merge": _q(["g_p2p_raw", "g_user"], """
+SELECT start_guid, end_guid, totalAmount, transactionDateTime FROM g_p2p_raw
+WHERE start_guid IN (SELECT guid FROM g_user) AND end_guid IN (SELECT guid FROM g_user)
 QUALIFY row_number() OVER (PARTITION BY start_guid, end_guid
                            ORDER BY transactionDateTime DESC, totalAmount DESC, o_orderkey DESC) = 1"""),
     "edge_label_pairs": _q(["g_has_cc", "g_used", "g_has_ip", "g_p2p", "g_referred"], """

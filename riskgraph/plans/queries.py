@@ -417,6 +417,11 @@ def stream_identifier_degrees(spark, sf):
     return streamed_identifier_degrees(spark, sf)
 
 
+def stream_edge_merge(spark, sf):
+    from riskgraph.streaming.ingest import streamed_edge_merge
+    return streamed_edge_merge(spark, sf)
+
+
 QUERIES = {
     "identifier_degrees": identifier_degrees,
     "id_ratios": id_ratios,
@@ -488,4 +493,5 @@ QUERIES = {
     "louvain_report": louvain_report,
     "louvain_subgraph": louvain_subgraph,
     "stream_identifier_degrees": stream_identifier_degrees,
+    "stream_edge_merge": stream_edge_merge,
 }

@@ -88,7 +88,12 @@ def identifier_edges_from(lineitem: DataFrame, orders: DataFrame,
 
 def overlay_p2p(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw transfers, before endpoint matching (some receivers do not exist)."""
-    o = _read(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
+    return transfers_from(_read(spark, sf_dir, "orders"))
+
+
+def transfers_from(orders: DataFrame) -> DataFrame:
+    """The transfer derivation over given orders (a batch or a stream)."""
+    o = orders.where(F.col("o_orderstatus") == "P")
     return o.select(
         F.col("o_custkey").alias("start_guid"),
         (F.col("o_custkey") + 1 + F.col("o_orderkey") % 4).alias("end_guid"),

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskgraph.session import scratch_dir
-from riskgraph.sources.overlay import identifier_edges_from
-from riskgraph.sources.sinks import last_row_per_key
+from riskgraph.sources.overlay import identifier_edges_from, overlay_users, transfers_from
+from riskgraph.sources.sinks import attach_edges, last_row_per_key
 
 EPOCH = "_epoch"
 
@@ -93,3 +93,23 @@ def streamed_identifier_degrees(spark: SparkSession, sf_dir: str, files_per_trig
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return merged_view(spark, f"{run}/log", ["label", "guid"]).select("label", "guid", "degree")
+
+
+def streamed_edge_merge(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1) -> DataFrame:
+    """Transfers arrive as order files: each micro-batch derives the
+    transfers, matches both endpoints against the (static) users with
+    stream-static semi-joins, and is logged; the merged view keeps one edge
+    per (sender, receiver), the last by (epoch, date, amount, order)."""
+    run = scratch_dir(spark, f"streams/{uuid.uuid4().hex}")
+    schema = spark.read.parquet(posixpath.join(sf_dir, "orders.parquet")).schema
+    orders = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+              .option("pathGlobFilter", "orders*.parquet").parquet(sf_dir))
+    users = overlay_users(spark, sf_dir)
+    edges = attach_edges(transfers_from(orders), users, users)
+    q = start_upsert_stream(edges, f"{run}/log", f"{run}/checkpoint")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    merged = merged_view(spark, f"{run}/log", ["start_guid", "end_guid"],
+                         ["transactionDateTime", "totalAmount", "_order"])
+    return merged.select("start_guid", "end_guid", "totalAmount", "transactionDateTime")
