@@ -144,7 +144,13 @@ def weighted_degree_top(p: FraudPipeline, top: int = 10, key: str = "uid8") -> D
     e = (p.id_edges.join(touched, "end_guid", "left_semi")
          .join(non_risk, "start_guid", "left_semi")
          .join(rd, "end_guid"))
-    k = uid8("start_guid") if key == "uid8" else F.col("start_guid").cast("string")
+    if key == "uid8":
+        # real ids are 128-bit strings: their first 8 characters; integer
+        # test ids are first turned into a string id with md5
+        is_str = dict(p.id_edges.dtypes)["start_guid"] == "string"
+        k = F.left(F.col("start_guid"), F.lit(8)) if is_str else uid8("start_guid")
+    else:
+        k = F.col("start_guid").cast("string")
     g = e.groupBy(k.alias("uid")).agg(
         F.sum("fraudRiskRatio").alias("totalIdFraudRisk"),
         F.count(F.lit(1)).alias("numberFraudRiskIds"))
