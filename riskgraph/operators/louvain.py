@@ -80,12 +80,12 @@ def _one_level(edges: DataFrame, two_m: float, level: int, max_iter: int,
     # links bucketed on their target (hub targets split off and joined by a
     # bounded broadcast), so the per-round join of links to the communities
     # of their targets never reshuffles the edges.
+    links = split_hot(edges.where(F.col("src") != F.col("dst")), ["dst"], *hot)
     comm, obs = cut_lineage_observed(
         edges.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k"))
         .select("node", "k", F.col("node").alias("c")),
-        bucket_by=["node"], n=F.count(F.lit(1)))
+        bucket_by=["node"], buckets=links.buckets, n=F.count(F.lit(1)))
     n_nodes = obs["n"]
-    links = split_hot(edges.where(F.col("src") != F.col("dst")), ["dst"], *hot)
     total_moves, total_gain = 0, 0.0
     for it in range(max_iter):
         tot = comm.groupBy("c").agg(F.sum("k").alias("tot"))
@@ -106,7 +106,7 @@ def _one_level(edges: DataFrame, two_m: float, level: int, max_iter: int,
         comm, r = cut_lineage_observed(
             cur.select("node", F.when(go, F.col("b.cv")).otherwise(F.col("c")).alias("c"), "k",
                        F.when(go, gain).alias("gain")),
-            bucket_by=["node"], n=F.count("gain"), g=F.sum("gain"))
+            bucket_by=["node"], buckets=links.buckets, n=F.count("gain"), g=F.sum("gain"))
         n_moved, gained = r["n"], r["g"] or 0.0
         comm = comm.drop("gain")
         total_moves += n_moved

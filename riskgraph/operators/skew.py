@@ -28,24 +28,31 @@ class HotSplit:
     hot_keys: DataFrame | None      # at most ``max_hot_keys`` rows
     key: list[str]
     n_hot: int
+    buckets: int                    # bucket count of ``cold``; state tables use the same
+
+
+def bucket_count(spark, rows: int, rows_per_bucket: int = 1_000_000) -> int:
+    """About ``rows_per_bucket`` rows per bucket, at most the session's
+    shuffle-partition count (sized for the cluster at submit time)."""
+    return max(1, min(shuffle_partitions(spark), -(-rows // rows_per_bucket)))
 
 
 def split_hot(edges: DataFrame, key: list[str], max_hot_keys: int = 10_000,
-              min_hot_degree: int = 100_000) -> HotSplit:
+              min_hot_degree: int = 100_000, rows_per_bucket: int = 1_000_000) -> HotSplit:
     degrees = edges.groupBy(*key).agg(F.count(F.lit(1)).alias("__deg"))
     stats = degrees.agg(F.sum("__deg").alias("total"), F.max("__deg").alias("top")).first()
     total, top = stats["total"] or 0, stats["top"] or 0
     threshold = max(min_hot_degree, -(-total // max_hot_keys))
-    n = shuffle_partitions(edges.sparkSession)
+    n = bucket_count(edges.sparkSession, total, rows_per_bucket)
     if top <= threshold:          # the common case: no hot key, one aggregate
-        return HotSplit(bucketed_table(edges, key, n), None, None, key, 0)
+        return HotSplit(bucketed_table(edges, key, n), None, None, key, 0, n)
     hot_keys, obs = cut_lineage_observed(degrees.where(F.col("__deg") > threshold).select(*key),
                                          n=F.count(F.lit(1)))
     n_hot = obs["n"]
     # hot_keys has at most max_hot_keys rows: broadcasting it is bounded
     cold = bucketed_table(edges.join(F.broadcast(hot_keys), key, "left_anti"), key, n)
     hot = cut_lineage(edges.join(F.broadcast(hot_keys), key, "left_semi"))
-    return HotSplit(cold, hot, hot_keys, key, n_hot)
+    return HotSplit(cold, hot, hot_keys, key, n_hot, n)
 
 
 def join_state(split: HotSplit, state: DataFrame) -> DataFrame:

@@ -90,7 +90,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def cut_lineage_observed(df: DataFrame, bucket_by: list[str] | None = None,
+def cut_lineage_observed(df: DataFrame, bucket_by: list[str] | None = None, buckets: int | None = None,
                          **metrics) -> tuple[DataFrame, dict]:
     """``cut_lineage`` (or ``bucketed_table`` when ``bucket_by`` is given)
     that also returns aggregate metrics (``name=Column`` aggregates) of the
@@ -99,7 +99,7 @@ def cut_lineage_observed(df: DataFrame, bucket_by: list[str] | None = None,
     an observation registered on the session makes later pyspark.ml model
     transforms fail to serialise, so it is not used.)"""
     if bucket_by:
-        out = bucketed_table(df, bucket_by, shuffle_partitions(df.sparkSession))
+        out = bucketed_table(df, bucket_by, buckets or shuffle_partitions(df.sparkSession))
     else:
         out = cut_lineage(df)
     row = out.agg(*[c.alias(n) for n, c in metrics.items()]).first()
