@@ -58,7 +58,7 @@ def component_map(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     """``(node, comp)`` for every node that has at least one edge.
 
     ``edges``: ``(src, dst)`` in any orientation; self-loops are ignored.
-    The edge set is checkpointed (reliable folder) every round.
+    The edge set is written as a table in the checkpoint folder every round.
     """
     e = cut_lineage(_canonical(edges.select(F.col("src").alias("u"), F.col("dst").alias("v"))))
     for _ in range(max_rounds):
