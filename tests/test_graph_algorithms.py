@@ -244,3 +244,15 @@ def test_hot_key_split_gives_same_results(spark):
     a = {r.node: r.community for r in louvain(lnodes, entries).collect()}
     b = {r.node: r.community for r in louvain(lnodes, entries, max_hot_keys=2, min_hot_degree=5).collect()}
     assert a == b
+
+
+def test_projection_restricted_to_label_subsets(spark):
+    # HAS_CC edges of three users; only users 1 and 3 are "flagged"
+    e = spark.createDataFrame([(1, "c1"), (2, "c1"), (3, "c2"), (3, "c2")], "start_guid long, end_guid string")
+    flagged = _nodes(spark, [1, 3])
+    cards = spark.createDataFrame([("c1",), ("c2",)], "guid string")
+    p = project({"HAS_CC": e}, {"HAS_CC": {"orientation": REVERSE}}, src_nodes=flagged, dst_nodes=cards)
+    got = sorted((r.src, r.dst) for r in p.collect())
+    assert got == [("c1", 1), ("c2", 3), ("c2", 3)]        # user 2's edge vanished, parallel kept
+    d = {r.guid: r.flaggedDegree for r in deg.degree(cards, p, "flaggedDegree").collect()}
+    assert d == {"c1": 1, "c2": 2}
