@@ -98,7 +98,7 @@ def _one_level(edges: DataFrame, two_m: float, level: int, max_iter: int,
             F.min(F.when(F.col("cv") != F.col("c"),
                          F.struct((-score).alias("ns"), F.col("cv").alias("cv")))).alias("b"),
             F.sum(F.when(F.col("cv") == F.col("c"), F.col("kin")).otherwise(0.0)).alias("kin_own"))
-        cur = comm.join(tot, "c").join(best, "node", "left")
+        cur = comm.join(best, "node", "left").join(tot, "c")
         gain = (-F.col("b.ns") - F.col("kin_own") / F.lit(m)
                 + F.col("k") * (F.col("tot") - F.col("k")) / F.lit(2.0 * m * m))
         eligible = F.pmod(F.xxhash64(F.col("node"), F.lit(level), F.lit(it)), F.lit(2)) == 0
