@@ -30,3 +30,14 @@ def test_fixture_values_sf0001(spark):
     assert (pr.lo, pr.hi) == (0.15, 1.941817)
     cards = {r.flaggedUserRatio: r["count"] for r in Q["ratio_buckets_card_flagged"](spark, SF).collect()}
     assert cards == {"0": 75, "Between 0-1": 2}
+
+
+def test_louvain_on_the_test_graph_is_a_partition_and_improves_modularity(spark):
+    from riskgraph.operators.louvain import modularity
+    p = pipeline_for(spark, SF)
+    nodes, edges = p.louvain_graph()
+    lab = p.louvain_labels
+    assert lab.count() == nodes.count() == lab.select("node").distinct().count()   # a partition of all nodes
+    q = modularity(edges, lab)
+    singles = modularity(edges, nodes.select("node", F.col("node").alias("community")))
+    assert q > singles + 0.3 and q > 0.7
