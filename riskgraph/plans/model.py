@@ -37,9 +37,15 @@ def with_balanced_weights(train: DataFrame, label: str = "label") -> DataFrame:
 
 
 def fit_forest(train: DataFrame, features: list[str], label: str = "label", trees: int = N_TREES,
-               depth: int = MAX_DEPTH, seed: int = SEED):
+               depth: int = MAX_DEPTH, seed: int = SEED, key: str = "guid", rows_per_partition: int = 1_000_000):
+    """Bootstrap samples are drawn per partition, so the training rows are
+    first put into a layout that depends only on the data (hash of the key
+    into a count-derived number of partitions, sorted inside): the same
+    data and seed then give the same forest whatever the upstream plan."""
     asm = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    data = asm.transform(with_balanced_weights(train, label))
+    n = max(1, -(-train.count() // rows_per_partition))
+    stable = with_balanced_weights(train, label).repartition(n, key).sortWithinPartitions(key)
+    data = asm.transform(stable)
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", weightCol="weight",
                                 numTrees=trees, maxDepth=depth, seed=seed, bootstrap=True,
                                 featureSubsetStrategy="sqrt")
