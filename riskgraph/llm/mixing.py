@@ -32,6 +32,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
 from riskgraph.llm.common import WORD, cut_lineage
@@ -154,7 +155,7 @@ def plan_mix(docs: DataFrame, seed: str = SEED, **kw) -> DataFrame:
                        (F.col("_size") * F.col("_whole") + F.col("_part")).alias("taken"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _first_words(text: pd.Series, n: pd.Series) -> pd.Series:
     """The text up to the end of its n-th word (one document a source)."""
     def head(t: str, k: int) -> str:
