@@ -10,19 +10,26 @@ similarity is at least ``percent`` / 100, counted on the full sets.
    one node; copies are never paired.
 2. Inverted lists: a sketch's neighbouring values, two at a time, are keys. Of
    two sets' union, each of the ``k`` smallest hashes is common with
-   probability J; a common pair of neighbours is missing in all of the ``k``
-   with probability under 1e-6 for k = 48 at J = 0.8 (less above), and cannot
-   be missing where the sketches are whole sets. Keys of one node are dropped.
+   probability J, so two sets with J = 0.8 have 30 keys in common on average
+   and fewer than ``SHARED`` = 9 with probability 4e-7 (k = 48; less above; sets
+   smaller than ``k`` have at least ``(2 J - 1) n - 1`` for certain). A node with fewer
+   keys that any other node has is done. The others are listed under all but
+   the ``SHARED - 1`` most frequent of them, for two sets with that many common
+   keys must share a rarer one. So very common words and passages make no lists.
 3. Candidates grow with a list's length, not its square: a list pairs its
    members with one hub. Pairs whose overlap on the union's sketch is far below
    the threshold (``MARGIN`` standard deviations) are dropped, the others are
    verified on the full sets, which are taken from the texts again for the
    nodes in question alone.
-4. Links give connected components. In lists that still hold several, every
-   member outside the list's largest component is paired with all members of
-   other components. So no link between different components of any list is
-   lost, and no pair inside one is tried. While these pairs would be more than
-   ``FEW`` times the members, the lists get other hubs first (``ROUNDS`` at most).
+4. Links give connected components. In lists of more than ``SHORT`` members that
+   still hold several, members outside the largest one are paired with ``HUBS``
+   of its members, so a large group falls into few components. Then, in the short
+   lists, every member outside the largest component is paired with all members
+   of other components. The members of long lists are listed anew by the rarest
+   shingles of their full sets, where the same is done: similar sets share one
+   of these for certain, dissimilar ones that a common passage had brought
+   together do not. So no link between different components of any list is
+   lost, and no pair inside one is tried.
 
 Signatures and shingle hashes have 64 bits (two different sets among 10^10
 share a signature with odds of a few); nothing else is approximate but the
@@ -48,8 +55,9 @@ from riskgraph.llm.common import cut_lineage, mix64, segments, strings, word_has
 from riskgraph.operators.components import component_map
 
 K = 48
-ROUNDS = 3
-FEW = 8
+SHARED = 9
+SHORT = 50
+HUBS = 4
 MARGIN = 6.0
 FILTER_BITS = 22        # of the fixed-size filter by which texts are taken again
 
@@ -127,7 +135,7 @@ class _Linker:
         self.least = max(0.0, j - MARGIN * (j * (1 - j) / k) ** 0.5)
         self.links: DataFrame | None = None
 
-    def _sets(self, wanted: DataFrame) -> DataFrame:
+    def sets(self, wanted: DataFrame) -> DataFrame:
         """``(sig, grams)`` of the nodes ``wanted(sig)``. A filter of 2^22 bits
         over their documents' texts (at most 65,536 rows, whatever the data)
         keeps most other texts from the shuffle; the join then is exact."""
@@ -152,16 +160,17 @@ class _Linker:
                            .where(common >= F.size(union) * self.least).select("a", "b"))
         if not near.take(1):
             return near
-        grams = self._sets(near.select(F.explode(F.array("a", "b")).alias("sig")).distinct())
+        grams = self.sets(near.select(F.explode(F.array("a", "b")).alias("sig")).distinct())
         full = lambda c: grams.select(F.col("sig").alias(c), F.col("grams").alias("g" + c))
         inter = F.size(F.array_intersect("ga", "gb"))
         both = F.size("ga") + F.size("gb") - inter
         return cut_lineage(near.join(full("b"), "b").join(full("a"), "a")
                            .where(inter.cast("long") * 100 >= both.cast("long") * self.percent).select("a", "b"))
 
-    def add(self, pairs: DataFrame) -> DataFrame:
-        """Verifies ``pairs`` and returns ``(sig, comp)`` of all nodes with a link so far."""
+    def add(self, pairs: DataFrame, more: DataFrame | None = None) -> DataFrame:
+        """Verifies ``pairs``, adds the links ``more`` and returns ``(sig, comp)`` of all nodes with a link so far."""
         found = self.verify(pairs)
+        found = found if more is None else found.unionByName(more)
         self.links = found if self.links is None else cut_lineage(self.links.unionByName(found).distinct())
         if not self.links.take(1):
             return self.links.select(F.col("a").alias("sig"), F.col("b").alias("comp"))
@@ -177,34 +186,71 @@ def _with_comp(members: DataFrame, comps: DataFrame) -> DataFrame:
     return cut_lineage(m.join(mixed, "key", "left_semi"))
 
 
-def _star(members: DataFrame, turn: int) -> DataFrame:
-    """Each list's members paired with its hub: the member whose hash is
-    smallest this turn, which lists of the same group have in common."""
-    pick = F.min(F.struct(F.xxhash64("sig", F.lit(turn)), "sig", "n", "comp"))
-    hubs = cut_lineage(members.groupBy("key").agg(pick.alias("h")).select(
-        "key", F.col("h.sig").alias("hub"), F.col("h.n").alias("hn"), F.col("h.comp").alias("hc")))
-    return (members.join(hubs, "key").where(F.col("comp") != F.col("hc"))
+def _largest(members: DataFrame) -> DataFrame:
+    """``(key, top)``: each list's largest component."""
+    counts = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
+    return cut_lineage(counts.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("x")).select("key", F.col("x.comp").alias("top")))
+
+
+def _star(members: DataFrame) -> DataFrame:
+    """Each list's members paired with its hub, the member of smallest hash."""
+    hubs = cut_lineage(members.groupBy("key").agg(F.min(F.struct("sig", "n")).alias("h"))
+                       .select("key", F.col("h.sig").alias("hub"), F.col("h.n").alias("hn")))
+    return (members.join(hubs, "key").where(F.col("sig") != F.col("hub"))
             .select(*_ordered("sig", "hub"), F.col("n").alias("na"), F.col("hn").alias("nb")))
 
 
-def _rest(members: DataFrame, factor: int | None) -> DataFrame | None:
-    """Members outside their list's largest component, with all members of
-    other components: what is left to try. None if these are more than
-    ``factor`` times the members."""
-    counts = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
-    largest = cut_lineage(counts.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("x"), F.sum("c").alias("size"))
-                          .select("key", F.col("x.comp").alias("top"), F.col("x.c").alias("c"), "size"))
-    if factor is not None:
-        n = largest.agg(F.sum((F.col("size") - F.col("c")) * F.col("size")).alias("tries"), F.sum("size").alias("size")).first()
-        if (n["tries"] or 0) > factor * (n["size"] or 0):
-            return None
-    few = cut_lineage(members.join(largest.select("key", "top"), "key").where(F.col("comp") != F.col("top")).select(
-        "key", F.col("sig").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx")))
-    return (members.join(few, "key").where(F.col("comp") != F.col("cx"))
+def _hubs_of_largest(members: DataFrame) -> DataFrame:
+    """Members outside their list's largest component, paired with ``HUBS``
+    members of it."""
+    m = cut_lineage(members.join(_largest(members), "key"))
+    pick = [F.min(F.struct(F.xxhash64("sig", F.lit(j)), "sig", "n")).alias(f"h{j}") for j in range(HUBS)]
+    hubs = cut_lineage(m.where("comp = top").groupBy("key").agg(*pick).select(
+        "key", F.explode(F.array_distinct(F.array(*[F.struct(F.col(f"h{j}.sig").alias("hub"), F.col(f"h{j}.n").alias("hn"))
+                                                    for j in range(HUBS)]))).alias("h")).select("key", "h.*"))
+    return (m.where("comp != top").join(hubs, "key")
+            .select(*_ordered("sig", "hub"), F.col("n").alias("na"), F.col("hn").alias("nb")))
+
+
+def _crossing(members: DataFrame) -> DataFrame:
+    """Members outside their list's largest component, paired with all members
+    of other components."""
+    few = cut_lineage(members.join(_largest(members), "key").where(F.col("comp") != F.col("top")).select(
+        "key", F.col("sig").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"), "top"))
+    other = (F.col("comp") != F.col("cx")) & ((F.col("comp") == F.col("top")) | (F.col("comp") < F.col("cx")))
+    return (members.join(few, "key").where(other)
             .select(*_ordered("sig", "x"), F.col("n").alias("na"), F.col("nx").alias("nb")))
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int = K, rounds: int = ROUNDS) -> DataFrame:
+def _links_by_rare_shingles(grams: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between components among full sets ``grams(sig,
+    grams)``. A set of n is listed under its n - ceil(J n) + 1 rarest shingles
+    (rarest among these sets); similar sets share one of them for certain. The
+    join looks at a pair in the list of its rarest common shingle alone, and
+    passes on links, not candidates."""
+    sized = grams.withColumn("n", F.size("grams"))
+    each = sized.select("sig", "n", F.explode("grams").alias("key"))
+    shared = cut_lineage(each.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
+    spare = F.expr(f"size(of) - cast(ceil(n * {percent} / 100) as int) + 1")
+    listed = cut_lineage(
+        each.join(shared, "key").groupBy("sig", "n").agg(F.collect_list(F.struct("c", "key")).alias("of"))
+        .withColumn("spare", spare).where("spare > 0")
+        .select("sig", "n", F.slice(F.array_sort("of"), F.lit(1), F.col("spare"))["key"].alias("keys")))
+    rare = _with_comp(listed.select("sig", "n", F.explode("keys").alias("key")), comps).drop("n")
+    full = cut_lineage(listed.select("sig", "n", "keys").join(grams, "sig"))
+    m = cut_lineage(rare.join(_largest(rare), "key"))
+    x = m.where("comp != top").join(full, "sig").select(
+        "key", *[F.col(c).alias("x_" + c) for c in ("sig", "comp", "n", "keys", "grams")])
+    inter = F.size(F.array_intersect("grams", "x_grams")).cast("long")
+    link = ((F.col("comp") != F.col("x_comp")) & ((F.col("comp") == F.col("top")) | (F.col("comp") < F.col("x_comp")))
+            & (F.least("n", "x_n") * 100 >= F.greatest("n", "x_n") * percent)
+            & (F.element_at(F.array_intersect("keys", "x_keys"), 1) == F.col("m_key"))
+            & (inter * 100 >= (F.col("n") + F.col("x_n") - inter) * percent))
+    y = m.join(full, "sig").withColumnRenamed("key", "m_key")
+    return cut_lineage(y.join(x, (F.col("m_key") == F.col("key")) & link).select(*_ordered("sig", "x_sig")))
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int = K) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept, text_hash, group_id)`` for
     every row: ``component_id`` is the smallest doc_id reachable, ``kept``
     whether it is the row's own, ``text_hash`` Spark's xxhash64 of the text,
@@ -217,20 +263,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int =
         F.min("doc_id").alias("doc_id"), F.min("text_hash").alias("text_hash"), F.first("n").alias("n"),
         F.first("sketch").alias("sketch")))
     keyed = nodes.select("sig", "n", F.explode(_keys(F.col("sketch"))).alias("key"))
-    shared = cut_lineage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"))
-    members = cut_lineage(keyed.join(shared, "key", "left_semi").withColumn("comp", F.col("sig")))
+    shared = cut_lineage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
+    need = F.when(F.col("n") >= k, SHARED).otherwise(
+        F.greatest(F.lit(1), F.least(F.lit(SHARED), F.floor((F.col("n") * (2 * percent - 100) - 100) / 100)))).cast("int")
+    rarest = (keyed.join(shared, "key").groupBy("sig", "n").agg(F.collect_list(F.struct("c", "key")).alias("of"))
+              .withColumn("spare", F.size("of") - need + 1).where("spare > 0"))       # k - 1 keys at most
+    members = cut_lineage(rarest.select("sig", "n", F.explode(F.slice(F.array_sort("of"), F.lit(1), F.col("spare"))).alias("x"))
+                          .select("sig", "n", "x.key").withColumn("comp", F.col("sig")))
     linker = _Linker(docs, nodes, words, k, percent)
-    comps = linker.add(_star(members, 0))
-    longer = members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 2").select("key")
-    members = members.join(cut_lineage(longer), "key", "left_semi")        # a list of two is done
-    for turn in range(1, rounds + 1):
+    comps = linker.add(_star(members))
+    length = cut_lineage(members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 2"))
+    members = _with_comp(members.join(length, "key"), comps)          # a list of two is done
+    long = members.where(F.col("c") > SHORT)
+    if long.take(1):
+        comps = linker.add(_hubs_of_largest(long))
         members = _with_comp(members, comps)
-        if not members.take(1):
-            break
-        last = _rest(members, factor=None if turn == rounds else FEW)
-        comps = linker.add(last if last is not None else _star(members, turn))
-        if last is not None:
-            break
+        long = members.where(F.col("c") > SHORT)
+    more = None
+    if long.take(1):
+        more = _links_by_rare_shingles(linker.sets(cut_lineage(long.select("sig").distinct())), comps, percent)
+    comps = linker.add(_crossing(members.where(F.col("c") <= SHORT)), more)
     named = nodes.select("sig", "doc_id").join(comps, "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
     named = cut_lineage(named)
     least = cut_lineage(named.groupBy("comp").agg(F.min("doc_id").alias("component_id")))
