@@ -15,7 +15,7 @@ their logarithms. A row carries a block's n-grams of one partition as an array:
 eight bytes an n-gram, a third of what a row each takes to shuffle.
 
 A block is the documents of one file split (by file name and start), in
-``ceil(split size / 16 MB)`` parts by hash, so it has a bounded size, and a
+``ceil(split size / 8 MB)`` parts by hash, so it has a bounded size, and a
 partition's share shrinks as ``spark.sql.shuffle.partitions`` grows with the
 data. No n-gram is hot: a block sends it once.
 
@@ -43,7 +43,7 @@ from riskgraph.llm.common import cut_lineage, mix64, strings, word_hashes
 
 ORDER, ALPHA = 2, 0.4
 _MUL = np.uint64(0xD6E8FEB86659FD93)
-_MB16 = 16 << 20
+_PART_BYTES = 8 << 20
 
 
 def ngrams(texts: list[str], order: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -131,7 +131,7 @@ def _score(order: int, parts: int, alpha: float):
             *(sums.column(c).to_pylist() for c in ("part", "width", "totals")), strict=True)}
         own_words = np.bincount(doc, minlength=len(texts))
         rest = (sum(w or 0 for w in sums.column("words").to_pylist()) - own_words[doc]).astype(np.float64)
-        other, own = [], []             # of each word's n-grams: occurrences elsewhere, and here
+        other = []                      # of each word's n-grams: occurrences elsewhere
         for n, g in enumerate(grams, 1):
             real = g != 0 if n > 1 else np.ones(len(g), bool)
             distinct, at = np.unique(g[real], return_inverse=True)
@@ -140,12 +140,14 @@ def _score(order: int, parts: int, alpha: float):
             if len(distinct):
                 total[by] = np.concatenate([arrived[n * parts + p] for p in range(parts)]).astype(np.int64)
             pair = doc[real] * max(len(distinct), 1) + at
+            elsewhere = np.zeros(len(g), np.int64)
+            elsewhere[real] = total[at]
+            del part, by, total, distinct, at
             _, where, times = np.unique(pair, return_inverse=True, return_counts=True)
-            elsewhere, here = np.zeros(len(g), np.int64), np.zeros(len(g), np.int64)
-            elsewhere[real] = total[at] - times[where]
-            here[real] = times[where]
+            elsewhere[real] -= times[where]
+            del pair, where, times, real
             other.append(elsewhere)
-            own.append(here)
+        del grams, arrived
         logp = np.log(np.maximum(other[0], 1) / np.maximum(rest, 1.0))
         place = np.arange(len(doc)) - np.searchsorted(doc, doc)
         longest = np.ones(len(doc), np.int64)
@@ -168,7 +170,7 @@ def _score(order: int, parts: int, alpha: float):
 def _split_parts(spark: SparkSession) -> int:
     number, unit = re.fullmatch(r"(\d+)\s*([a-z]*)", spark.conf.get("spark.sql.files.maxPartitionBytes").lower()).groups()
     size = int(number) << {"k": 10, "m": 20, "g": 30, "t": 40}.get(unit[:1], 0)
-    return max(1, -(-size // _MB16))
+    return max(1, -(-size // _PART_BYTES))
 
 
 def lm_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, written: bool = True) -> DataFrame:
