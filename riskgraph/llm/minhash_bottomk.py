@@ -96,22 +96,43 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))
 
 
-def _sketcher(words: int, k: int, whole: bool):
-    """Per text: signature, size and sketch; or, if ``whole``, the full set."""
+def _sketcher(words: int, k: int):
+    """Per text: signature, size and sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
         for b in batches:
             for a in range(0, b.num_rows, 1000):
                 part = b.slice(a, 1000)
                 sets = list(shingle_sets(strings(part.column("text")), words))
-                sig = pa.array([signature(s) for s in sets], pa.int64())
-                kept = _lists(sets if whole else [s[:k] for s in sets])
-                if whole:
-                    yield pa.RecordBatch.from_arrays([sig, kept], ["sig", "grams"])
-                else:
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column("doc_id"), part.column("text_hash"), sig,
-                         pa.array([len(s) for s in sets], pa.int64()), kept], ["doc_id", "text_hash", "sig", "n", "sketch"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("text_hash"), pa.array([signature(s) for s in sets], pa.int64()),
+                     pa.array([len(s) for s in sets], pa.int64()), _lists([s[:k] for s in sets])],
+                    ["doc_id", "text_hash", "sig", "n", "sketch"])
+    return run
+
+
+def _full_sets(words: int):
+    """Per ``(sig, text)``: the full set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        np.seterr(over="ignore")
+        for b in batches:
+            for a in range(0, b.num_rows, 1000):
+                part = b.slice(a, 1000)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("sig"), _lists(list(shingle_sets(strings(part.column("text")), words)))], ["sig", "grams"])
+    return run
+
+
+def _confirm(words: int, percent: int):
+    """The pairs whose texts' full sets are similar enough."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        np.seterr(over="ignore")
+        for b in batches:
+            for a in range(0, b.num_rows, 500):
+                part = b.slice(a, 500)
+                both = zip(*(shingle_sets(strings(part.column(c)), words) for c in ("ta", "tb")), strict=True)
+                common = [(len(np.intersect1d(x, y, assume_unique=True)), len(x) + len(y)) for x, y in both]
+                yield part.select(["a", "b"]).filter(pa.array([100 * i >= percent * (n - i) for i, n in common], pa.bool_()))
     return run
 
 
@@ -135,20 +156,21 @@ class _Linker:
         self.least = max(0.0, j - MARGIN * (j * (1 - j) / k) ** 0.5)
         self.links: DataFrame | None = None
 
-    def sets(self, wanted: DataFrame) -> DataFrame:
-        """``(sig, grams)`` of the nodes ``wanted(sig)``. A filter of 2^22 bits
-        over their documents' texts (at most 65,536 rows, whatever the data)
+    def texts(self, wanted: DataFrame) -> DataFrame:
+        """``(sig, text)`` of the nodes ``wanted(sig)``. A filter of 2^22 bits
+        over their texts' hashes (at most 65,536 rows, whatever the data)
         keeps most other texts from the shuffle; the join then is exact."""
         hashes = cut_lineage(self.nodes.join(wanted, "sig", "left_semi").select("text_hash", "sig"))
         at = f"(text_hash & {2 ** FILTER_BITS - 1})"
         word, bit = F.expr(f"shiftright({at}, 6)"), f"cast({at} & 63 as int)"
         bits = hashes.groupBy(word.alias("word")).agg(F.expr(f"bit_or(shiftleft(1L, {bit}))").alias("bits"))
-        texts = (self.docs.withColumn("word", word).join(F.broadcast(bits), "word")
-                 .where(F.expr(f"(shiftright(bits, {bit}) & 1L) = 1")).select("text", "text_hash")
-                 .join(hashes.select("text_hash"), "text_hash", "left_semi")
-                 .groupBy("text_hash").agg(F.first("text").alias("text")).select("text"))
-        return cut_lineage(texts.mapInArrow(_sketcher(self.words, self.k, True), "sig long, grams array<long>")
-                           .join(hashes.select("sig"), "sig", "left_semi"))
+        return cut_lineage(self.docs.withColumn("word", word).join(F.broadcast(bits), "word")
+                           .where(F.expr(f"(shiftright(bits, {bit}) & 1L) = 1")).select("text", "text_hash")
+                           .join(hashes, "text_hash").groupBy("sig").agg(F.first("text").alias("text")))
+
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """``(sig, grams)``: the full sets of the nodes ``wanted(sig)``."""
+        return cut_lineage(self.texts(wanted).mapInArrow(_full_sets(self.words), "sig long, grams array<long>"))
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """Links ``(a, b)`` among the candidate ``pairs(a, b, na, nb)``."""
@@ -160,18 +182,26 @@ class _Linker:
                            .where(common >= F.size(union) * self.least).select("a", "b"))
         if not near.take(1):
             return near
-        grams = self.sets(near.select(F.explode(F.array("a", "b")).alias("sig")).distinct())
-        full = lambda c: grams.select(F.col("sig").alias(c), F.col("grams").alias("g" + c))
-        inter = F.size(F.array_intersect("ga", "gb"))
-        both = F.size("ga") + F.size("gb") - inter
-        return cut_lineage(near.join(full("b"), "b").join(full("a"), "a")
-                           .where(inter.cast("long") * 100 >= both.cast("long") * self.percent).select("a", "b"))
-
-    def add(self, pairs: DataFrame, more: DataFrame | None = None) -> DataFrame:
-        """Verifies ``pairs``, adds the links ``more`` and returns ``(sig, comp)`` of all nodes with a link so far."""
-        found = self.verify(pairs)
-        found = found if more is None else found.unionByName(more)
-        self.links = found if self.links is None else cut_lineage(self.links.unionByName(found).distinct())
+        texts = self.texts(near.select(F.explode(F.array("a", "b")).alias("sig")).distinct())
+        text = lambda c: texts.select(F.col("sig").alias(c), F.col("text").alias("t" + c))
+        return cut_lineage(near.join(text("b"), "b").join(text("a"), "a").select("a", "b", "ta", "tb")
+                           .mapInArrow(_confirm(self.words, self.percent), "a long, b long"))
+
+    def close(self, pairs: DataFrame) -> DataFrame:
+        """Verifies ``pairs``; ``(sig, comp)`` after two rounds of smallest
+        neighbour over all links. Nodes of one ``comp`` are connected, which
+        is all that skipping pairs needs; not every component is whole yet."""
+        self.gather(self.verify(pairs))
+        both = cut_lineage(self.links.unionByName(self.links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+        one = cut_lineage(both.groupBy("a").agg(F.least("a", F.min("b")).alias("comp")))
+        return cut_lineage(both.join(one.select(F.col("a").alias("b"), "comp"), "b").groupBy(F.col("a").alias("sig"))
+                           .agg(F.min("comp").alias("comp")))
+
+    def gather(self, found: DataFrame) -> None:
+        self.links = found if self.links is None else cut_lineage(self.links.unionByName(found))
+
+    def components(self) -> DataFrame:
+        """``(sig, comp)`` of all nodes with a link."""
         if not self.links.take(1):
             return self.links.select(F.col("a").alias("sig"), F.col("b").alias("comp"))
         return cut_lineage(component_map(self.links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
@@ -257,7 +287,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int =
     ``group_id`` one value per component."""
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = cut_lineage(docs.mapInArrow(_sketcher(words, k, False),
+    rows = cut_lineage(docs.mapInArrow(_sketcher(words, k),
                                        f"doc_id {kind}, text_hash long, sig long, n long, sketch array<long>"))
     nodes = cut_lineage(rows.where("n > 0").groupBy("sig").agg(
         F.min("doc_id").alias("doc_id"), F.min("text_hash").alias("text_hash"), F.first("n").alias("n"),
@@ -271,18 +301,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int =
     members = cut_lineage(rarest.select("sig", "n", F.explode(F.slice(F.array_sort("of"), F.lit(1), F.col("spare"))).alias("x"))
                           .select("sig", "n", "x.key").withColumn("comp", F.col("sig")))
     linker = _Linker(docs, nodes, words, k, percent)
-    comps = linker.add(_star(members))
+    comps = linker.close(_star(members))
     length = cut_lineage(members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 2"))
     members = _with_comp(members.join(length, "key"), comps)          # a list of two is done
     long = members.where(F.col("c") > SHORT)
     if long.take(1):
-        comps = linker.add(_hubs_of_largest(long))
+        comps = linker.close(_hubs_of_largest(long))
         members = _with_comp(members, comps)
         long = members.where(F.col("c") > SHORT)
-    more = None
     if long.take(1):
-        more = _links_by_rare_shingles(linker.sets(cut_lineage(long.select("sig").distinct())), comps, percent)
-    comps = linker.add(_crossing(members.where(F.col("c") <= SHORT)), more)
+        grams = linker.sets(long.select("sig").distinct())
+        linker.gather(_links_by_rare_shingles(grams, comps, percent))
+    linker.gather(linker.verify(_crossing(members.where(F.col("c") <= SHORT))))
+    comps = linker.components()
     named = nodes.select("sig", "doc_id").join(comps, "sig", "left").withColumn("comp", F.coalesce("comp", "sig"))
     named = cut_lineage(named)
     least = cut_lineage(named.groupBy("comp").agg(F.min("doc_id").alias("component_id")))
