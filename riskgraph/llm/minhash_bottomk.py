@@ -21,15 +21,13 @@ similarity is at least ``percent`` / 100, counted on the full sets.
    the threshold (``MARGIN`` standard deviations) are dropped, the others are
    verified on the full sets, which are taken from the texts again for the
    nodes in question alone.
-4. Links give connected components. In lists of more than ``SHORT`` members that
-   still hold several, members outside the largest one are paired with ``HUBS``
-   of its members, so a large group falls into few components. Then, in the short
-   lists, every member outside the largest component is paired with all members
-   of other components. The members of long lists are listed anew by the rarest
-   shingles of their full sets, where the same is done: similar sets share one
-   of these for certain, dissimilar ones that a common passage had brought
-   together do not. So no link between different components of any list is
-   lost, and no pair inside one is tried.
+4. Links give components. In lists of at most ``SHORT`` members that still hold
+   several, every member outside the largest component is paired with all
+   members of other components. The members of longer lists are listed anew by
+   the rarest shingles of their full sets, where the same is done: similar sets
+   share one of these for certain, dissimilar ones that a common passage had
+   brought together do not. So no link between different components of any list
+   is lost, and no pair inside one is tried.
 
 Signatures and shingle hashes have 64 bits (two different sets among 10^10
 share a signature with odds of a few); nothing else is approximate but the
@@ -57,7 +55,6 @@ from riskgraph.operators.components import component_map
 K = 48
 SHARED = 9
 SHORT = 50
-HUBS = 4
 MARGIN = 6.0
 FILTER_BITS = 22        # of the fixed-size filter by which texts are taken again
 
@@ -187,25 +184,29 @@ class _Linker:
         return cut_lineage(near.join(text("b"), "b").join(text("a"), "a").select("a", "b", "ta", "tb")
                            .mapInArrow(_confirm(self.words, self.percent), "a long, b long"))
 
-    def close(self, pairs: DataFrame) -> DataFrame:
-        """Verifies ``pairs``; ``(sig, comp)`` after two rounds of smallest
-        neighbour over all links. Nodes of one ``comp`` are connected, which
-        is all that skipping pairs needs; not every component is whole yet."""
-        self.gather(self.verify(pairs))
+    def gather(self, found: DataFrame) -> None:
+        self.links = found if self.links is None else cut_lineage(self.links.unionByName(found))
+
+    def labels(self) -> DataFrame:
+        """``(sig, comp)`` after two rounds of smallest neighbour over the
+        links so far. Nodes of one ``comp`` are connected, which is all that
+        skipping pairs needs; a component may still have several."""
         both = cut_lineage(self.links.unionByName(self.links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-        one = cut_lineage(both.groupBy("a").agg(F.least("a", F.min("b")).alias("comp")))
+        one = both.groupBy("a").agg(F.least("a", F.min("b")).alias("comp"))
         return cut_lineage(both.join(one.select(F.col("a").alias("b"), "comp"), "b").groupBy(F.col("a").alias("sig"))
                            .agg(F.min("comp").alias("comp")))
 
-    def gather(self, found: DataFrame) -> None:
-        self.links = found if self.links is None else cut_lineage(self.links.unionByName(found))
-
     def components(self) -> DataFrame:
-        """``(sig, comp)`` of all nodes with a link."""
-        if not self.links.take(1):
-            return self.links.select(F.col("a").alias("sig"), F.col("b").alias("comp"))
-        return cut_lineage(component_map(self.links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
-                           .select(F.col("node").alias("sig"), "comp"))
+        """``(sig, comp)`` of all nodes with a link: the labels, and connected
+        components over what links still cross them."""
+        labels = self.labels()
+        side = lambda c: labels.select(F.col("sig").alias(c), F.col("comp").alias("c" + c))
+        cross = cut_lineage(self.links.join(side("a"), "a").join(side("b"), "b").where("ca != cb")
+                            .select(F.col("ca").alias("src"), F.col("cb").alias("dst")).distinct())
+        if not cross.take(1):
+            return labels
+        whole = component_map(cross).select(F.col("node").alias("comp"), F.col("comp").alias("whole"))
+        return cut_lineage(labels.join(whole, "comp", "left").select("sig", F.coalesce("whole", "comp").alias("comp")))
 
 
 def _with_comp(members: DataFrame, comps: DataFrame) -> DataFrame:
@@ -230,18 +231,6 @@ def _star(members: DataFrame) -> DataFrame:
             .select(*_ordered("sig", "hub"), F.col("n").alias("na"), F.col("hn").alias("nb")))
 
 
-def _hubs_of_largest(members: DataFrame) -> DataFrame:
-    """Members outside their list's largest component, paired with ``HUBS``
-    members of it."""
-    m = cut_lineage(members.join(_largest(members), "key"))
-    pick = [F.min(F.struct(F.xxhash64("sig", F.lit(j)), "sig", "n")).alias(f"h{j}") for j in range(HUBS)]
-    hubs = cut_lineage(m.where("comp = top").groupBy("key").agg(*pick).select(
-        "key", F.explode(F.array_distinct(F.array(*[F.struct(F.col(f"h{j}.sig").alias("hub"), F.col(f"h{j}.n").alias("hn"))
-                                                    for j in range(HUBS)]))).alias("h")).select("key", "h.*"))
-    return (m.where("comp != top").join(hubs, "key")
-            .select(*_ordered("sig", "hub"), F.col("n").alias("na"), F.col("hn").alias("nb")))
-
-
 def _crossing(members: DataFrame) -> DataFrame:
     """Members outside their list's largest component, paired with all members
     of other components."""
@@ -301,14 +290,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int =
     members = cut_lineage(rarest.select("sig", "n", F.explode(F.slice(F.array_sort("of"), F.lit(1), F.col("spare"))).alias("x"))
                           .select("sig", "n", "x.key").withColumn("comp", F.col("sig")))
     linker = _Linker(docs, nodes, words, k, percent)
-    comps = linker.close(_star(members))
+    linker.gather(linker.verify(_star(members)))
+    comps = linker.labels()
     length = cut_lineage(members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 2"))
     members = _with_comp(members.join(length, "key"), comps)          # a list of two is done
     long = members.where(F.col("c") > SHORT)
-    if long.take(1):
-        comps = linker.close(_hubs_of_largest(long))
-        members = _with_comp(members, comps)
-        long = members.where(F.col("c") > SHORT)
     if long.take(1):
         grams = linker.sets(long.select("sig").distinct())
         linker.gather(_links_by_rare_shingles(grams, comps, percent))
