@@ -101,6 +101,7 @@ def search(vectors: DataFrame, queries: DataFrame, task: Callable[[pa.Table, pa.
     ``shards``."""
     rows = vectors.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = queries.withColumn("shard", F.explode("shards")).drop("shards")
+    asked = asked.select(*[F.col(c).alias(c) for c in asked.columns])       # not the attributes of ``vectors``
     keys = ["dim", "shard", "block"]
     return (rows.groupBy(*keys).cogroup(asked.groupBy(*keys))
             .applyInArrow(task, f"query_id long, vec_id long, score {score}"))
