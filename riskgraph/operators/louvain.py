@@ -60,7 +60,7 @@ def modularity(edges: DataFrame, assign: DataFrame) -> float:
 
 
 def _one_level(edges: DataFrame, two_m: float, level: int, max_iter: int,
-               min_moved_fraction: float, tolerance: float,
+               tolerance: float,
                hot: tuple[int, int] = (10_000, 100_000)) -> tuple[DataFrame, int, float]:
     """Local moving on one level over the nodes that have edges (a node
     without edges never moves). Returns ``(node, community)``, the number of
@@ -72,8 +72,9 @@ def _one_level(edges: DataFrame, two_m: float, level: int, max_iter: int,
     D depends only on ``kin_D/m - k tot_D/(2 m^2)``, so the best target, the
     weight into the own community and the final gain all come out of ONE
     partial aggregate per node. Only a hash-chosen half of the nodes may
-    move in a round, so neighbours rarely swap places; a round that gains
-    less than ``tolerance`` (sum of the movers' gains) ends the level.
+    move in an even round and the other half in the next, so neighbours rarely
+    swap places; two such rounds that together move nothing or gain less than
+    ``tolerance`` (sum of the movers' gains) end the level.
     """
     m = two_m / 2.0
     # The community table is written bucketed on the node and the level's
@@ -81,12 +82,11 @@ def _one_level(edges: DataFrame, two_m: float, level: int, max_iter: int,
     # bounded broadcast), so the per-round join of links to the communities
     # of their targets never reshuffles the edges.
     links = split_hot(edges.where(F.col("src") != F.col("dst")), ["dst"], *hot)
-    comm, obs = cut_lineage_observed(
+    comm, _ = cut_lineage_observed(
         edges.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k"))
         .select("node", "k", F.col("node").alias("c")),
         bucket_by=["node"], buckets=links.buckets, n=F.count(F.lit(1)))
-    n_nodes = obs["n"]
-    total_moves, total_gain = 0, 0.0
+    total_moves, total_gain, last_moved, last_gained = 0, 0.0, 0, 0.0
     for it in range(max_iter):
         tot = comm.groupBy("c").agg(F.sum("k").alias("tot"))
         kin = (join_state(links, comm.select(F.col("node").alias("dst"), F.col("c").alias("cv")))
@@ -101,7 +101,7 @@ def _one_level(edges: DataFrame, two_m: float, level: int, max_iter: int,
         cur = comm.join(best, "node", "left").join(tot, "c")
         gain = (-F.col("b.ns") - F.col("kin_own") / F.lit(m)
                 + F.col("k") * (F.col("tot") - F.col("k")) / F.lit(2.0 * m * m))
-        eligible = F.pmod(F.xxhash64(F.col("node"), F.lit(level), F.lit(it)), F.lit(2)) == 0
+        eligible = F.pmod(F.xxhash64(F.col("node"), F.lit(level), F.lit(it // 2)), F.lit(2)) == it % 2
         go = F.col("b").isNotNull() & (gain > F.lit(1e-12)) & eligible
         comm, r = cut_lineage_observed(
             cur.select("node", F.when(go, F.col("b.cv")).otherwise(F.col("c")).alias("c"), "k",
@@ -111,15 +111,15 @@ def _one_level(edges: DataFrame, two_m: float, level: int, max_iter: int,
         comm = comm.drop("gain")
         total_moves += n_moved
         total_gain += gained
-        if n_moved == 0 and it > 0:
-            break
-        if it > 0 and (gained < tolerance or n_moved < min_moved_fraction * n_nodes):
+        # an even round and the next have offered every node a move
+        if it % 2 == 1 and (n_moved + last_moved == 0 or gained + last_gained < tolerance):
             break
+        last_moved, last_gained = n_moved, gained
     return comm.select("node", F.col("c").alias("community")), total_moves, total_gain
 
 
 def louvain(nodes: DataFrame, edges: DataFrame, max_levels: int = 10, max_iter: int = 10,
-            tolerance: float = 1e-4, min_moved_fraction: float = 0.001,
+            tolerance: float = 1e-4,
             max_hot_keys: int = 10_000, min_hot_degree: int = 100_000) -> DataFrame:
     """Communities ``(node, community)`` for every node of ``nodes(node)``.
 
@@ -135,7 +135,7 @@ def louvain(nodes: DataFrame, edges: DataFrame, max_levels: int = 10, max_iter:
     if two_m == 0:
         return cut_lineage(assign)
     for level in range(max_levels):
-        comm, moves, gained = _one_level(edges, two_m, level, max_iter, min_moved_fraction, tolerance,
+        comm, moves, gained = _one_level(edges, two_m, level, max_iter, tolerance,
                                          (max_hot_keys, min_hot_degree))
         if moves == 0:
             break

@@ -179,7 +179,7 @@ SELECT o_custkey + (o_orderkey % 2) * 1000000 AS guid,
        CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS fraudMoneyTransfer,
        CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_totalprice END AS moneyTransferErrorCancelAmount,
        o_orderdate AS lastOrderDate, o_orderkey AS seq
-FROM orders WHERE o_orderpriority = '1-URGENT'""")
+FROM orders""")
 _cte("nb", ["nb_raw"], """
 SELECT guid, fraudMoneyTransfer, moneyTransferErrorCancelAmount, lastOrderDate FROM nb_raw
 QUALIFY row_number() OVER (PARTITION BY guid ORDER BY lastOrderDate DESC, seq DESC) = 1""")

@@ -283,7 +283,7 @@ _CACHE: dict = {}
 def pipeline_for(spark: SparkSession, sf_dir: str) -> FraudPipeline:
     """One pipeline per (session, folder), so queries of one run share the
     loaded graph and the materialised stages."""
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (spark, sf_dir.rstrip("/"))       # the session itself: an id can be used again
     p = _CACHE.get(key)
     if p is None:
         p = FraudPipeline.for_testdata(spark, sf_dir, materialize=True)

@@ -55,9 +55,9 @@ def load_totals(spark, sf):
 
 
 def _user_batch(spark, sf) -> DataFrame:
-    """A second batch of user rows derived from urgent orders: several rows
+    """A second batch of user rows derived from all orders: several rows
     per key, new keys for odd orders, nulls for open orders."""
-    o = _read(spark, sf, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    o = _read(spark, sf, "orders")
     return o.select(
         (F.col("o_custkey") + (F.col("o_orderkey") % 2) * 1000000).alias("guid"),
         F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("fraudMoneyTransfer"),

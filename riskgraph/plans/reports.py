@@ -21,7 +21,7 @@ def ratio_buckets(deg: DataFrame, label: str, num: str, out: str) -> DataFrame:
     d = deg.where((F.col("label") == label) & (F.col("degree") > 1))
     b = d.groupBy(ratio_bucket(num, "degree").alias(out)).agg(F.count(F.lit(1)).alias("count"))
     total = F.sum("count").over(Window.partitionBy())
-    return b.select(out, "count", r3(F.col("count") / total).alias("percentCount"))
+    return b.select(out, "count", r3(F.col("count") / total).alias("percentCount")).orderBy(out)
 
 
 def size_distribution(sizes: DataFrame, col: str, prefix: str = "", pct_digits: int | None = None) -> DataFrame:

@@ -63,6 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
             return sc.getCheckpointDir() or configured
         return configured
+    if sc is not None and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="riskgraph-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(local)
@@ -118,7 +120,8 @@ def bucketed_table(df: DataFrame, cols: list[str], buckets: int) -> DataFrame:
     spark = df.sparkSession
     name = f"rg_{uuid.uuid4().hex}"
     path = scratch_dir(spark, f"tables/{name}")
-    (df.write.mode("overwrite").bucketBy(buckets, *cols)
+    # dealt by the bucket columns first, so each bucket is one file
+    (df.repartition(buckets, *cols).write.mode("overwrite").bucketBy(buckets, *cols)
      .option("path", path).saveAsTable(name))
     return spark.table(name)
 

@@ -77,6 +77,16 @@ def list_files(spark: SparkSession, directory: str, glob: str) -> list[str]:
     return sorted(r.path for r in listing.collect())
 
 
+def list_tables(spark: SparkSession, directory: str) -> list[str]:
+    """Paths of the Parquet tables under ``directory``: the outermost folder
+    (or file) named ``*.parquet``, also of partitioned tables. Part files are
+    folded into their table on the executors."""
+    inside = F.regexp_extract("path", r"^(.*?[^/]\.parquet)(/.*)?$", 1)
+    listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+               .load(directory).select(inside.alias("path")).distinct())
+    return sorted(r.path for r in listing.collect())
+
+
 def discover(spark: SparkSession, directory: str) -> dict[str, list[tuple[str, str]]]:
     """Find Parquet tables in ``directory`` and classify each by base name.
 
@@ -85,14 +95,11 @@ def discover(spark: SparkSession, directory: str) -> dict[str, list[tuple[str, s
     table is a folder ``<table>.parquet/part-*.parquet``: its folder names it.
     """
     found: dict[str, str] = {}
-    for p in list_files(spark, directory, "*.parquet"):
-        parent = posixpath.dirname(p)
-        if posixpath.basename(parent).endswith(".parquet"):
-            table_path = parent
-        else:
-            table_path = p
+    for p in list_tables(spark, directory):
+        table_path = p
         name = posixpath.basename(table_path)[: -len(".parquet")]
-        found.setdefault(name, table_path)
+        if found.setdefault(name, table_path) != table_path:
+            raise ValueError(f"two tables are named {name}: {found[name]} and {table_path}")
     out: dict[str, list[tuple[str, str]]] = {"nodes": [], "edges": [], "unknown": []}
     for name, path in sorted(found.items()):
         kind = classify(name)

@@ -36,7 +36,7 @@ def load_graph(spark: SparkSession, directory: str, parallel_edges: str = "keep"
     for table, path in found["edges"]:
         etype, start_label, end_label, props = EDGE_TABLES[table]
         if start_label not in nodes or end_label not in nodes:
-            continue
+            raise ValueError(f"{table}: no node table for {start_label} or {end_label} in the folder")
         raw = normalise_timestamps(spark.read.parquet(path))
         raw = raw.select("start_guid", "end_guid", *[p for p in props if p in raw.columns])
         if parallel_edges == "merge":

@@ -75,3 +75,27 @@ def test_no_new_risk_share_returns_no_row(spark):
 
     assert reports.p2p_flagged_share(P()).count() == 0
     assert reports.p2p_total_share(P()).count() == 0
+
+
+def test_tables_are_found_once_and_whole(spark, tmpdir_path):
+    import pytest
+
+    from riskgraph.sources import files
+    e = spark.createDataFrame([("a", "b", 1), ("a", "c", 2)], "start_guid string, end_guid string, d int")
+    e.write.partitionBy("d").parquet(f"{tmpdir_path}/x/p2p.parquet")
+    found = files.discover(spark, f"{tmpdir_path}/x")
+    assert [t for t, _ in found["edges"]] == ["p2p"] and not found["unknown"]
+    e.write.parquet(f"{tmpdir_path}/x/again/p2p.parquet")
+    with pytest.raises(ValueError):
+        files.discover(spark, f"{tmpdir_path}/x")
+
+
+def test_louvain_offers_every_node_a_move(spark):
+    from pyspark.sql import functions as F
+
+    from riskgraph.operators.louvain import louvain
+    pairs = [(f"n{i}", f"n{i + 1}") for i in range(0, 40, 2)]
+    e = spark.createDataFrame([(a, b, 1.0) for a, b in pairs] + [(b, a, 1.0) for a, b in pairs], "src string, dst string, w double")
+    nodes = e.select(F.col("src").alias("node")).distinct()
+    got = {r["node"]: r["community"] for r in louvain(nodes, e).collect()}
+    assert all(got[a] == got[b] for a, b in pairs)
