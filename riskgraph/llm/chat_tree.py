@@ -84,8 +84,10 @@ def _ancestors(nodes: DataFrame) -> list[DataFrame]:
     steps, limit = [step], nodes.count()
     while 2 ** len(steps) <= 2 * limit and len(step.where("anc is not null").take(1)):
         up = step.select("t", F.col("m").alias("anc"), F.col("anc").alias("anc2"), F.col("total").alias("more"))
-        step = cut_lineage(step.join(up, ["t", "anc"], "left").select(
-            "t", "m", F.col("anc2").alias("anc"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total")))
+        # only messages that have such an ancestor are joined: fewer each round
+        higher = step.where("anc is not null").join(up, ["t", "anc"]).select(
+            "t", "m", F.col("anc2").alias("anc"), (F.col("total") + F.col("more")).alias("total"))
+        step = cut_lineage(step.where("anc is null").unionByName(higher))
         steps.append(step)
     return steps
 
