@@ -11,8 +11,11 @@ block of documents keeps each of its n-grams once, with its count, so what is
 shuffled are distinct n-grams of blocks. They are grouped into count tables by
 hash partition; each partition sums its n-grams over all blocks and joins the
 sums back to the blocks' n-grams; the blocks' documents look theirs up and sum
-their logarithms. A row carries a block's n-grams of one partition as an array:
-eight bytes an n-gram, a third of what a row each takes to shuffle.
+their logarithms. A row carries a block's n-grams of one partition as an array
+in order: the gaps between their hashes, byte by byte, compressed (under six
+bytes an n-gram). What goes back is each n-gram's count in other blocks, nearly
+always 0 for long n-grams, and so next to nothing. Texts are shuffled
+compressed too. None of this drops an n-gram.
 
 A block is the documents of one file split (by file name and start), in
 ``ceil(split size / 8 MB)`` parts by hash, so it has a bounded size, and a
@@ -67,6 +70,22 @@ def _part(grams: np.ndarray, parts: int) -> np.ndarray:
     return (grams % np.uint64(parts)).astype(np.int64)
 
 
+_ZSTD = pa.Codec("zstd", compression_level=1)
+_TEXTS = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Whole numbers by byte planes (the high ones are mostly 0), compressed."""
+    return _ZSTD.compress(x.astype(np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes(), asbytes=True) if len(x) else b""
+
+
+def _unpacked(x: bytes, n: int) -> np.ndarray:
+    if not n:
+        return np.zeros(0, np.uint64)
+    planes = np.frombuffer(_ZSTD.decompress(x, 8 * n, asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view(np.uint64).ravel()
+
+
 def _block_rows(block: str, texts: list[str], order: int, parts: int) -> list[tuple]:
     rows = []
     for n, g in enumerate(ngrams(texts, order)[0], 1):
@@ -74,22 +93,24 @@ def _block_rows(block: str, texts: list[str], order: int, parts: int) -> list[tu
         part = _part(distinct, parts)
         by = np.argsort(part, kind="stable")
         cuts = np.searchsorted(part[by], np.arange(parts + 1))
-        distinct, count = distinct[by], count[by].astype(np.uint32)
-        rows += [(n * parts + p, block, distinct[a:z].tobytes(), count[a:z].tobytes())
-                 for p, (a, z) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))]
+        # the partition tells the remainder; the quotients ascend
+        distinct, count = distinct[by] // np.uint64(parts), count[by]
+        rows += [(n * parts + p, block, int(z - a), _packed(np.diff(distinct[a:z], prepend=np.uint64(0))),
+                  _packed(count[a:z])) for p, (a, z) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))]
     return rows
 
 
 def _explode(order: int, parts: int):
-    """Rows ``(part, block, grams, counts)`` of the blocks that a task reads."""
+    """Rows ``(part, block, size, grams, counts)`` of the blocks that a task reads."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[str]] = {}
 
         def give(block: str) -> pa.RecordBatch:
             cols = list(zip(*_block_rows(block, held.pop(block), order, parts), strict=True))
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.string(), pa.binary(), pa.binary()), strict=True)],
-                ["part", "block", "grams", "counts"])
+                [pa.array(c, t) for c, t in zip(
+                    cols, (pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.binary()), strict=True)],
+                ["part", "block", "size", "grams", "counts"])
 
         for b in batches:
             files = b.column("file")
@@ -104,41 +125,59 @@ def _explode(order: int, parts: int):
     return run
 
 
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``(block, docs)``: a block's documents of a batch, compressed."""
+    for b in batches:
+        blocks, docs = b.column("block"), b.select(["doc_id", "text"])
+        out = []
+        for block in pc.unique(blocks).to_pylist():
+            sink = pa.BufferOutputStream()
+            own = docs.filter(pc.equal(blocks, block))
+            with pa.ipc.new_stream(sink, own.schema, options=_TEXTS) as w:
+                w.write_batch(own)
+            out.append((block, sink.getvalue().to_pybytes()))
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.string()),
+                                          pa.array([x[1] for x in out], pa.binary())], ["block", "docs"])
+
+
 def _sum_part(order_parts: int):
-    """Sums one partition's n-grams over blocks, and joins the sums back."""
+    """Sums one partition's n-grams over blocks, and gives each block how often
+    its n-grams occur in others."""
     def run(t: pa.Table) -> pa.Table:
-        grams = [np.frombuffer(x, np.uint64) for x in t.column("grams").to_pylist()]
-        counts = [np.frombuffer(x, np.uint32) for x in t.column("counts").to_pylist()]
+        sizes = t.column("size").to_pylist()
+        grams = [np.cumsum(_unpacked(x, n), dtype=np.uint64)
+                 for x, n in zip(t.column("grams").to_pylist(), sizes, strict=True)]
+        counts = [_unpacked(x, n) for x, n in zip(t.column("counts").to_pylist(), sizes, strict=True)]
         distinct, at = np.unique(np.concatenate(grams), return_inverse=True)
+        del grams
         total = np.bincount(at, np.concatenate(counts), minlength=len(distinct)).astype(np.uint64)
         words = int(total.sum()) if t.column("part")[0].as_py() < 2 * order_parts else 0
-        ends = np.cumsum([len(g) for g in grams])
-        found = [total[at[e - len(g):e]] for g, e in zip(grams, ends, strict=True)]
-        narrow = np.uint32 if not len(total) or int(total.max()) < 2**32 else np.uint64
-        return pa.table({"part": t.column("part"), "block": t.column("block"),
-                         "width": pa.array([np.dtype(narrow).itemsize] * len(found), pa.int32()),
-                         "totals": pa.array([x.astype(narrow).tobytes() for x in found], pa.binary()),
-                         "words": pa.array([words] * len(found), pa.int64())})
+        ends = np.cumsum(sizes)
+        others = [_packed(total[at[e - n:e]] - c) for c, n, e in zip(counts, sizes, ends, strict=True)]
+        return pa.table({"part": t.column("part"), "block": t.column("block"), "size": t.column("size"),
+                         "others": pa.array(others, pa.binary()),
+                         "words": pa.array([words] * len(others), pa.int64())})
     return run
 
 
 def _score(order: int, parts: int, alpha: float):
     """Scores the documents of a block with the sums of its n-grams."""
     def run(docs: pa.Table, sums: pa.Table) -> pa.Table:
+        docs = pa.concat_tables(pa.ipc.open_stream(x).read_all() for x in docs.column("docs").to_pylist())
         texts = strings(docs.column("text"))
         grams, doc = ngrams(texts, order)
-        arrived = {p: np.frombuffer(x, np.uint32 if w == 4 else np.uint64) for p, w, x in zip(
-            *(sums.column(c).to_pylist() for c in ("part", "width", "totals")), strict=True)}
+        arrived = {p: _unpacked(x, n) for p, n, x in zip(
+            *(sums.column(c).to_pylist() for c in ("part", "size", "others")), strict=True)}
         own_words = np.bincount(doc, minlength=len(texts))
         rest = (sum(w or 0 for w in sums.column("words").to_pylist()) - own_words[doc]).astype(np.float64)
         other = []                      # of each word's n-grams: occurrences elsewhere
         for n, g in enumerate(grams, 1):
             real = g != 0 if n > 1 else np.ones(len(g), bool)
-            distinct, at = np.unique(g[real], return_inverse=True)
-            part, total = _part(distinct, parts), np.zeros(len(distinct), np.int64)
+            distinct, at, total = np.unique(g[real], return_inverse=True, return_counts=True)
+            part = _part(distinct, parts)
             by = np.argsort(part, kind="stable")
             if len(distinct):
-                total[by] = np.concatenate([arrived[n * parts + p] for p in range(parts)]).astype(np.int64)
+                total[by] += np.concatenate([arrived[n * parts + p] for p in range(parts)]).astype(np.int64)
             pair = doc[real] * max(len(distinct), 1) + at
             elsewhere = np.zeros(len(g), np.int64)
             elsewhere[real] = total[at]
@@ -185,9 +224,10 @@ def lm_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, written
     rows = docs.withColumn("file", file).withColumn("block", F.concat(
         "file", F.lit("#"), F.pmod(F.xxhash64("doc_id"), F.lit(_split_parts(spark))).cast("string")))
     exploded = rows.select("file", "block", "text").mapInArrow(
-        _explode(order, parts), "part int, block string, grams binary, counts binary")
+        _explode(order, parts), "part int, block string, size int, grams binary, counts binary")
     sums = exploded.groupBy("part").applyInArrow(
-        _sum_part(parts), "part int, block string, width int, totals binary, words long")
-    scored = rows.select("doc_id", "block", "text").groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(
+        _sum_part(parts), "part int, block string, size int, others binary, words long")
+    texts = rows.select("doc_id", "block", "text").mapInArrow(_texts, "block string, docs binary")
+    scored = texts.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(
         _score(order, parts, alpha), f"doc_id {kind}, n_words long, n_backoff long, n_unseen long, log_prob double")
     return scored.withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")))

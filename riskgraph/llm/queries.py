@@ -42,7 +42,7 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = lm_backoff.lm_scores(table(spark, sf_dir, "documents"))
+    s = lm_backoff.lm_scores(table(spark, sf_dir, "documents"), order=3)
     return s.select("doc_id", "n_words", "n_backoff", "n_unseen", F.round("log_prob", 6).alias("log_prob"),
                     F.round("mean_log_prob", 6).alias("mean_log_prob"))
 
