@@ -32,7 +32,8 @@ SIMILARITY_TOP_K = 10
 MIN_RISK_USERS = 2           # communities with more than two risk users
 AVG_RISK_CUT = 0.25
 PAGERANK_DAMPING = 0.85
-PAGERANK_ITER = 20           # oracle-checked round count (cap 1000 with tol 1e-7 in the API)
+PAGERANK_ITER = 1000         # cap; a run ends once every score moves less than the tolerance
+PAGERANK_TOL = 1e-7
 
 PAGERANK_FEATURES = {
     "p2pSharedCardPageRank": "pagerank_shared_card",
@@ -46,7 +47,7 @@ PAGERANK_FEATURES = {
 
 class FraudPipeline:
     def __init__(self, spark: SparkSession, graph: Graph, pagerank_iter: int = PAGERANK_ITER,
-                 pagerank_tol: float | None = None, exclusive_ids: str = "infinite"):
+                 pagerank_tol: float | None = PAGERANK_TOL, exclusive_ids: str = "infinite"):
         """``exclusive_ids``: weight of a degree-1 identifier in the
         similarity graph, ``"infinite"`` (IEEE 1/0, its owner then scores 0
         with everyone) or ``"ignore"`` (such identifiers are left out)."""
