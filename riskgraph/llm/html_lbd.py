@@ -48,6 +48,8 @@ _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe xmp noembed noframes".split())
+#: Searched in the page itself: a lower-cased copy can be longer (U+0130).
+_RAW_END = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW}
 UNSEEN = RAW | frozenset("head svg math object canvas audio video map select option button datalist dialog".split())
 BOILERPLATE = frozenset("nav footer aside form menu fieldset".split())
 LAYOUT = frozenset("""html body div section table thead tbody tfoot tr ul ol dl main article header footer nav aside form
@@ -111,7 +113,7 @@ class _Lines:
 
 def page_lines(page: str, by_name: bool = True) -> list[tuple[str, int, bool]]:
     out, stack = _Lines(), []           # open elements: (tag, dropped since here, main since here, link)
-    at, raw = 0, page.lower() if "<" in page else ""
+    at = 0
 
     def state() -> tuple:
         return stack[-1] if stack else ("", False, False, False)
@@ -157,7 +159,8 @@ def page_lines(page: str, by_name: bool = True) -> list[tuple[str, int, bool]]:
                 out.parts.append(" ")
             continue
         if tag in RAW:                  # its content is no markup
-            end = raw.find(f"</{tag}", at)
+            ends = _RAW_END[tag].search(page, at)
+            end = ends.start() if ends else -1
             at = len(page) if end < 0 else end
             if not m[0].endswith("/>") or end >= 0:
                 close_at = page.find(">", at)
