@@ -108,6 +108,6 @@ def nearest(embeddings: DataFrame, k: int = 20, every: int = 20, factor: float =
     """``(query_id, rank, vec_id, score)``: the ``k`` vectors found nearest to
     each row whose vec_id is divisible by ``every``."""
     nonzero = F.exists("embedding", lambda x: x != 0)
-    vectors, asked, shards, blocks = dealt(embeddings, finite(F.col("embedding")) & nonzero, every, shard_rows, block_rows)
+    vectors, asked, shards, blocks = dealt(embeddings, finite(F.col("embedding")) & nonzero, every, shard_rows, block_rows, k)
     asked = asked.withColumn("shards", F.sequence(F.lit(0), F.lit(shards - 1)))
     return ranked(search(vectors, asked, _task(factor, k, leaf), "double", blocks), k)

@@ -1,7 +1,9 @@
 """Searching vectors in shards: rows are dealt to shards by hash and queries to
 blocks; a task meets one shard and one block of queries, builds the shard's
 tree and searches it for the block. Both sides have a bounded size, whatever
-the table's. Vectors of different lengths never meet."""
+the table's: rows that repeat a vec_id and its vector are counted first, and k
+of them go to the shards, each dealt on its own (a query can rank no more than k
+of them, and they are alike). Vectors of different lengths never meet."""
 
 from __future__ import annotations
 
@@ -107,18 +109,20 @@ def search(vectors: DataFrame, queries: DataFrame, task: Callable[[pa.Table, pa.
             .applyInArrow(task, f"query_id long, vec_id long, score {score}"))
 
 
-def dealt(embeddings: DataFrame, keep: Column, every: int, shard_rows: int, block_rows: int):
+def dealt(embeddings: DataFrame, keep: Column, every: int, shard_rows: int, block_rows: int, k: int):
     """(vectors, queries, shards, blocks). Queries are the rows whose vec_id is
     divisible by ``every``; a repeated vec_id asks once, with its smallest
     vector."""
     v = cut_lineage(embeddings.where(keep & F.col("vec_id").isNotNull()).select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"),
-        F.size("embedding").alias("dim")))
+        F.size("embedding").alias("dim")).groupBy("vec_id", "v", "dim").agg(
+        F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("copies")))
     asked = v.where(F.col("vec_id") % every == 0)
-    n = v.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("vec_id") % every == 0).alias("q")).first()
+    n = v.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("n"), F.count_if(F.col("vec_id") % every == 0).alias("q")).first()
     shards, blocks = max(1, -(-n["n"] // shard_rows)), max(1, -(-n["q"] // block_rows))
-    h = F.xxhash64("vec_id", "v")
-    vectors = v.withColumn("shard", F.pmod(h, F.lit(shards)).cast("int"))
+    h = F.xxhash64("vec_id", "v", "copy")
+    vectors = (v.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+               .withColumn("shard", F.pmod(h, F.lit(shards)).cast("int")).drop("copy", "copies"))
     asked = (asked.groupBy("vec_id").agg(F.min(F.struct("dim", "v")).alias("x")).select("vec_id", "x.v", "x.dim")
              .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")))
     return vectors, asked, shards, blocks

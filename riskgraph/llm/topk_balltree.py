@@ -99,7 +99,7 @@ def topk(embeddings: DataFrame, k: int = 10, every: int = 100, scale: int = 1024
     whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("double"))
     keep = finite(F.col("embedding"))
     kept = embeddings.where(keep & small).select("vec_id", whole.alias("embedding"))
-    vectors, asked, shards, blocks = dealt(kept, F.lit(True), every, shard_rows, block_rows)
+    vectors, asked, shards, blocks = dealt(kept, F.lit(True), every, shard_rows, block_rows, k)
     none = F.lit(float("-inf"))
     run = _task(k, leaf)
     seed = cut_lineage(search(vectors.where("shard = 0"), asked.withColumn("floor", none).withColumn(
