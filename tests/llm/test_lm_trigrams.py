@@ -1,60 +1,13 @@
-"""op5 scores with contexts of two words, then one, then none."""
+"""op5 scores with contexts of two words, then one, then none; the query itself is held
+against its SQL in test_llm_queries."""
 
 import math
-import os
 from collections import Counter
 
-import duckdb
 import numpy as np
 import pytest
 
 from riskgraph.llm import lm_backoff
-from riskgraph.llm.queries import QUERIES
-from tests.conftest import SF_SMALL
-from tests.llm.test_llm_queries import values
-
-TRIGRAM_SQL = r"""
-WITH d AS (
-  SELECT row_number() OVER () AS r, doc_id,
-         regexp_extract_all(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''),
-                            '[^\x20\x09-\x0D]+') AS words FROM documents),
-w AS (SELECT r, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM d),
-b AS (SELECT r, i, w, lag(w) OVER (PARTITION BY r ORDER BY i) AS c,
-             lag(w, 2) OVER (PARTITION BY r ORDER BY i) AS e FROM w),
-g AS (SELECT r, 1 AS n, [w] AS g FROM b
-      UNION ALL SELECT r, 2, [c, w] FROM b WHERE i > 1
-      UNION ALL SELECT r, 3, [e, c, w] FROM b WHERE i > 2),
-own AS (SELECT r, g, count(*) AS n FROM g GROUP BY r, g),
-rest AS (SELECT r, g, sum(n) OVER (PARTITION BY g) - n AS n FROM own),
-t AS (SELECT count(*) AS n FROM b),
-x AS (
-  SELECT b.r, b.i, r1.n AS n1, r2.n AS n2, r3.n AS n3, c1.n AS c1, c2.n AS c2, t.n - len(d.words) AS others
-  FROM b JOIN d ON d.r = b.r CROSS JOIN t
-  LEFT JOIN rest r1 ON r1.r = b.r AND r1.g = [b.w] LEFT JOIN rest c1 ON c1.r = b.r AND c1.g = [b.c]
-  LEFT JOIN rest r2 ON r2.r = b.r AND r2.g = [b.c, b.w] LEFT JOIN rest c2 ON c2.r = b.r AND c2.g = [b.e, b.c]
-  LEFT JOIN rest r3 ON r3.r = b.r AND r3.g = [b.e, b.c, b.w]),
-s AS (
-  SELECT r, count(*) FILTER ((i = 2 AND n2 = 0) OR (i > 2 AND n3 = 0)) AS n_backoff,
-         count(*) FILTER (n1 = 0) AS n_unseen,
-         sum(CASE WHEN i > 2 AND n3 > 0 THEN ln(n3::DOUBLE / c2)
-                  WHEN i > 1 AND n2 > 0 THEN ln(n2::DOUBLE / c1) + CASE WHEN i > 2 THEN ln(0.4) ELSE 0 END
-                  ELSE ln(greatest(n1, 1)::DOUBLE / greatest(others, 1)) + least(i - 1, 2) * ln(0.4) END) AS lp
-  FROM x GROUP BY r)
-SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n_backoff, 0)::BIGINT AS n_backoff,
-       coalesce(n_unseen, 0)::BIGINT AS n_unseen, round(coalesce(lp, 0.0), 6) AS log_prob,
-       CASE WHEN len(d.words) > 0 THEN round(lp / len(d.words), 6) END AS mean_log_prob
-FROM d LEFT JOIN s ON s.r = d.r"""
-
-
-def test_op5_counts_trigrams(spark):
-    con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{os.path.join(SF_SMALL, 'documents')}.parquet'")
-    want = con.execute(TRIGRAM_SQL).df()
-    got = QUERIES["op5_backoff_lm"](spark, SF_SMALL).toPandas()
-    columns = sorted(want.columns)
-    assert sorted(got.columns) == columns
-    assert values(got, columns) == values(want, columns)
-
 
 def brute(texts, order, alpha=0.4):
     """(words, words that back off, log_prob) of each text by the definition."""
