@@ -1,13 +1,22 @@
-"""PageRank (unweighted and weighted) as an iterative DataFrame job.
+"""PageRank (unweighted and weighted) by pushing residuals.
 
-Several PageRank runs over different edge sets are computed together in a
-long ``(variant, guid, pr)`` table, so one round is one join + one partial
-aggregate for ALL variants instead of one job per variant and round.
+The score of a node is ``(1 - d) * sum_k d^k P_k``: what it holds at the start
+plus all that ever reaches it. A round is therefore a push: every node of the
+*frontier* (whatever it received in the last round, if that is more than
+``tol``) sends ``d * received * share`` along its out-edges, and what arrives
+is added to the receivers' scores. A node that received no more than the
+tolerance sends nothing, a run (variant) without such nodes has no row left
+and costs nothing, and the job ends when no run has any. The shares of one
+node never add up to more than 1, so whatever is not sent on is bounded by
+``tol`` a node and round.
 
-Semantics: non-normalised ``pr(v) = (1 - d) + d * sum(pr(u) * share(u->v))``
-starting from ``1 - d``; ``share`` is ``1/outdeg(u)`` or ``w/sum(w)`` over u's
-positive-weight edges; dangling mass is not redistributed. A run stops
-after ``max_iter`` rounds or once every score moved less than ``tol``.
+Several runs over different edge sets are pushed together as one long
+``(variant, node, residual)`` table, so a round is one join and one partial
+aggregate for all of them.
+
+Semantics: non-normalised ``pr(v) = (1 - d) + d * sum(pr(u) * share(u->v))``;
+``share`` is ``1/outdeg(u)`` or ``w/sum(w)`` over u's positive-weight edges;
+dangling mass is not redistributed.
 """
 
 from __future__ import annotations
@@ -17,72 +26,86 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskgraph.operators.skew import join_state, split_hot
-from riskgraph.session import cut_lineage
+from riskgraph.operators.joinback import join_back
+from riskgraph.operators.skew import HotSplit, join_state, split_hot
+from riskgraph.session import cut_lineage, cut_lineage_observed, shuffle_partitions
+
+MAX_ITER = 1000
+TOLERANCE = 1e-7
+
+
+def edge_shares(edges: DataFrame) -> DataFrame:
+    """``(variant, src, dst, w)`` -> ``(variant, src, dst, share)``; the out-sums
+    are a partial aggregate joined back, with hubs' rows spread by a salt."""
+    with_sum = join_back(edges, ["variant", "src"], tot=F.sum("w"))
+    return with_sum.select("variant", "src", "dst", (F.col("w") / F.col("tot")).alias("share"))
 
 
-def edge_shares(edges: DataFrame, weighted: bool) -> DataFrame:
-    """``(src, dst, w)`` -> ``(src, dst, share)``; out-sums are a partial
-    aggregate joined back on ``src`` (no window over a hub's edges)."""
-    if weighted:
-        e = edges.where(F.col("w") > 0)
-        tot = e.groupBy("src").agg(F.sum("w").alias("tot"))
-        return e.join(tot, "src").select("src", "dst", (F.col("w") / F.col("tot")).alias("share"))
-    deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
-    return edges.join(deg, "src").select("src", "dst", (F.lit(1.0) / F.col("deg")).alias("share"))
+def _push(links: HotSplit, state: DataFrame, damping: float, tol: float) -> DataFrame:
+    """One round: ``state(variant, src, r, acc)`` -> the same one push later.
+    The link table holds a pseudo-link of every node to itself (share null),
+    on which the node's score so far travels, so that the state is read once
+    and a round stays one join and one aggregate."""
+    own = F.col("share").isNull()
+    sent = F.when(F.col("r") > F.lit(tol), F.lit(damping) * F.col("r") * F.col("share")).otherwise(F.lit(0.0))
+    moved = join_state(links, state).where(own | (F.col("r") > F.lit(tol))).select(
+        "variant", F.col("dst").alias("src"),
+        F.when(own, F.lit(0.0)).otherwise(sent).alias("r"),
+        F.when(own, F.col("acc")).otherwise(sent).alias("acc"))
+    return moved.groupBy("variant", "src").agg(F.sum("r").alias("r"), F.sum("acc").alias("acc"))
 
 
 def pagerank_many(nodes: DataFrame, variants: dict[str, tuple[DataFrame, bool]],
-                  damping: float = 0.85, max_iter: int = 20, tol: float | None = None,
-                  cut_every: int = 5, max_hot_keys: int = 10_000, min_hot_degree: int = 100_000) -> DataFrame:
+                  damping: float = 0.85, max_iter: int = MAX_ITER, tol: float = TOLERANCE,
+                  cut_every: int = 8, max_hot_keys: int = 10_000, min_hot_degree: int = 100_000) -> DataFrame:
     """Run PageRank for every variant ``name -> (edges(src,dst,w), weighted)``.
 
     Returns ``(variant, guid, pagerank)`` for every node of ``nodes`` and
-    every variant. The share table is written once, bucketed on
-    ``(variant, src)``: each round's join of ranks to edges then shuffles
-    only the rank side, never the edges. Sources with a huge out-degree are
-    split off first (``skew.split_hot``) and joined to a broadcast of their
-    own ranks, so no bucket holds a hot node. A round reads the previous ranks
-    once (new ranks come from the static node table left-joined to the
-    incoming contributions), so several rounds can share one plan; the
-    ranks are written out every ``cut_every`` rounds, and every round when
-    a tolerance needs the change between rounds.
+    every variant. ``cut_every`` rounds make one plan; its result is written:
+    the frontier for the next rounds and, for every node that was reached,
+    what it got (a delta, summed once at the end). Only rows of nodes that
+    were reached are written, so late plans over a small frontier are small.
+    The links are written once, bucketed on ``(variant, src)`` into as many
+    buckets as a shuffle has partitions: a round's aggregate leaves its rows
+    where the next round's join wants them, so a round has one exchange and
+    never moves a link. Sources with a huge out-degree are split off
+    (``skew.split_hot``) and joined to a broadcast of their own rows (at most
+    ``max_hot_keys``), so no bucket holds a hub; a plan then makes one round,
+    as both parts read the frontier.
     """
     spark = nodes.sparkSession
-    names = list(variants)
-    shares = [edge_shares(e, weighted).select(F.lit(n).alias("variant"), "src", "dst", "share")
-              for n, (e, weighted) in variants.items()]
-    e_all = split_hot(cut_lineage(reduce(DataFrame.unionByName, shares)), ["variant", "src"],
-                      max_hot_keys, min_hot_degree)
+    weights = [(e.where(F.col("w") > 0) if weighted else e.withColumn("w", F.lit(1.0)))
+               .select(F.lit(n).alias("variant"), "src", "dst", F.col("w").cast("double").alias("w"))
+               for n, (e, weighted) in variants.items()]
+    shares = edge_shares(cut_lineage(reduce(DataFrame.unionByName, weights)))
+    start = cut_lineage(nodes.select(F.explode(F.array(*[F.lit(n) for n in variants])).alias("variant"),
+                                     F.col("guid").alias("src")))
+    known = start.select("src").distinct()
+    edges = cut_lineage(shares.join(known.select(F.col("src").alias("dst")), "dst", "left_semi")
+                        .select("variant", "src", "dst", "share"))
+    loops = start.select("variant", "src", F.col("src").alias("dst"), F.lit(None).cast("double").alias("share"))
+    links = split_hot(edges.unionByName(loops), ["variant", "src"], max_hot_keys, min_hot_degree,
+                      buckets=shuffle_partitions(spark))
     base = 1.0 - damping
-    node_variants = cut_lineage(nodes.select(
-        F.explode(F.array(*[F.lit(n) for n in names])).alias("variant"), "guid"))
-    ranks = node_variants.withColumn("pr", F.lit(base))
-    since_cut = 0
-    for it in range(max_iter):
-        contrib = (join_state(e_all, ranks.withColumnRenamed("guid", "src"))
-                   .groupBy("variant", F.col("dst").alias("guid"))
-                   .agg(F.sum(F.col("pr") * F.col("share")).alias("s")))
-        new = node_variants.join(contrib, ["variant", "guid"], "left").select(
-            "variant", "guid", (F.lit(base) + F.lit(damping) * F.coalesce(F.col("s"), F.lit(0.0))).alias("pr"))
-        since_cut += 1
-        if tol is not None:
-            new = cut_lineage(new)
-            moved = (new.join(ranks.withColumnRenamed("pr", "old"), ["variant", "guid"])
-                     .agg(F.max(F.abs(F.col("pr") - F.col("old"))).alias("m")).first()["m"] or 0.0)
-            ranks = new
-            if moved < tol:
-                break
-        elif since_cut >= cut_every or it == max_iter - 1:
-            ranks = cut_lineage(new)
-            since_cut = 0
-        else:
-            ranks = new
-    return ranks.withColumnRenamed("pr", "pagerank")
+    frontier, reached, done = start.withColumn("r", F.lit(base)), [], 0
+    while done < max_iter:
+        state = frontier.select("variant", "src", "r", F.lit(0.0).alias("acc"))
+        rounds = min(1 if links.n_hot else cut_every, max_iter - done)
+        for _ in range(rounds):
+            state = _push(links, state, damping, tol)
+        got, seen = cut_lineage_observed(state.where((F.col("acc") > 0) | (F.col("r") > 0)),
+                                         live=F.count(F.when(F.col("r") > F.lit(tol), 1)))
+        done += rounds
+        reached.append(got.select("variant", "src", "acc"))
+        if not seen["live"]:
+            break
+        frontier = got.where(F.col("r") > F.lit(tol)).select("variant", "src", "r")
+    total = reduce(DataFrame.unionByName, [start.select("variant", "src", F.lit(base).alias("acc")), *reached])
+    return cut_lineage(total.groupBy("variant", F.col("src").alias("guid")).agg(F.sum("acc").alias("pagerank")))
 
 
 def pagerank(nodes: DataFrame, edges: DataFrame, weighted: bool = False, damping: float = 0.85,
-             max_iter: int = 20, tol: float | None = None) -> DataFrame:
+             max_iter: int = MAX_ITER, tol: float = TOLERANCE) -> DataFrame:
     """Single PageRank run: ``(guid, pagerank)``."""
     r = pagerank_many(nodes, {"pr": (edges, weighted)}, damping, max_iter, tol)
     return r.select("guid", "pagerank")

@@ -38,12 +38,12 @@ def bucket_count(spark, rows: int, rows_per_bucket: int = 1_000_000) -> int:
 
 
 def split_hot(edges: DataFrame, key: list[str], max_hot_keys: int = 10_000,
-              min_hot_degree: int = 100_000, rows_per_bucket: int = 1_000_000) -> HotSplit:
+              min_hot_degree: int = 100_000, rows_per_bucket: int = 1_000_000, buckets: int | None = None) -> HotSplit:
     degrees = edges.groupBy(*key).agg(F.count(F.lit(1)).alias("__deg"))
     stats = degrees.agg(F.sum("__deg").alias("total"), F.max("__deg").alias("top")).first()
     total, top = stats["total"] or 0, stats["top"] or 0
     threshold = max(min_hot_degree, -(-total // max_hot_keys))
-    n = bucket_count(edges.sparkSession, total, rows_per_bucket)
+    n = buckets or bucket_count(edges.sparkSession, total, rows_per_bucket)
     if top <= threshold:          # the common case: no hot key, one aggregate
         return HotSplit(bucketed_table(edges, key, n), None, None, key, 0, n)
     hot_keys, obs = cut_lineage_observed(degrees.where(F.col("__deg") > threshold).select(*key),

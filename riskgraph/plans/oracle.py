@@ -4,7 +4,7 @@ Each query is the graph overlay of FIXTURES.md plus the stage CTEs it needs,
 assembled from named fragments (dependencies resolved in order). The SQL
 is independent of the Spark code: plain joins and aggregates, a recursive
 CTE for component labels (propagating smaller labels) and one carrying the
-PageRank round number.
+PageRank round number and what each round pushed.
 """
 
 from __future__ import annotations
@@ -27,18 +27,18 @@ SELECT o_custkey AS start_guid,
        concat('C', CAST(floor(o_custkey / 3) AS BIGINT), '-', l_partkey % 4) AS end_guid,
        l_shipdate AS cardDate
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-WHERE l_returnflag = 'R' AND l_linenumber = 1""")
+WHERE l_returnflag = 'R'""")
 _cte("g_used", [], """
 SELECT o_custkey AS start_guid,
        CASE WHEN l_suppkey % 6 = 5 THEN concat('DH', CAST(floor(o_custkey / 50) AS BIGINT))
             ELSE concat('D', CAST(floor(o_custkey / 5) AS BIGINT), '-', l_suppkey % 6) END AS end_guid,
        l_shipdate AS deviceDate
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-WHERE l_returnflag = 'A' AND l_linenumber = 1""")
+WHERE l_returnflag = 'A'""")
 _cte("g_has_ip", [], """
 SELECT o_custkey AS start_guid, concat('I', l_suppkey) AS end_guid, l_shipdate AS ipDate
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-WHERE l_returnflag = 'N' AND l_linenumber <= 2""")
+WHERE l_returnflag = 'N'""")
 _cte("g_p2p_raw", [], """
 SELECT o_custkey AS start_guid, o_custkey + 1 + o_orderkey % 4 AS end_guid,
        o_totalprice AS totalAmount, o_orderdate AS transactionDateTime, o_orderkey
@@ -127,17 +127,18 @@ UNION ALL SELECT 'pagerank_shared_card_reverse', end_guid, start_guid, 1.0 FROM
 UNION ALL SELECT 'pagerank_weighted_p2p_sent', s, d, amt FROM pp WHERE amt > 0
 UNION ALL SELECT 'pagerank_weighted_p2p_received', d, s, amt FROM pp WHERE amt > 0""")
 _cte("pe", ["pre"], "SELECT v, src, dst, w / sum(w) OVER (PARTITION BY v, src) AS sh FROM pre")
-_cte("pr", ["g_user", "pe"], """
-SELECT 0 AS it, vv.v, u.guid, CAST(0.15 AS DOUBLE) AS r
-FROM g_user u, (VALUES ('pagerank_p2p_sent'), ('pagerank_p2p_received'), ('pagerank_shared_card'),
-                       ('pagerank_shared_card_reverse'), ('pagerank_weighted_p2p_sent'),
-                       ('pagerank_weighted_p2p_received')) vv(v)
+_cte("vv", [], """
+SELECT v FROM (VALUES ('pagerank_p2p_sent'), ('pagerank_p2p_received'), ('pagerank_shared_card'),
+                      ('pagerank_shared_card_reverse'), ('pagerank_weighted_p2p_sent'),
+                      ('pagerank_weighted_p2p_received')) t(v)""")
+# what reaches a user in round ``it``; whoever got more than the tolerance sends it on
+_cte("push", ["g_user", "vv", "pe"], """
+SELECT 0 AS it, v, guid, CAST(0.15 AS DOUBLE) AS r FROM g_user, vv
 UNION ALL
-SELECT p.it + 1, p.v, p.guid,
-       0.15 + 0.85 * coalesce((SELECT sum(q.r * e.sh) FROM pe e JOIN pr q ON q.guid = e.src AND q.v = e.v
-                               WHERE e.dst = p.guid AND e.v = p.v), 0)
-FROM pr p WHERE p.it < 20""")
-_cte("prf", ["pr"], "SELECT v, guid, r AS pagerank FROM pr WHERE it = 20")
+SELECT p.it + 1, p.v, e.dst, 0.85 * sum(p.r * e.sh)
+FROM push p JOIN pe e ON e.v = p.v AND e.src = p.guid
+WHERE p.r > 1e-7 AND p.it < 1000 GROUP BY p.it, p.v, e.dst""")
+_cte("prf", ["push"], "SELECT v, guid, sum(r) AS pagerank FROM push GROUP BY v, guid")
 _cte("uid_deg", ["g_user", "g_id"], """
 SELECT u.guid,
        count(*) FILTER (WHERE i.rel = 'HAS_CC') AS cardDegree,

@@ -7,10 +7,11 @@ card, device and IP edges of the ordering customer, and pending orders are
 transfers to one of the next four customers.
 
 Fixed values (must match the oracle's SQL): flag rule ``custkey % 53 = 7``;
-cards: returnflag 'R', line 1, id ``C<custkey div 3>-<partkey % 4>``;
-devices: returnflag 'A', line 1, id ``D<custkey div 5>-<suppkey % 6>`` or the
+cards: returnflag 'R', id ``C<custkey div 3>-<partkey % 4>``;
+devices: returnflag 'A', id ``D<custkey div 5>-<suppkey % 6>`` or the
 hub ``DH<custkey div 50>`` when ``suppkey % 6 = 5``; IPs: returnflag 'N',
-lines 1-2, id ``I<suppkey>``; transfers: status 'P', receiver
+id ``I<suppkey>`` (every line item is one edge); transfers: status 'P' (a
+pending order is what a transfer means here), receiver
 ``custkey + 1 + orderkey % 4``; referrals: ``custkey % 3 = 0``, ``custkey > 0``,
 referrer ``custkey div 2``.
 """
@@ -47,8 +48,8 @@ def _div(c, n):
 def overlay_identifier_edges(spark: SparkSession, sf_dir: str, types=("HAS_CC", "USED", "HAS_IP")) -> DataFrame:
     """All user->identifier edges of the requested types from ONE scan of
     lineitem joined once to orders: ``(start_guid, end_guid, rel, end_label,
-    edgeDate)``. The scan reads five lineitem columns with the flag/line
-    predicates pushed into Parquet."""
+    edgeDate)``. The scan reads five lineitem columns with the flag
+    predicate pushed into Parquet."""
     return identifier_edges_from(_read(spark, sf_dir, "lineitem"), _read(spark, sf_dir, "orders"), types)
 
 
@@ -59,8 +60,7 @@ def identifier_edges_from(lineitem: DataFrame, orders: DataFrame,
     flags = {"HAS_CC": "R", "USED": "A", "HAS_IP": "N"}
     wanted = [flags[t] for t in types]
     li = (lineitem
-          .where(F.col("l_returnflag").isin(*wanted) & (F.col("l_linenumber") <= 2))
-          .where((F.col("l_returnflag") == "N") | (F.col("l_linenumber") == 1))
+          .where(F.col("l_returnflag").isin(*wanted))
           .select("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate"))
     o = orders.select("o_orderkey", "o_custkey")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
