@@ -22,12 +22,18 @@ __all__ = ["LOWER", "UPPER", "WORD", "ascii_lower", "cut_lineage", "mix64", "seg
            "word_hashes"]
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def importable(spark: SparkSession) -> None:
     """Lets Python workers on this machine import this package from where the
-    driver has it. On a cluster it is shipped with --py-files."""
+    driver has it (on a cluster it is shipped with --py-files), and keeps the
+    batches that they get small, as texts can be long."""
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, (root, env.get("PYTHONPATH"))))
+    if spark.conf.get(_BATCH) == "67108864b":       # Spark's own default
+        spark.conf.set(_BATCH, "16m")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,9 +2,11 @@
 
 1. Features of a text: its distinct words (lower case, punctuation trimmed),
    and their beginnings and ends of 4 to 6 letters. On a bounded sample of
-   labelled rows (``LABELLED``, those of smallest hash) the features that stand
-   out in toxic rows are taken: a log-likelihood ratio of at least ``MIN_RATIO``
-   and ``MIN_PRECISION`` of the rows that have it toxic; at most ``FEATURES`` of them.
+   labelled rows (``LABELLED``, those of smallest hash) all features that stand
+   out in toxic rows are taken: in ``MIN_ROWS`` toxic rows or more, a
+   log-likelihood ratio of at least ``MIN_RATIO``, and ``MIN_PRECISION`` of the
+   rows that have it toxic. A word of over ``LONG_WORD`` letters is named by its
+   digest, so no feature is longer than that.
 2. Voters: ``VOTERS / 2`` lexicons hold the words among them and as many
    pattern voters the beginnings and ends. A voter fires on a text that has one
    of its features, else it abstains.
@@ -29,9 +31,9 @@ gives an empty result; extra columns are ignored; texts are read whole.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -44,14 +46,16 @@ from riskgraph.llm.common import cut_lineage, strings
 
 LABELLED = 20_000       # rows of labels that are used at most
 SAMPLE = 20_000         # texts on which the classifier is fitted at most
-CANDIDATES = 50_000     # features of toxic rows that are counted in clean ones
-FEATURES = 3_000
 VOTERS = 16
 MIN_RATIO = 16.0
 MIN_PRECISION = 0.95
 MIN_ROWS = 3
 THRESHOLD = 0.3
-MEMO_WORDS = 500_000
+LONG_WORD = 64
+SLICE = 500                     # texts that are Python strings at a time
+MEMO_BYTES = 24 << 20           # of remembered words, about
+COUNT_BYTES = 32 << 20          # of counted features, about, before they go out
+ENTRY_BYTES = 250               # a dictionary entry with its key and value, about
 
 _TRIM = ".,;:!?\"'()[]{}<>«»„“”‘’…-–—*_/\\|#&%$+=~^`"
 
@@ -65,7 +69,8 @@ def features_of(raw: str) -> list[str]:
     w = raw.strip(_TRIM)
     if not w:
         return []
-    out = ["w" + w]
+    out = ["w" + w if len(w) <= LONG_WORD else "w#" + hashlib.blake2b(w.encode("utf-8", "surrogatepass"),
+                                                                      digest_size=16).hexdigest()]
     for n in (4, 5, 6):
         if len(w) >= n:
             out.append("b" + w[:n])
@@ -78,19 +83,35 @@ def _words(text: str) -> set[str]:
 
 
 class _Memo(dict):
-    """Raw word -> numbers of its wanted features. Cleared when full."""
+    """Raw word -> ``look(its features)``. Long words are not kept, and all are
+    forgotten when they fill ``MEMO_BYTES``."""
 
-    def __init__(self, number: dict[str, int]):
+    def __init__(self, look):
         super().__init__()
-        self.number = number
-
-    def __missing__(self, raw: str) -> tuple[int, ...]:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        got = self[raw] = tuple(self.number[f] for f in features_of(raw) if f in self.number)
+        self.look, self.size = look, 0
+
+    def __missing__(self, raw: str):
+        got = self.look(features_of(raw))
+        if len(raw) <= LONG_WORD:
+            self.size += ENTRY_BYTES + len(raw) + 60 * len(got)
+            if self.size > MEMO_BYTES:
+                self.clear()
+                self.size = 0
+            self[raw] = got
         return got
 
 
+def _wanted(features: list[str]) -> _Memo:
+    """Raw word -> numbers of those of its features that are in the list."""
+    number = {f: i for i, f in enumerate(features)}
+    return _Memo(lambda own: tuple(number[f] for f in own if f in number))
+
+
+def _slices(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, b.num_rows, SLICE):
+        yield b.slice(at, SLICE)
+
+
 def _numbers(memo: _Memo, text: str) -> set[int]:
     out: set[int] = set()
     for got in map(memo.__getitem__, _words(text)):
@@ -99,27 +120,28 @@ def _numbers(memo: _Memo, text: str) -> set[int]:
     return out
 
 
-def _count_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In how many rows each feature is, per batch."""
-    for b in batches:
-        seen: Counter = Counter()
-        for t in strings(b.column("text")):
-            seen.update({f for w in _words(t) for f in features_of(w)})
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["feature", "n"])
-
-
-def _count_wanted(wanted: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, seen = _Memo({f: i for i, f in enumerate(wanted)}), np.zeros(len(wanted), np.int64)
-        for b in batches:
-            for t in strings(b.column("text")):
-                for i in _numbers(memo, t):
-                    seen[i] += 1
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([wanted[i] for i in at], pa.string()), pa.array(seen[at])], ["feature", "n"])
-    return run
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many toxic and how many clean rows each feature is; counts go
+    out whenever they fill ``COUNT_BYTES``."""
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(seen), pa.string()), pa.array([t for t, _ in seen.values()], pa.int64()),
+             pa.array([n for _, n in seen.values()], pa.int64())], ["feature", "t", "n"])
+
+    memo, seen, size = _Memo(tuple), {}, 0
+    for whole in batches:
+        for b in _slices(whole):
+            for text, toxic in zip(strings(b.column("text")), b.column("toxic").to_pylist(), strict=True):
+                for f in {f for w in _words(text) for f in memo[w]}:
+                    if f not in seen:
+                        size += ENTRY_BYTES + len(f)
+                        seen[f] = [0, 0]
+                    seen[f][0] += toxic
+                    seen[f][1] += 1
+                if size > COUNT_BYTES:
+                    yield out()
+                    seen, size = {}, 0
+    yield out()
 
 
 def likelihood_ratio(t: float, c: float, n_t: int, n_c: int) -> float:
@@ -144,16 +166,11 @@ def mine_features(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED)
     n_t, n_c = (sum(r["n"] for r in n if r["toxic"] is v) for v in (True, False))
     if not n_t or not n_c:
         return [], (n_t / (n_t + n_c) if n_t + n_c else 0.0)
-    toxic = (both.where("toxic").select("text").mapInArrow(_count_all, "feature string, n long")
-             .groupBy("feature").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_ROWS)
-             .orderBy(F.desc("n"), "feature").limit(CANDIDATES).collect())
-    t = {r["feature"]: r["n"] for r in toxic}
-    clean = (both.where("not toxic").select("text").mapInArrow(_count_wanted(list(t)), "feature string, n long")
-             .groupBy("feature").agg(F.sum("n").alias("n")).collect())
-    c = {r["feature"]: r["n"] for r in clean}
-    ratio = {f: likelihood_ratio(k, c.get(f, 0), n_t, n_c) for f, k in t.items()}
-    best = sorted((f for f, g in ratio.items() if g >= MIN_RATIO and t[f] >= MIN_PRECISION * (t[f] + c.get(f, 0))), key=lambda f: (-ratio[f], f))
-    return best[:FEATURES], n_t / (n_t + n_c)
+    counted = (both.select("text", "toxic").mapInArrow(_count, "feature string, t long, n long")
+               .groupBy("feature").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
+               .where((F.col("t") >= MIN_ROWS) & (F.col("t") >= MIN_PRECISION * F.col("n"))).collect())
+    ratio = {r["feature"]: likelihood_ratio(r["t"], r["n"] - r["t"], n_t, n_c) for r in counted}
+    return sorted((f for f, g in ratio.items() if g >= MIN_RATIO), key=lambda f: (-ratio[f], f)), n_t / (n_t + n_c)
 
 
 def voter_of(feature: str) -> int:
@@ -165,8 +182,8 @@ def _vote(features: list[str]):
     voters = [voter_of(f) for f in features]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _Memo({f: i for i, f in enumerate(features)})
-        for b in batches:
+        memo = _wanted(features)
+        for b in (part for whole in batches for part in _slices(whole)):
             hits = [sorted(_numbers(memo, t)) for t in strings(b.column("text"))]
             masks = []
             for h in hits:
@@ -303,8 +320,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
 
 def _filter_texts(model: Model, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _Memo({f: i for i, f in enumerate(model.features)})
-        for b in batches:
+        memo = _wanted(model.features)
+        for b in (part for whole in batches for part in _slices(whole)):
             clean = [model.score(sorted(_numbers(memo, t))) < threshold for t in strings(b.column("text"))]
             yield b.filter(pa.array(clean, pa.bool_()))
     return run
