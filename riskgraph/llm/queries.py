@@ -1,4 +1,4 @@
-"""The registered queries ``op1`` to ``op10`` and ``pipeline``, and the SQL
+"""The registered queries ``op1`` to ``op13``, and the SQL
 of those that SQL can express. Each runs its operator with production
 parameters over its whole table."""
 
@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskgraph.llm import (
+    align,
     ann_vptree,
+    bpe_tree,
     chat_tree,
     html_lbd,
     lm_backoff,
     minhash_bottomk,
     mixing,
     packing,
+    repair,
     topk_balltree,
     toxicity_ws,
     url_filter,
@@ -70,9 +73,41 @@ def op10_balltree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_balltree.topk(table(spark, sf_dir, "embeddings"), k=10, every=100)
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the public vocabulary files are, on every machine alike."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op11_token_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
+                           tokenizer_file("piece_bpe_32k.model"))
+
+
+def op12_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_file("byte_bpe_50k.json")
+    done = bpe_tree.decode(bpe_tree.encode(table(spark, sf_dir, "documents"), path), path)
+    return done.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    damaged = repair.damage(rows)
+    found, missing = repair.summary(repair.repair(damaged)), repair.gaps(damaged)
+    names = ["blank", "duplicate", "truncated", "illegal", "cost"]
+    ids = rows.select("conv_id").distinct()
+    for side in (missing, found):
+        other = side.withColumnRenamed("conv_id", "__id")
+        ids = ids.join(other, F.col("conv_id").eqNullSafe(F.col("__id")), "left").drop("__id")
+    return ids.select("conv_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", *names)],
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_vptree_ann, op2_url_filter, op3_html_line_blocks, op4_source_mix, op5_backoff_lm, op6_pack, op7_chat_trees,
-    op8_bottomk_neardup, op9_weak_toxicity, op10_balltree_topk)}
+    op8_bottomk_neardup, op9_weak_toxicity, op10_balltree_topk, op11_token_spans, op12_bpe_tree, op13_turn_repair)}
 
 _WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
