@@ -43,17 +43,18 @@ def _matches(left: list[str], right: list[str]) -> Column:
 
 def salted_join(rows: DataFrame, side: DataFrame, keys: list[str], heavy: DataFrame | None,
                 how: str = "inner", salts: int | None = None) -> DataFrame:
-    """``rows`` joined to ``side`` (one row a key) on ``keys``; ``heavy`` are
-    the keys of which ``rows`` holds very many (see ``heavy_keys``). The
-    result has the columns of ``rows`` and the other columns of ``side``.
-    Null keys match nothing in an inner join, as in any equi-join."""
+    """``rows`` joined to ``side`` on ``keys``; ``heavy`` are the keys, or values
+    of some of the key columns, of which ``rows`` holds very many (see
+    ``heavy_keys``). The result has the columns of ``rows`` and the other columns
+    of ``side``. Null keys match nothing in an inner join, as in any equi-join."""
     if heavy is None:
         return rows.join(side, keys, how)
     salts = salts or shuffle_partitions(rows.sparkSession)
-    mark = F.broadcast(heavy.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)],
+    by = heavy.columns
+    drop = [f"__h{i}" for i in range(len(by))] + ["__heavy"]
+    mark = F.broadcast(heavy.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(by)],
                                     F.lit(True).alias("__heavy")))
-    hit = _matches(keys, [f"__h{i}" for i in range(len(keys))])
-    drop = [f"__h{i}" for i in range(len(keys))] + ["__heavy"]
+    hit = _matches(by, drop[:-1])
     # from the row and the partition it comes from, both the same when a lost task runs
     # again; equal rows part by the latter
     spread = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.lit(salts)).cast("int")

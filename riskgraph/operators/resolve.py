@@ -5,27 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskgraph.operators.joinback import MAX_HEAVY, MIN_HEAVY_ROWS, heavy_keys, join_back, salted_join
+from riskgraph.session import cut_lineage
 
-def er_p2p_shared_card(p2p: DataFrame, has_cc: DataFrame) -> DataFrame:
+def er_p2p_shared_card(p2p: DataFrame, has_cc: DataFrame, max_heavy: int = MAX_HEAVY,
+                       min_heavy_rows: int = MIN_HEAVY_ROWS) -> DataFrame:
     """Rule 1: u1 sent money to u2 and both hold the same card.
 
     For each distinct transfer pair (u1 != u2) the side with FEWER cards is
     expanded to its cards and the other side's (user, card) set probed by
     a semi-join: the work per pair is min(cards(u1), cards(u2)), never a
     card self-join, so neither hub cards nor card-hoarding users square.
-    Output: directed ``(start_guid, end_guid)``, one row per pair.
+    Users who are in very many of the pairs are spread over salts in each of
+    the joins. Output: directed ``(start_guid, end_guid)``, one row per pair.
     """
-    pairs = (p2p.select(F.col("start_guid").alias("u1"), F.col("end_guid").alias("u2"))
-             .where(F.col("u1") != F.col("u2")).distinct())
-    cc = has_cc.select(F.col("start_guid").alias("user"), F.col("end_guid").alias("card")).distinct()
-    n = cc.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
-    p = (pairs.join(n.select(F.col("user").alias("u1"), F.col("n").alias("n1")), "u1")
-         .join(n.select(F.col("user").alias("u2"), F.col("n").alias("n2")), "u2"))
+    pairs = cut_lineage(p2p.select(F.col("start_guid").alias("u1"), F.col("end_guid").alias("u2"))
+                        .where(F.col("u1") != F.col("u2")).distinct())
+    cc = cut_lineage(has_cc.select(F.col("start_guid").alias("user"), F.col("end_guid").alias("card")).distinct())
+    often = cut_lineage(pairs.select("u1").unionByName(pairs.select(F.col("u2").alias("u1")))
+                        .groupBy(F.col("u1").alias("user")).agg(F.count(F.lit(1)).alias("__n")))
+    heavy = heavy_keys(often, ["user"], max_heavy=max_heavy, min_rows=min_heavy_rows)
+
+    def join(rows: DataFrame, side: DataFrame, user: str, more: tuple = (), how: str = "inner") -> DataFrame:
+        named = heavy.withColumnRenamed("user", user) if heavy is not None else None
+        return salted_join(rows, side.withColumnRenamed("user", user), [user, *more], named, how)
+
+    n = cut_lineage(cc.groupBy("user").agg(F.count(F.lit(1)).alias("n")))
+    p = join(join(pairs, n.withColumnRenamed("n", "n1"), "u1"), n.withColumnRenamed("n", "n2"), "u2")
     first_small = F.col("n1") <= F.col("n2")
     p = p.select("u1", "u2", F.when(first_small, F.col("u1")).otherwise(F.col("u2")).alias("s"),
                  F.when(first_small, F.col("u2")).otherwise(F.col("u1")).alias("o"))
-    a = p.join(cc.withColumnRenamed("user", "s"), "s")
-    b = a.join(cc.withColumnRenamed("user", "o"), ["o", "card"], "left_semi")
+    a = join(p, cc, "s")
+    b = join(a, cc, "o", ("card",), "left_semi")
     return b.select(F.col("u1").alias("start_guid"), F.col("u2").alias("end_guid")).distinct()
 
 
@@ -39,7 +50,9 @@ def er_shared_ids(id_edges: DataFrame, id_degree: DataFrame, max_degree: int = 1
     candidate by expanding the side with FEWER identifiers and probing the
     other side's (user, identifier) set with a semi-join: the work per pair
     is min(|ids(u1)|, |ids(u2)|), IP hubs are never self-joined.
-    ``id_degree``: ``(guid, degree)`` of identifiers over all users.
+    ``id_degree``: ``(guid, degree)`` of identifiers over all users. Identifiers
+    of several labels are told apart by ``end_guid`` alone: give edges and degrees
+    with the ids of ``dictionary.py`` where labels may share guids.
     Output: ``(start_guid, end_guid)`` with start < end.
     """
     member = id_edges.select(F.col("start_guid").alias("user"), F.col("end_guid").alias("id"), "rel").distinct()
@@ -66,12 +79,11 @@ def er_shared_ids(id_edges: DataFrame, id_degree: DataFrame, max_degree: int = 1
 
 
 def label_fraud_risk(users: DataFrame, labels: DataFrame, flag: str = "fraudMoneyTransfer",
-                     comp: str = "wccId") -> DataFrame:
+                     comp: str = "wccId", **heavy) -> DataFrame:
     """fraudRisk = 1 for every member of a component holding a flagged user,
-    else 0. The flagged components are a partial aggregate joined back on
-    the component key (never collected to the driver)."""
-    u = users.join(labels, "guid")
-    risky = u.groupBy(comp).agg(F.max(F.col(flag)).alias("__risk")).where(F.col("__risk") == 1)
-    return (u.join(risky, comp, "left")
+    else 0. The flagged components are a written partial aggregate joined back
+    on the component key, the members of giant components over salts."""
+    u = cut_lineage(users.join(labels, "guid"))
+    return (join_back(u, [comp], "left", keep=F.col("__risk") == 1, __risk=F.max(F.col(flag)), **heavy)
             .withColumn("fraudRisk", F.coalesce(F.col("__risk"), F.lit(0)).cast("int"))
             .drop("__risk"))

@@ -71,10 +71,10 @@ FROM (SELECT DISTINCT start_guid AS u1, end_guid AS u2 FROM g_p2p WHERE start_gu
 JOIN g_has_cc a ON a.start_guid = p.u1
 JOIN g_has_cc b ON b.start_guid = p.u2 AND b.end_guid = a.end_guid""")
 _cte("low_mem", ["g_id", "id_deg"], """
-SELECT DISTINCT i.start_guid AS u, i.end_guid AS id
-FROM g_id i JOIN id_deg d ON d.guid = i.end_guid
+SELECT DISTINCT i.start_guid AS u, concat(i.end_label, ' ', i.end_guid) AS id
+FROM g_id i JOIN id_deg d ON d.label = i.end_label AND d.guid = i.end_guid
 WHERE i.rel IN ('HAS_CC', 'USED') AND d.degree <= 10""")
-_cte("id_mem", ["g_id"], "SELECT DISTINCT start_guid AS u, end_guid AS id FROM g_id")
+_cte("id_mem", ["g_id"], "SELECT DISTINCT start_guid AS u, concat(end_label, ' ', end_guid) AS id FROM g_id")
 _cte("rule2", ["low_mem", "id_mem"], """
 SELECT c.u1 AS start_guid, c.u2 AS end_guid
 FROM (SELECT DISTINCT a.u AS u1, b.u AS u2 FROM low_mem a JOIN low_mem b ON a.id = b.id AND a.u < b.u) c
@@ -102,12 +102,13 @@ SELECT i.end_label AS label, i.end_guid AS guid, count(*) AS degree,
 FROM g_id i JOIN ur u ON u.guid = i.start_guid
 GROUP BY i.end_label, i.end_guid""")
 _cte("touched", ["g_id", "ur"], """
-SELECT DISTINCT i.end_guid AS guid FROM g_id i JOIN ur ON ur.guid = i.start_guid WHERE ur.fraudRisk = 1""")
+SELECT DISTINCT i.end_label AS label, i.end_guid AS guid FROM g_id i JOIN ur ON ur.guid = i.start_guid WHERE ur.fraudRisk = 1""")
 _cte("fsi", ["g_id", "touched", "id_deg"], """
 SELECT i.start_guid, i.end_guid, i.end_label,
        CASE WHEN d.degree = 1 THEN CAST('inf' AS DOUBLE) ELSE 1.0 / (d.degree - 1.0) END AS w
-FROM g_id i JOIN touched t ON t.guid = i.end_guid JOIN id_deg d ON d.guid = i.end_guid""")
-_cte("sm", ["fsi"], "SELECT start_guid AS node, end_guid AS item, max(w) AS w FROM fsi GROUP BY 1, 2")
+FROM g_id i JOIN touched t ON t.label = i.end_label AND t.guid = i.end_guid
+JOIN id_deg d ON d.label = i.end_label AND d.guid = i.end_guid""")
+_cte("sm", ["fsi"], "SELECT start_guid AS node, concat(end_label, ' ', end_guid) AS item, max(w) AS w FROM fsi GROUP BY 1, 2")
 _cte("smw", ["sm"], "SELECT node, sum(w) AS W FROM sm GROUP BY node")
 _cte("sim", ["sm", "smw"], """
 SELECT node1, node2, similarity FROM (
@@ -187,7 +188,8 @@ QUALIFY row_number() OVER (PARTITION BY guid ORDER BY lastOrderDate DESC, seq DE
 _cte("fscore", ["ur", "g_id", "risk_deg"], """
 SELECT ur.guid, ur.fraudRisk AS label,
        round(coalesce((SELECT avg(CAST(d.fraudRiskDegree AS DOUBLE) / d.degree) FROM g_id i
-                       JOIN risk_deg d ON d.guid = i.end_guid WHERE i.start_guid = ur.guid), 0.0) + 1e-9, 6) AS score
+                       JOIN risk_deg d ON d.label = i.end_label AND d.guid = i.end_guid
+                       WHERE i.start_guid = ur.guid), 0.0) + 1e-9, 6) AS score
 FROM ur""")
 _cte("curve", ["fscore"], """
 SELECT threshold,
@@ -382,10 +384,11 @@ SELECT wccId AS community, count(*) AS cnt, CAST(sum(fraudMoneyTransfer) AS BIGI
 FROM ur GROUP BY wccId ORDER BY flaggedCount DESC, community LIMIT 100"""),
     "community_subgraph": _q(["wccl", "g_user", "g_id", "g_p2p"], f"""
 SELECT 'ID' AS kind, CAST(e.u AS VARCHAR) AS src, e.id AS dst, e.c AS edges, CAST(NULL AS DOUBLE) AS amount
-FROM (SELECT start_guid AS u, end_guid AS id, count(*) AS c FROM g_id
-      WHERE start_guid IN (SELECT guid FROM wccl WHERE wccId = {_TOP_COMMUNITY}) GROUP BY 1, 2) e
-WHERE e.id IN (SELECT end_guid FROM g_id WHERE start_guid IN (SELECT guid FROM wccl WHERE wccId = {_TOP_COMMUNITY})
-               GROUP BY end_guid HAVING count(*) >= 2)
+FROM (SELECT start_guid AS u, end_label AS l, end_guid AS id, count(*) AS c FROM g_id
+      WHERE start_guid IN (SELECT guid FROM wccl WHERE wccId = {_TOP_COMMUNITY}) GROUP BY 1, 2, 3) e
+WHERE (e.l, e.id) IN (SELECT (end_label, end_guid) FROM g_id
+                      WHERE start_guid IN (SELECT guid FROM wccl WHERE wccId = {_TOP_COMMUNITY})
+                      GROUP BY end_label, end_guid HAVING count(*) >= 2)
 UNION ALL
 SELECT 'P2P', CAST(start_guid AS VARCHAR), CAST(end_guid AS VARCHAR), count(*), round(sum(totalAmount), 6)
 FROM g_p2p
@@ -426,9 +429,9 @@ SELECT uid, round(totalIdFraudRisk, 6) AS totalIdFraudRisk, numberFraudRiskIds,
   FROM (SELECT left(md5(CAST(i.start_guid AS VARCHAR)), 8) AS uid,
                sum(CAST(d.fraudRiskDegree AS DOUBLE) / d.degree) AS totalIdFraudRisk,
                count(*) AS numberFraudRiskIds
-        FROM g_id i JOIN touched t ON t.guid = i.end_guid
+        FROM g_id i JOIN touched t ON t.label = i.end_label AND t.guid = i.end_guid
         JOIN ur ON ur.guid = i.start_guid AND ur.fraudRisk = 0
-        JOIN risk_deg d ON d.guid = i.end_guid
+        JOIN risk_deg d ON d.label = i.end_label AND d.guid = i.end_guid
         GROUP BY 1) g) h
 WHERE averageFraudIdRisk >= 0.25
 ORDER BY round(totalIdFraudRisk, 9) DESC, uid LIMIT 10"""),

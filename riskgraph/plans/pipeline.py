@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from riskgraph.functions.exprs import inverse_degree_weight, ratio
 from riskgraph.operators import degree as deg
 from riskgraph.operators.components import wcc
+from riskgraph.operators.dictionary import node_dictionary, user_ids, with_end_ids
 from riskgraph.operators.graph import Graph
+from riskgraph.operators.joinback import join_back
 from riskgraph.operators.louvain import louvain, symmetric_entries
 from riskgraph.operators.pagerank import pagerank_many
 from riskgraph.operators.resolve import er_p2p_shared_card, er_shared_ids, label_fraud_risk
@@ -77,6 +79,17 @@ class FraudPipeline:
     def p2p(self) -> DataFrame:
         return self.g.edges["P2P"]
 
+    @cached_property
+    def node_ids(self) -> DataFrame:
+        """(label, guid, id) of every node, written once."""
+        return cut_lineage(node_dictionary(self.g))
+
+    @cached_property
+    def typed_id_edges(self) -> DataFrame:
+        """Identifier edges with ``end_id``, which tells a card from a device of
+        the same guid, written once."""
+        return cut_lineage(with_end_ids(self.id_edges, self.node_ids))
+
     # ---- part 1: identifier degrees ----------------------------------
     def id_degrees(self) -> DataFrame:
         """(label, guid, degree, flaggedDegree) of every identifier."""
@@ -101,8 +114,10 @@ class FraudPipeline:
     @cached_property
     def _shared_ids(self) -> DataFrame:
         """Rule-2 pairs, written once."""
-        d = self.id_degrees().select("guid", "degree")
-        return cut_lineage(er_shared_ids(self.id_edges, d, HUB_MAX_DEGREE, MIN_SHARED_IDS))
+        e = self.typed_id_edges.join(self.users.select(F.col("guid").alias("start_guid")), "start_guid", "left_semi")
+        d = e.groupBy(F.col("end_id").alias("guid")).agg(F.count(F.lit(1)).alias("degree"))
+        typed = self.typed_id_edges.select("start_guid", F.col("end_id").alias("end_guid"), "rel")
+        return cut_lineage(er_shared_ids(typed, d, HUB_MAX_DEGREE, MIN_SHARED_IDS))
 
     def resolution_edges(self) -> DataFrame:
         """Undirected user-user edges for WCC: both rule outputs."""
@@ -128,28 +143,36 @@ class FraudPipeline:
             {"flaggedDegree": "fraudMoneyTransfer", "fraudRiskDegree": "fraudRisk"})
 
     # ---- part 3: recommendation --------------------------------------
+    @cached_property
+    def risk_edges(self) -> DataFrame:
+        """Every identifier edge with its user's flags and its identifier's degrees
+        (start_guid, end_guid, end_label, end_id, fraudRisk, degree,
+        fraudRiskDegree), written once. Degrees are joined back on the identifier,
+        hubs over salts."""
+        u = self.users_risk.select(F.col("guid").alias("start_guid"), "fraudRisk")
+        e = cut_lineage(self.typed_id_edges.select("start_guid", "end_guid", "end_label", "end_id").join(u, "start_guid"))
+        return cut_lineage(join_back(e, ["end_id"], degree=F.count(F.lit(1)),
+                                     fraudRiskDegree=F.sum("fraudRisk").cast("bigint")))
+
     def risk_touched_ids(self) -> DataFrame:
-        """Distinct identifiers with an edge from a fraud-risk user."""
-        risky = self.users_risk.where(F.col("fraudRisk") == 1).select(F.col("guid").alias("start_guid"))
-        return self.id_edges.join(risky, "start_guid", "left_semi").select(
-            F.col("end_guid").alias("guid")).distinct()
+        """Identifiers with an edge from a fraud-risk user: (label, guid)."""
+        return (self.risk_edges.where(F.col("fraudRisk") == 1)
+                .select(F.col("end_label").alias("label"), F.col("end_guid").alias("guid")).distinct())
 
     def fraud_shared_id_edges(self) -> DataFrame:
         """Every user edge into a FraudSharedId identifier with its weight
-        1/(degree-1): (start_guid, end_guid, end_label, inverseDegreeWeight)."""
-        d = self.id_degrees().select(F.col("guid").alias("end_guid"), "degree")
-        touched = self.risk_touched_ids().withColumnRenamed("guid", "end_guid")
-        e = self.id_edges.join(touched, "end_guid", "left_semi").join(d, "end_guid")
+        1/(degree-1): (start_guid, end_guid, end_label, end_id, inverseDegreeWeight)."""
+        e = self.risk_edges.where(F.col("fraudRiskDegree") > 0)
         if self.exclusive_ids == "ignore":
             e = e.where(F.col("degree") > 1)
-        return e.select("start_guid", "end_guid", "end_label",
+        return e.select("start_guid", "end_guid", "end_label", "end_id",
                         inverse_degree_weight("degree").alias("inverseDegreeWeight"))
 
     @cached_property
     def similarity(self) -> DataFrame:
         """(node1, node2, similarity), materialised once."""
         m = self.fraud_shared_id_edges().select(
-            F.col("start_guid").alias("node"), F.col("end_guid").alias("item"),
+            F.col("start_guid").alias("node"), F.col("end_id").alias("item"),
             F.col("inverseDegreeWeight").alias("w"))
         return cut_lineage(node_similarity(m, SIMILARITY_CUTOFF, SIMILARITY_TOP_K))
 
@@ -181,9 +204,9 @@ class FraudPipeline:
 
     def community_features(self) -> DataFrame:
         """(guid, wccId, communitySize, partOfCommunity): the group size is a
-        partial aggregate joined back on the component key."""
-        sizes = self.wcc_labels.groupBy("wccId").agg(F.count(F.lit(1)).alias("communitySize"))
-        return (self.wcc_labels.join(sizes, "wccId")
+        written partial aggregate joined back on the component key, the members
+        of giant components over salts."""
+        return (join_back(self.wcc_labels, ["wccId"], communitySize=F.count(F.lit(1)))
                 .select("guid", "wccId", "communitySize",
                         (F.col("communitySize") > 1).cast("int").alias("partOfCommunity")))
 
@@ -214,11 +237,8 @@ class FraudPipeline:
         """A deterministic score per user for the metric operators: the mean
         fraudRiskRatio over the user's identifier edges (0 without any),
         with label fraudRisk. ``(guid, label, score)``."""
-        rd = self.risk_degrees().select(
-            F.col("guid").alias("end_guid"), ratio("fraudRiskDegree", "degree").alias("r"))
-        per_user = (self.id_edges.join(rd, "end_guid")
-                    .groupBy(F.col("start_guid").alias("guid"))
-                    .agg(F.avg("r").alias("score")))
+        per_user = (self.risk_edges.groupBy(F.col("start_guid").alias("guid"))
+                    .agg(F.avg(ratio("fraudRiskDegree", "degree")).alias("score")))
         # Rounded (with a 1e-9 nudge against summation-order noise) so the
         # score is the same number in every engine.
         return (self.users_risk.select("guid", F.col("fraudRisk").alias("label"))
@@ -231,26 +251,33 @@ class FraudPipeline:
 
     # ---- Louvain ---------------------------------------------------------
     def louvain_graph(self) -> tuple[DataFrame, DataFrame]:
-        """Nodes User+Card+Device (string ids) and symmetric entries of
+        """Nodes User+Card+Device (ids of the dictionary) and symmetric entries of
         HAS_CC and USED (undirected, parallel edges kept) and P2P (directed,
         one edge per pair)."""
-        g = self.g
-        nodes = (g.users.select(F.col("guid").cast("string").alias("node"))
-                 .unionByName(g.nodes["Card"].select(F.col("guid").alias("node")))
-                 .unionByName(g.nodes["Device"].select(F.col("guid").alias("node"))))
-        und = g.identifier_edges(("HAS_CC", "USED")).select(
-            F.col("start_guid").cast("string").alias("src"), F.col("end_guid").alias("dst"), F.lit(1.0).alias("w"))
-        p2p = self.p2p.select(F.col("start_guid").cast("string").alias("src"),
-                              F.col("end_guid").cast("string").alias("dst")).distinct() \
-            .withColumn("w", F.lit(1.0))
+        ids = self.node_ids
+        nodes = ids.where(F.col("label").isin("User", "Card", "Device")).select(F.col("id").alias("node"))
+        und = (self.typed_id_edges.where(F.col("rel").isin("HAS_CC", "USED"))
+               .select(F.col("start_guid").cast("string").alias("u"), F.col("end_id").alias("dst"))
+               .join(user_ids(ids, "u", "src"), "u").select("src", "dst", F.lit(1.0).alias("w")))
+        pairs = self.p2p.select(F.col("start_guid").cast("string").alias("u1"),
+                                F.col("end_guid").cast("string").alias("u2")).distinct()
+        p2p = (pairs.join(user_ids(ids, "u1", "src"), "u1").join(user_ids(ids, "u2", "dst"), "u2")
+               .select("src", "dst", F.lit(1.0).alias("w")))
         return nodes, symmetric_entries(und, p2p)
 
     @cached_property
     def louvain_labels(self) -> DataFrame:
-        """(node, community) for User, Card and Device nodes."""
+        """(node, community) for User, Card and Device nodes, by id."""
         nodes, edges = self.louvain_graph()
         return louvain(nodes, edges)
 
+    def louvain_users(self) -> DataFrame:
+        """(guid, louvainCommunityId) of the users."""
+        lab = self.louvain_labels.select(F.col("node").alias("id"), F.col("community").alias("louvainCommunityId"))
+        own = self.users.select("guid", F.col("guid").cast("string").alias("key"))
+        return (own.join(user_ids(self.node_ids, "key", "id"), "key").join(lab, "id")
+                .select("guid", "louvainCommunityId"))
+
     # ---- model -------------------------------------------------------------
     @cached_property
     def forest(self):

@@ -394,10 +394,7 @@ def rf_write_back(spark, sf):
 
 # ---- milestone 8: Louvain ---------------------------------------------------
 def louvain(spark, sf):
-    p = _p(spark, sf)
-    lab = p.louvain_labels
-    return (p.users.select("guid", F.col("guid").cast("string").alias("node"))
-            .join(lab, "node").select("guid", F.col("community").alias("louvainCommunityId")))
+    return _p(spark, sf).louvain_users()
 
 
 def louvain_report(spark, sf):

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskgraph.functions.exprs import r3, r6, ratio, ratio_bucket, size_bin, uid8
+from riskgraph.operators.joinback import join_back
 from riskgraph.plans.pipeline import AVG_RISK_CUT, MIN_RISK_USERS, FraudPipeline
 
 PERCENTILES = [0.5, 0.75, 0.9, 0.95, 0.99]
@@ -80,9 +81,8 @@ def community_subgraph(p: FraudPipeline, labels: DataFrame, col: str, community=
         members = members.where(F.col("community") == community)
     m = members.select("guid")
     e = (p.id_edges.join(m.withColumnRenamed("guid", "start_guid"), "start_guid", "left_semi")
-         .groupBy("start_guid", "end_guid").agg(F.count(F.lit(1)).alias("edges")))
-    shared = e.groupBy("end_guid").agg(F.sum("edges").alias("n")).where(F.col("n") >= 2).select("end_guid")
-    ids = e.join(shared, "end_guid", "left_semi").select(
+         .groupBy("start_guid", "end_label", "end_guid").agg(F.count(F.lit(1)).alias("edges")))
+    ids = join_back(e, ["end_label", "end_guid"], keep=F.col("n") >= 2, n=F.sum("edges")).select(
         F.lit("ID").alias("kind"), F.col("start_guid").cast("string").alias("src"),
         F.col("end_guid").alias("dst"), "edges", F.lit(None).cast("double").alias("amount"))
     t = (p.p2p.join(m.withColumnRenamed("guid", "start_guid"), "start_guid", "left_semi")
@@ -137,17 +137,12 @@ def weighted_degree_top(p: FraudPipeline, top: int = 10, key: str = "uid8") -> D
     identifiers that touch a risk user; average >= 0.25; top 10. Users are
     grouped by their 8-character display id (``key="uid8"``, as the
     analysis does, which merges colliding prefixes) or by ``guid``."""
-    rd = p.risk_degrees().select(F.col("guid").alias("end_guid"),
-                                 ratio("fraudRiskDegree", "degree").alias("fraudRiskRatio"))
-    touched = p.risk_touched_ids().withColumnRenamed("guid", "end_guid")
-    non_risk = p.users_risk.where(F.col("fraudRisk") == 0).select(F.col("guid").alias("start_guid"))
-    e = (p.id_edges.join(touched, "end_guid", "left_semi")
-         .join(non_risk, "start_guid", "left_semi")
-         .join(rd, "end_guid"))
+    e = (p.risk_edges.where((F.col("fraudRiskDegree") > 0) & (F.col("fraudRisk") == 0))
+         .withColumn("fraudRiskRatio", ratio("fraudRiskDegree", "degree")))
     if key == "uid8":
         # real ids are 128-bit strings: their first 8 characters; integer
         # test ids are first turned into a string id with md5
-        is_str = dict(p.id_edges.dtypes)["start_guid"] == "string"
+        is_str = dict(e.dtypes)["start_guid"] == "string"
         k = F.left(F.col("start_guid"), F.lit(8)) if is_str else uid8("start_guid")
     else:
         k = F.col("start_guid").cast("string")
