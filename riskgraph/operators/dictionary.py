@@ -2,38 +2,25 @@
 
 Node keys are unique within a label only, and keys of different labels may be
 equal (a card and a device with the same id). Operators that mix labels join on
-the id. The ids are the ranks of (label, guid): the distinct keys are range
-partitioned and sorted, each partition numbers its own rows, and the counts of
-the partitions before it are added. The only thing that is gathered is one count
-a partition; the numbering is the same for the same keys under any partitioning.
+the id. The ids are the ranks of (label, guid) (see ``ranges.py``), the same for the
+same keys under any partitioning.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskgraph.operators.graph import Graph
 from riskgraph.operators.joinback import heavy_keys, salted_join
+from riskgraph.operators.ranges import numbered
 from riskgraph.session import cut_lineage
 
-_ROW_BITS = 33          # monotonically_increasing_id: partition above, row in the partition below
-
-
 def dense_ids(keys: DataFrame, cols: list[str], out: str = "id") -> DataFrame:
     """The distinct rows of ``keys[cols]`` with their rank, from 0, as ``out``."""
-    ranged = keys.select(*cols).distinct().repartitionByRange(*cols).sortWithinPartitions(*cols)
-    # written, so that a row keeps its place whatever runs again
-    placed = cut_lineage(ranged.withColumn("__place", F.monotonically_increasing_id())
-                         .withColumn("__part", F.shiftright("__place", _ROW_BITS)))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))        # a row a partition
-              .withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0))).select("__part", "__start"))
-    row = F.col("__place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return (placed.join(F.broadcast(starts), "__part")
-            .select(*cols, (F.col("__start") + row).alias(out)))
+    return numbered(keys.select(*cols).distinct(), cols, out)
 
 
 def node_dictionary(g: Graph) -> DataFrame:

@@ -1,9 +1,9 @@
 """Classifier evaluation as aggregates: accuracy, confusion matrix normalised
 by true class, ROC and precision-recall points.
 
-Curves first aggregate to one row per distinct (rounded) score; only that
-bounded table is ordered for the cumulative sums, so no raw row ever goes
-through a single-partition window.
+Curves first aggregate to one row per distinct score, as it is; these rows are
+summed up in ranges of scores (``operators/ranges.py``), so no task sees them all,
+however many there are.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskgraph.functions.exprs import r6
+from riskgraph.operators.ranges import running_sums
+from riskgraph.session import cut_lineage
 
 
 def accuracy(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -27,16 +29,13 @@ def confusion(pred: DataFrame, label: str = "label", prediction: str = "predicti
 
 
 def _curve_base(pred: DataFrame, label: str, score: str) -> DataFrame:
-    s = (pred.groupBy(F.round(F.col(score), 6).alias("threshold"))
-         .agg(F.sum(F.col(label).cast("bigint")).alias("pos"), F.count(F.lit(1)).alias("n")))
-    w = Window.orderBy(F.col("threshold").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    everything = Window.partitionBy()
-    return s.select(
-        "threshold",
-        F.sum("pos").over(w).alias("tp"),
-        (F.sum("n").over(w) - F.sum("pos").over(w)).alias("fp"),
-        F.sum("pos").over(everything).alias("P"),
-        (F.sum("n").over(everything) - F.sum("pos").over(everything)).alias("N"))
+    """(threshold, tp, fp, P, N); rows without a score take no part."""
+    s = cut_lineage(pred.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("threshold"))
+                    .agg(F.sum(F.col(label).cast("bigint")).alias("pos"), F.count(F.lit(1)).alias("n"))
+                    .withColumn("neg", F.col("n") - F.col("pos")))
+    total = s.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
+    return running_sums(s, [F.col("threshold").desc()], tp="pos", fp="neg").select(
+        "threshold", "tp", "fp", F.lit(total["P"] or 0).alias("P"), F.lit(total["N"] or 0).alias("N"))
 
 
 def roc_points(pred: DataFrame, label: str = "label", score: str = "score") -> DataFrame:

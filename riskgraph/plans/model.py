@@ -1,15 +1,19 @@
-"""Supervised model on the feature table with pyspark.ml: seeded hash split,
-random forest with balanced class weights, scoring, permutation importance
-and the high-probability shortlist. The feature table never leaves Spark."""
+"""Supervised model on the feature table: seeded hash split, random forest
+(``operators/forest.py``), permutation importance and the high-probability
+shortlist. The feature table never leaves Spark."""
 
 from __future__ import annotations
 
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskgraph.operators import forest
+from riskgraph.operators.forest import Forest
+from riskgraph.operators.ranges import numbered
+from riskgraph.session import cut_lineage
+
 # The model and split parameters of the analysis.
 N_TREES = 500
 MAX_DEPTH = 5
@@ -26,71 +30,40 @@ def split(df: DataFrame, test_percent: int = TEST_PERCENT, seed: int = SEED, key
     return df.where(bucket >= test_percent), df.where(bucket < test_percent)
 
 
-def with_balanced_weights(train: DataFrame, label: str = "label") -> DataFrame:
-    """weight = n / (classes * n_class), from the training rows; the class
-    count table has one row per class, so the join is to a bounded table."""
-    counts = train.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
-    tot = counts.select(F.sum("n_c").over(Window.partitionBy()).alias("n"),
-                        F.count(F.lit(1)).over(Window.partitionBy()).alias("k"), label, "n_c")
-    w = tot.select(label, (F.col("n") / (F.col("k") * F.col("n_c"))).alias("weight"))
-    return train.join(F.broadcast(w), label)
-
-
-def fit_forest(train: DataFrame, features: list[str], label: str = "label", trees: int = N_TREES,
-               depth: int = MAX_DEPTH, seed: int = SEED, key: str = "guid", rows_per_partition: int = 1_000_000):
-    """Bootstrap samples are drawn per partition, so the training rows are
-    first put into a layout that depends only on the data (hash of the key
-    into a count-derived number of partitions, sorted inside): the same
-    data and seed then give the same forest whatever the upstream plan."""
-    asm = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    n = max(1, -(-train.count() // rows_per_partition))
-    stable = with_balanced_weights(train, label).repartition(n, key).sortWithinPartitions(key)
-    data = asm.transform(stable)
-    rf = RandomForestClassifier(labelCol=label, featuresCol="features", weightCol="weight",
-                                numTrees=trees, maxDepth=depth, seed=seed, bootstrap=True,
-                                featureSubsetStrategy="sqrt")
-    return asm, rf.fit(data)
+def fit_forest(train: DataFrame, features: list[str], label: str = "label", **kw) -> Forest:
+    """The analysis' forest: 500 trees of depth 5, bootstrap, balanced classes."""
+    return forest.fit_forest(train, features, label, **{"trees": N_TREES, "depth": MAX_DEPTH, "seed": SEED, **kw})
 
 
-def score(asm, model, df: DataFrame) -> DataFrame:
-    """Adds ``prediction`` and ``probability`` (of class 1)."""
-    out = model.transform(asm.transform(df))
-    return out.withColumn("probability", vector_to_array(F.col("probability")).getItem(1)) \
-        .drop("features", "rawPrediction")
-
-
-def permutation_importance(asm, model, df: DataFrame, features: list[str], label: str = "label",
-                           repeats: int = IMPORTANCE_REPEATS, seed: int = SEED, buckets: int | None = None,
-                           key: str = "guid", rows_per_bucket: int = 100_000) -> DataFrame:
+def permutation_importance(predict: Callable[[DataFrame], DataFrame], df: DataFrame, features: list[str],
+                           label: str = "label", repeats: int = IMPORTANCE_REPEATS, seed: int = SEED,
+                           key: str = "guid") -> DataFrame:
     """Mean accuracy drop when one feature column is permuted, per feature,
-    as |mean| over ``repeats`` permutations, ranked.
-
-    All feature x repeat copies are scored in ONE job: rows are permuted
-    inside hash buckets (row_number partitioned by bucket, so no
-    single-partition window); a donor join attaches the permuted values
-    and one ``transform`` + ``groupBy`` scores every copy. The bucket count
-    grows with the data (one row count) so a bucket stays ~``rows_per_bucket``.
+    as |mean| over ``repeats`` permutations, ranked. ``predict`` adds a column
+    ``prediction``.
+
+    A permutation is over all rows, at every size: rows are numbered by ``key``, and
+    once more for each repeat by the md5 of seed, repeat and key; the row of the same
+    number in that order gives the permuted values (all features' at once, one
+    column is replaced at a time). Both numberings are by ranges, the donors join
+    on the number, and all feature x repeat copies are scored in one job.
     """
-    if buckets is None:
-        buckets = max(1, -(-df.count() // rows_per_bucket))
-    bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(buckets))
-    base = df.withColumn("__b", bucket)
-    by_bucket = Window.partitionBy("__b")
-    natural = base.withColumn("__rn", F.row_number().over(by_bucket.orderBy(key)))
+    rows = cut_lineage(df.select(key, label, *features))
+    n = rows.count()
     reps = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("__r")
-    donors = (base.select("__b", key, *features, reps)
-              .withColumn("__rn", F.row_number().over(
-                  Window.partitionBy("__b", "__r").orderBy(F.xxhash64(F.lit(seed), F.col("__r"), F.col(key)))))
-              .select("__b", "__r", "__rn", *[F.col(c).alias(f"__d_{c}") for c in features]))
-    pairs = (natural.select("__b", "__rn", key, label, *features, reps)
-             .join(donors, ["__b", "__r", "__rn"]))
+    natural = numbered(rows, [key], "__n").select(key, label, *features, "__n", reps)
+    mixed = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("__r").cast("string"), F.col(key).cast("string")))
+    donors = numbered(rows.select(key, *[F.col(c).alias(f"__d_{c}") for c in features], reps).withColumn("__h", mixed),
+                      ["__r", "__h", key], "__m")
+    donors = donors.select("__r", (F.col("__m") - F.col("__r") * F.lit(n)).alias("__n"), *[f"__d_{c}" for c in features])
     # __f = -1 is the unpermuted copy: the baseline is scored in the same job.
-    copies = pairs.select("*", F.explode(F.sequence(F.lit(-1), F.lit(len(features) - 1))).alias("__f"))
+    copies = natural.join(donors, ["__r", "__n"]).select(
+        "*", F.explode(F.sequence(F.lit(-1), F.lit(len(features) - 1))).alias("__f"))
     copies = copies.select(key, label, "__r", "__f", *[
         F.when(F.col("__f") == i, F.col(f"__d_{c}")).otherwise(F.col(c)).alias(c)
         for i, c in enumerate(features)])
-    scored = model.transform(asm.transform(copies))
-    acc = scored.groupBy("__f", "__r").agg(F.avg((F.col("prediction") == F.col(label)).cast("double")).alias("acc"))
+    acc = predict(copies).groupBy("__f", "__r").agg(
+        F.avg((F.col("prediction") == F.col(label)).cast("double")).alias("acc"))
     # (features + 1) x repeats rows: the baseline is spread with a window.
     base = F.max(F.when(F.col("__f") == -1, F.col("acc"))).over(Window.partitionBy("__r"))
     drops = acc.withColumn("drop", base - F.col("acc")).where(F.col("__f") >= 0)

@@ -196,7 +196,7 @@ SELECT threshold,
        CAST(sum(pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS tp,
        CAST(sum(n - pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS fp,
        sum(pos) OVER () AS P, sum(n - pos) OVER () AS N
-FROM (SELECT round(score, 6) AS threshold, sum(label) AS pos, count(*) AS n FROM fscore GROUP BY 1) s""")
+FROM (SELECT score AS threshold, sum(label) AS pos, count(*) AS n FROM fscore GROUP BY 1) s""")
 
 
 def _with(*names: str) -> str:
@@ -469,6 +469,26 @@ FROM curve"""),
     "score_write_back": _q(["g_user", "fscore"], """
 SELECT u.guid, f.score AS predictedProbability
 FROM g_user u LEFT JOIN fscore f ON f.guid = u.guid AND f.score > 0.88 AND f.label = 0"""),
+    "permutation_importance_fixed": _q(["ur", "sid_deg", "uid_deg", "cfeat"], """
+SELECT feature, round(abs(avg(base - acc)), 6) AS importance FROM (
+  SELECT feature, r, avg(CASE WHEN CAST(2 * plain.cs + 3 * plain.sid - plain.cd - plain.dd >= 25 AS INTEGER) = label
+                              THEN 1.0 ELSE 0.0 END) AS base,
+         avg(CASE WHEN CAST(2 * CASE WHEN feature = 'communitySize' THEN dcs ELSE plain.cs END
+                            + 3 * CASE WHEN feature = 'sharedIdsDegree' THEN dsid ELSE plain.sid END
+                            - CASE WHEN feature = 'cardDegree' THEN dcd ELSE plain.cd END
+                            - CASE WHEN feature = 'deviceDegree' THEN ddd ELSE plain.dd END >= 25 AS INTEGER) = label
+                  THEN 1.0 ELSE 0.0 END) AS acc
+  FROM (SELECT ur.guid, row_number() OVER (ORDER BY ur.guid) AS n, fraudRisk - fraudMoneyTransfer AS label,
+               sharedIdsDegree AS sid, communitySize AS cs, cardDegree AS cd, deviceDegree AS dd
+        FROM ur JOIN sid_deg s ON s.guid = ur.guid JOIN uid_deg u ON u.guid = ur.guid
+        JOIN cfeat c ON c.guid = ur.guid) plain
+  JOIN (SELECT r, row_number() OVER (PARTITION BY r ORDER BY md5(concat('0:', r, ':', ur.guid)), ur.guid) AS n,
+               sharedIdsDegree AS dsid, communitySize AS dcs, cardDegree AS dcd, deviceDegree AS ddd
+        FROM ur JOIN sid_deg s ON s.guid = ur.guid JOIN uid_deg u ON u.guid = ur.guid
+        JOIN cfeat c ON c.guid = ur.guid, (SELECT unnest(range(5)) AS r) reps) donor ON donor.n = plain.n,
+       (VALUES ('sharedIdsDegree'), ('communitySize'), ('cardDegree'), ('deviceDegree'), ('ipDegree')) f(feature)
+  GROUP BY feature, r) t
+GROUP BY feature"""),
     "ml_training_set": _q(["feat"], "SELECT guid, " + ", ".join(_fcol(c) for c in _FEATURES_10)
                           + ", fraudRisk - fraudMoneyTransfer AS label FROM feat"),
 }

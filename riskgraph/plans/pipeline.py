@@ -281,28 +281,26 @@ class FraudPipeline:
     # ---- model -------------------------------------------------------------
     @cached_property
     def forest(self):
-        """(assembler, model, train, test) of the random forest."""
+        """(model, train, test) of the random forest."""
         from riskgraph.plans import model as mdl
         from riskgraph.plans.queries import FEATURES_10
         t = self.features.select("guid", *FEATURES_10,
                                  (F.col("fraudRisk") - F.col("fraudMoneyTransfer")).alias("label"))
         train, test = mdl.split(t)
-        asm, model = mdl.fit_forest(train, FEATURES_10)
-        return asm, model, train, test
+        return mdl.fit_forest(train, FEATURES_10), train, test
 
     def importance(self, dataset: str = "train") -> DataFrame:
         """Permutation importance on the training rows (as the analysis
         does) or on the held-out rows (``dataset="test"``)."""
         from riskgraph.plans import model as mdl
         from riskgraph.plans.queries import FEATURES_10
-        asm, model, train, test = self.forest
-        return mdl.permutation_importance(asm, model, train if dataset == "train" else test, FEATURES_10)
+        model, train, test = self.forest
+        return mdl.permutation_importance(model.score, train if dataset == "train" else test, FEATURES_10)
 
     @cached_property
     def rf_predictions(self) -> DataFrame:
-        from riskgraph.plans import model as mdl
-        asm, model, _, test = self.forest
-        return cut_lineage(mdl.score(asm, model, test))
+        model, _, test = self.forest
+        return cut_lineage(model.score(test))
 
 
 _CACHE: dict = {}

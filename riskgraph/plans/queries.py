@@ -291,6 +291,7 @@ def _pr(variant):
     return q
 
 
+# The analysis' feature names.
 FEATURES_10 = ["sharedIdsDegree", "p2pSharedCardPageRank", "p2pSentPageRank", "p2pReceivedWeightedPageRank",
                "p2pReceivedWeightedDegree", "ipDegree", "cardDegree", "deviceDegree", "communitySize",
                "partOfCommunity"]
@@ -353,6 +354,22 @@ def score_write_back(spark, sf):
     return sinks.write_back(p.users.select("guid"), short, "predictedProbability")
 
 
+def fixed_rule(df):
+    """A rule on whole numbers in place of a model, for the oracle."""
+    hit = 2 * F.col("communitySize") + 3 * F.col("sharedIdsDegree") - F.col("cardDegree") - F.col("deviceDegree") >= 25
+    return df.withColumn("prediction", hit.cast("int"))
+
+
+FIXED_RULE_COLUMNS = ["sharedIdsDegree", "communitySize", "cardDegree", "deviceDegree", "ipDegree"]
+
+
+def permutation_importance_fixed(spark, sf):
+    """Permutation importance of ``fixed_rule`` over all users."""
+    f = _p(spark, sf).features.select("guid", *FIXED_RULE_COLUMNS,
+                                      (F.col("fraudRisk") - F.col("fraudMoneyTransfer")).alias("label"))
+    return model.permutation_importance(fixed_rule, f, FIXED_RULE_COLUMNS)
+
+
 def rf_predictions(spark, sf):
     pr = _p(spark, sf).rf_predictions
     return pr.select("guid", "label", F.col("prediction").cast("int").alias("prediction"),
@@ -478,6 +495,7 @@ QUERIES = {
     "roc_points": roc_points,
     "pr_points": pr_points,
     "score_write_back": score_write_back,
+    "permutation_importance_fixed": permutation_importance_fixed,
     "rf_predictions": rf_predictions,
     "rf_accuracy": rf_accuracy,
     "rf_confusion_matrix": rf_confusion_matrix,

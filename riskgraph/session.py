@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,12 +67,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if sc is not None and not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if sc is None:
+        raise ValueError("set spark.checkpoint.dir: a session without a local context cannot tell a shared folder")
     local = tempfile.mkdtemp(prefix="riskgraph-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(local)
-        return sc.getCheckpointDir() or local
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    sc.setCheckpointDir(local)
+    return sc.getCheckpointDir() or local
+
+
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers on this machine import this package from where the
+    driver has it. On a cluster it is shipped with --py-files."""
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, (root, env.get("PYTHONPATH"))))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
