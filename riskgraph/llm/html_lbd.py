@@ -12,8 +12,8 @@
 3. Keep the text between a surge and its dive if the sum climbs above
    ``PEAK`` in between, or above half of the page's highest sum on short pages.
 
-On a page with ``article`` or ``main`` elements that hold text, lines outside
-them count as blank, and inside them neither layout edges nor removed elements
+On a page whose ``article`` or ``main`` elements hold at least one in ``MAIN_SHARE``
+characters of its lines' text (a teaser's stub does not), lines outside them count as blank, and inside them neither layout edges nor removed elements
 leave blank lines, so an article is one stretch.
 
 Blocks of the text are joined by two line feeds, in page order, uncapped.
@@ -38,6 +38,7 @@ from riskgraph.llm.common import strings
 
 WINDOW = 3
 PEAK = 86
+MAIN_SHARE = 8
 
 _PIECE = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
@@ -71,6 +72,8 @@ _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 #: A class such as "has-sidebar" names what the element around it has.
 NOT_OWN = frozenset("has with no without".split())
+#: A class of its own that says that an element is the text, whatever the others say.
+OWN = frozenset("entry hentry article story".split())
 
 
 def _is_boilerplate(tag: str, attrs: str, inside_main: bool, by_name: bool) -> bool:
@@ -82,7 +85,7 @@ def _is_boilerplate(tag: str, attrs: str, inside_main: bool, by_name: bool) -> b
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id"):
             words = {w.lower() for w in _WORDS.findall(value)}
-            if by_name and tag not in MAIN and not words & NOT_OWN and (words & NAMES or ("header" in words and not inside_main)):
+            if by_name and tag not in MAIN and not words & NOT_OWN and not OWN & set(value.lower().split()) and (words & NAMES or ("header" in words and not inside_main)):
                 return True
         elif name == "role" and tag not in MAIN and value.strip().lower() in ROLES:
             return True
@@ -111,8 +114,45 @@ class _Lines:
             self.lines += [("", 0, False)] * blanks
 
 
+class _Open:
+    """The open elements, (tag, dropped since here, main since here, link) each,
+    and where each tag stands among them, so that no step walks over them all."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, bool, bool, bool]] = []
+        self.where: dict[str, list[int]] = {}
+        self.layout: list[int] = [-1]           # of layout elements
+        self.not_row: list[int] = [-1]          # of those other than tr
+
+    def push(self, element: tuple[str, bool, bool, bool]) -> None:
+        tag, k = element[0], len(self.stack)
+        self.where.setdefault(tag, []).append(k)
+        if tag in LAYOUT:
+            self.layout.append(k)
+            if tag != "tr":
+                self.not_row.append(k)
+        self.stack.append(element)
+
+    def last(self, *tags: str) -> int:
+        """The innermost open element of the tags, -1 if there is none."""
+        return max((self.where[t][-1] for t in tags if self.where.get(t)), default=-1)
+
+    def cut(self, k: int) -> list[str]:
+        """Takes the elements from number ``k`` on away; their tags."""
+        gone = [s[0] for s in self.stack[k:]]
+        for tag in gone:
+            self.where[tag].pop()
+            if tag in LAYOUT:
+                self.layout.pop()
+                if tag != "tr":
+                    self.not_row.pop()
+        del self.stack[k:]
+        return gone
+
+
 def page_lines(page: str, by_name: bool = True) -> list[tuple[str, int, bool]]:
-    out, stack = _Lines(), []           # open elements: (tag, dropped since here, main since here, link)
+    out, opened = _Lines(), _Open()
+    stack = opened.stack
     at = 0
 
     def state() -> tuple:
@@ -131,10 +171,8 @@ def page_lines(page: str, by_name: bool = True) -> list[tuple[str, int, bool]]:
         main = stack[k][2]
         parent_dropped = k > 0 and stack[k - 1][1]
         gone = stack[k][1] and not parent_dropped
-        lines = any(s[0] in LINE for s in stack[k:])
         layout = stack[k][0] in LAYOUT
-        del stack[k:]
-        if lines and not parent_dropped:
+        if any(tag in LINE for tag in opened.cut(k)) and not parent_dropped:
             out.end(WINDOW if gone else int(layout), main)
 
     while (m := _PIECE.search(page, at)) is not None:
@@ -144,15 +182,11 @@ def page_lines(page: str, by_name: bool = True) -> list[tuple[str, int, bool]]:
             continue
         tag = m[2].lower()
         if m[1]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    close(k)
-                    break
-                if stack[k][0] in MAIN | {"td", "th"} and tag not in LAYOUT:
-                    break
-            else:
-                if tag in LINE and not state()[1]:
-                    out.end(0, state()[2])
+            k, edge = opened.last(tag), -1 if tag in LAYOUT else opened.last(*MAIN, "td", "th")
+            if k >= 0 and k >= edge:
+                close(k)
+            elif k < 0 and edge < 0 and tag in LINE and not state()[1]:
+                out.end(0, state()[2])
             continue
         if tag == "br":
             if not state()[1]:
@@ -167,26 +201,18 @@ def page_lines(page: str, by_name: bool = True) -> list[tuple[str, int, bool]]:
                 at = len(page) if end < 0 or close_at < 0 else close_at + 1
             continue
         for other in AUTO.get(tag, ()):
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == other:
-                    close(k)
-                    break
-                if stack[k][0] in LAYOUT - AUTO[tag]:
-                    break
-        if tag in LINE and tag != "p" and any(s[0] == "p" for s in stack):     # a block ends an open paragraph
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p":
-                    close(k)
-                    break
-                if stack[k][0] in LAYOUT:
-                    break
+            k = opened.last(other)
+            if k > (opened.not_row if tag == "tr" else opened.layout)[-1]:
+                close(k)
+        if tag in LINE and tag != "p" and opened.last("p") > opened.layout[-1]:     # a block ends an open paragraph
+            close(opened.last("p"))
         _, dropped, main, link = state()
         gone = not dropped and (tag in UNSEEN or _is_boilerplate(tag, m[3], main, by_name))
         main = main or (tag in MAIN and not dropped and not gone)
         if tag in LINE and not dropped:
             out.end(WINDOW if gone else int(tag in LAYOUT), main or state()[2])
         if tag not in VOID and not m[0].endswith("/>"):
-            stack.append((tag, dropped or gone, main, link or tag == "a"))
+            opened.push((tag, dropped or gone, main, link or tag == "a"))
     text(at, len(page))
     out.end(0, state()[2])
     return out.lines
@@ -199,7 +225,8 @@ def main_text(page: str | None, window: int = WINDOW, peak: int = PEAK) -> str:
 
 
 def _kept(lines: list[tuple[str, int, bool]], window: int, peak: int) -> str:
-    if any(main for text, _, main in lines if text):
+    counted = sum(n for _, n, _ in lines)
+    if 0 < counted <= MAIN_SHARE * sum(len(text) for text, _, main in lines if main):
         lines = [(text, len(text), True) if main else ("", 0, False) for text, _, main in lines]
     length = np.array([n for _, n, _ in lines], np.int64)
     if not length.any():
