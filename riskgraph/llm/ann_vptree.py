@@ -78,7 +78,7 @@ class VPTree:
             if not len(q):
                 return
             if not isinstance(node, tuple):
-                best.offer(q, queries, self.x[node], ids[node], ordered_dot, slack)
+                best.offer(q, queries, self.x[node], ids[node], ordered_dot, lambda p: slack[p][:, None])
                 return
             v, in_lo, in_hi, out_lo, out_hi, inside, outside = node
             d = apart(q, v)

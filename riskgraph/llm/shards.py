@@ -35,11 +35,14 @@ def matrix(t: pa.Table, name: str) -> np.ndarray:
 
 
 class TopK:
-    """The k best (score, id) of each query: highest score, ties to smaller id."""
+    """The k best (score, id) of each query: highest score, ties to smaller id.
+    A score is the sum of two doubles, of which the second is zero but for whole
+    numbers that one double cannot hold."""
 
     def __init__(self, own: np.ndarray, k: int, floor: np.ndarray | None = None):
         self.own, self.k = own, k
         self.score = np.full((len(own), k), -np.inf)
+        self.low = np.zeros((len(own), k))
         self.id = np.full((len(own), k), np.iinfo(np.int64).max)
         self.floor = np.full(len(own), -np.inf) if floor is None else floor
 
@@ -49,49 +52,61 @@ class TopK:
         return np.maximum(self.score[q, -1], self.floor[q])
 
     def offer(self, q: np.ndarray, queries: np.ndarray, rows: np.ndarray, ids: np.ndarray,
-              exact: Callable, slack: np.ndarray, step: int = 512) -> None:
+              exact: Callable, slack: Callable, step: int = 512) -> None:
         """Candidates ``rows`` for the queries numbered ``q``. A matrix product
-        picks what can enter (within ``slack`` of rounding), ``exact`` scores it."""
+        picks what can enter, ``exact(queries, rows)`` scores it in pairs.
+        ``slack(q)``: how far a product may be off, queries x rows."""
         for a in range(0, len(q), step):
             part = q[a:a + step]
-            rough = queries[part] @ rows.T
-            rough[ids[None, :] == self.own[part][:, None]] = -np.inf
+            rough, off = queries[part] @ rows.T, slack(part)
+            own = ids[None, :] == self.own[part][:, None]
+            least = np.where(own, -np.inf, rough - off)
             bound = self.kth(part)
             if rows.shape[0] > self.k:
-                bound = np.maximum(bound, np.partition(rough, -self.k, axis=1)[:, -self.k])
-            r, c = np.nonzero((rough >= (bound - slack[part])[:, None]) & (rough > -np.inf))
+                bound = np.maximum(bound, np.partition(least, -self.k, axis=1)[:, -self.k])
+            r, c = np.nonzero((rough + off >= bound[:, None]) & ~own)
             if not len(r):
                 continue
             hit = np.unique(r)
             width = int(np.bincount(r).max())
             col = np.arange(len(r)) - np.searchsorted(r, r)
             score = np.full((len(hit), width), -np.inf)
+            low = np.zeros((len(hit), width))
             ident = np.full((len(hit), width), np.iinfo(np.int64).max)
             at = np.searchsorted(hit, r)
             for z in range(0, len(r), 65536):
                 s = slice(z, z + 65536)
-                score[at[s], col[s]] = exact(queries[part[r[s]]], rows[c[s]])
+                score[at[s], col[s]], low[at[s], col[s]] = exact(queries[part[r[s]]], rows[c[s]])
             ident[at, col] = ids[c]
             who = part[hit]
             score = np.concatenate([self.score[who], score], axis=1)
+            low = np.concatenate([self.low[who], low], axis=1)
             ident = np.concatenate([self.id[who], ident], axis=1)
-            order = np.lexsort((ident, -score), axis=1)[:, :self.k]
+            order = np.lexsort((ident, -low, -score), axis=1)[:, :self.k]
             self.score[who] = np.take_along_axis(score, order, 1)
+            self.low[who] = np.take_along_axis(low, order, 1)
             self.id[who] = np.take_along_axis(ident, order, 1)
 
     def table(self, kind: pa.DataType) -> pa.Table:
         q, c = np.nonzero(self.score > -np.inf)
+        score = self.score[q, c]
+        if pa.types.is_integer(kind):
+            score = [int(x) + int(y) for x, y in zip(score.tolist(), self.low[q, c].tolist(), strict=True)]
         return pa.table({"query_id": pa.array(self.own[q], pa.int64()), "vec_id": pa.array(self.id[q, c], pa.int64()),
-                         "score": pa.array(self.score[q, c]).cast(kind)})
+                         "score": pa.array(score, kind)})
 
 
-def ordered_dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def ordered_dot(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, float]:
     """Inner products of the rows in pairs, summed in component order, so that
     equal vectors get equal scores wherever they stand."""
     out = np.zeros(len(a))
     for j in range(a.shape[1]):
         out += a[:, j] * b[:, j]
-    return out
+    return out, 0.0
+
+
+def norms(x: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.einsum("ij,ij->i", x, x))
 
 
 def search(vectors: DataFrame, queries: DataFrame, task: Callable[[pa.Table, pa.Table], pa.Table], score: str,

@@ -8,12 +8,13 @@ is below its kth score so far. That score is shared: all queries are first
 searched in one shard, and take the kth score found there into all others, so
 those begin to prune at once (the bound is a true one, nothing is lost).
 
-Scores are exact: products run in double precision while no sum can reach 2^53
-(Cauchy-Schwarz), else in 64-bit integers, and are rounded to 53 bits there.
+Scores are exact: products run in double precision where no sum can reach 2^52
+(Cauchy-Schwarz), else in whole numbers of any length. A score that a long cannot
+hold is the nearest long, and is ranked as that.
 
 Defined cases: vectors that are null, empty, or hold a null or non-finite
-component, or whose scaled component passes 2^62, take no part; every row is a
-candidate, also rows that repeat a vec_id; a repeated vec_id asks once (its
+component take no part; a scaled component beyond 2^200 counts as 2^200; every row
+is a candidate, also rows that repeat a vec_id; a repeated vec_id asks once (its
 smallest vector) and never finds rows of its own vec_id; ties go to the smaller
 vec_id; vectors of another length are no candidates; an empty table gives an
 empty result; extra columns are ignored.
@@ -27,49 +28,60 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskgraph.llm.common import cut_lineage
-from riskgraph.llm.shards import BLOCK_ROWS, SHARD_ROWS, TopK, dealt, finite, matrix, ordered_dot, ranked, search
+from riskgraph.llm.shards import BLOCK_ROWS, SHARD_ROWS, TopK, dealt, finite, matrix, norms, ordered_dot, ranked, search
 
 LEAF = 128
+OFF = 1e-10         # rounding of a product, as a share of the two vectors' norms, at most
 
 
-def _whole_dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a.astype(np.int64) * b.astype(np.int64)).sum(axis=1).astype(np.float64)
+LONG = (1 << 63) - 1
+
+
+def whole_dot(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exact inner products of rows of whole numbers, in pairs, as two doubles."""
+    high, _ = ordered_dot(a, b)
+    low = np.zeros(len(a))
+    for i in np.flatnonzero(norms(a) * norms(b) >= 2.0 ** 52):
+        s = sum(int(x) * int(y) for x, y in zip(a[i].tolist(), b[i].tolist(), strict=True))
+        s = min(max(s, -LONG - 1), LONG)
+        high[i] = float(s)
+        low[i] = s - int(high[i])
+    return high, low
 
 
 class BallTree:
     def __init__(self, x: np.ndarray, leaf: int = LEAF):
-        self.x = x
+        self.x, self.norm = x, norms(x)
         self.root = self._build(np.arange(len(x)), leaf)
 
     def _build(self, rows: np.ndarray, leaf: int):
-        """(centre, radius, rows or None, left, right); split at the median
-        along the line between two far points."""
-        x = self.x[rows]
+        """(centre, radius, rows or None, left, right, largest norm); split at the
+        median along the line between two far points."""
+        x, top = self.x[rows], float(self.norm[rows].max())
         centre = x.mean(axis=0)
         d2 = np.einsum("ij,ij->i", x - centre, x - centre)
         radius = float(np.sqrt(d2.max()))
         if len(rows) <= leaf or radius == 0.0:
-            return centre, radius, rows, None, None
+            return centre, radius, rows, None, None, top
         a = x[int(d2.argmax())]
         b = x[int(np.einsum("ij,ij->i", x - a, x - a).argmax())]
         order = np.argsort(x @ (b - a), kind="stable")
         half = len(rows) // 2
-        return (centre, radius, None, self._build(rows[order[:half]], leaf), self._build(rows[order[half:]], leaf))
+        return (centre, radius, None, self._build(rows[order[:half]], leaf), self._build(rows[order[half:]], leaf),
+                top)
 
     def search(self, queries: np.ndarray, ids: np.ndarray, best: TopK) -> None:
-        norm = np.sqrt(np.einsum("ij,ij->i", queries, queries))
-        top = float(np.sqrt(np.einsum("ij,ij->i", self.x, self.x).max()))
-        slack = 1e-9 * (norm * top + 1.0)
-        exact = ordered_dot if norm.max(initial=0.0) * top < 2.0 ** 52 else _whole_dot
+        norm = norms(queries)
 
         def bound(node, q: np.ndarray) -> np.ndarray:
-            return queries[q] @ node[0] + norm[q] * node[1] + slack[q]
+            return queries[q] @ node[0] + norm[q] * (node[1] + OFF * node[5]) + OFF
 
         def visit(node, q: np.ndarray) -> None:
             if not len(q):
                 return
             if node[2] is not None:
-                best.offer(q, queries, self.x[node[2]], ids[node[2]], exact, slack)
+                off = OFF * self.norm[node[2]]
+                best.offer(q, queries, self.x[node[2]], ids[node[2]], whole_dot, lambda p: norm[p][:, None] * off + OFF)
                 return
             left, right = bound(node[3], q), bound(node[4], q)
             higher = left >= right
@@ -95,10 +107,10 @@ def topk(embeddings: DataFrame, k: int = 10, every: int = 100, scale: int = 1024
          block_rows: int = BLOCK_ROWS, leaf: int = LEAF) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` highest integer inner
     products of each row whose vec_id is divisible by ``every``."""
-    small = F.forall("embedding", lambda x: F.abs(x.cast("double") * scale) < 2.0 ** 62)
-    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("double"))
-    keep = finite(F.col("embedding"))
-    kept = embeddings.where(keep & small).select("vec_id", whole.alias("embedding"))
+    def whole(x):
+        y = F.greatest(F.least(x.cast("double") * scale, F.lit(2.0 ** 200)), F.lit(-2.0 ** 200))
+        return F.when(F.abs(y) < 2.0 ** 52, F.floor(y).cast("double")).otherwise(y)     # beyond, doubles are whole
+    kept = embeddings.where(finite(F.col("embedding"))).select("vec_id", F.transform("embedding", whole).alias("embedding"))
     vectors, asked, shards, blocks = dealt(kept, F.lit(True), every, shard_rows, block_rows, k)
     none = F.lit(float("-inf"))
     run = _task(k, leaf)
