@@ -1,49 +1,153 @@
 """Weighted-Jaccard node similarity (sum of min / sum of max over shared
 neighbours) with a similarity cutoff and top-k per node.
 
-Exact, without emitting all pairs of a hub's neighbours: candidate pairs
-come from a weighted prefix filter (Bayardo, Ma, Srikant: "Scaling Up All
-Pairs Similarity Search", WWW 2007). With elements ordered globally by
-weight (heaviest first), a node indexes only the prefix of its elements
-whose remaining (light) suffix weighs at least ``cutoff * W``; if
-``J(a, b) >= cutoff`` then ``sum_min >= cutoff * W_a``, so a and b share an
-element inside both prefixes. The prefix is chosen per power-of-two weight
-class, which keeps it a global-order prefix while the per-node window runs
-over at most a few dozen class rows, not over a node's edges. Light hub
-identifiers therefore only pair up the few nodes for which they carry
-enough of the weight. Scores of the candidates are then computed exactly.
+Exact, without emitting all pairs of a hub's neighbours:
+
+1. Items with at most ``SMALL`` holders pair up their holders: linear in the
+   number of memberships. Whoever is not met shares items with more holders
+   ("large" ones) alone. These are light in an inverse-degree graph, and what a
+   node holds of them, ``R``, bounds its score with any such node b:
+   ``s / (W + W_b - s)`` with ``s = min(R, W_b)``, at most ``R / W``.
+2. A node whose kth score is already above that bound is done. The others read
+   the lists of their large items best first (a threshold algorithm: Fagin,
+   Lotem, Naor: "Optimal Aggregation Algorithms for Middleware", PODS 2001). A list
+   is ordered by its holders' total weight; the bound is highest where it
+   equals ``R`` and falls to both sides, so a node starts there and reads a block
+   of ``BLOCK`` holders to either side a round. Its new pairs are scored, its kth
+   score grows, and it stops on a side once the bound of the last one read is
+   below the cutoff or its kth score (or equal to it, with no smaller id to come).
+   What is read stays near what is kept, however many hold the item.
+
+Scores of the candidates are exact (expand the smaller side, probe the other).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskgraph.operators.ranges import numbered, running_sums
 from riskgraph.session import cut_lineage
 
 
-def _weight_class(w):
-    return F.floor(F.log2(w))
-
-
-def candidate_pairs(members: DataFrame, cutoff: float) -> DataFrame:
-    """Unordered candidate pairs ``(a, b)``, ``a < b``, that can reach
-    ``cutoff``. ``members``: distinct ``(node, item, w)`` with finite w > 0."""
-    tot = members.groupBy("node").agg(F.sum("w").alias("W"))
-    cls = (members.withColumn("cls", _weight_class(F.col("w")))
-           .groupBy("node", "cls").agg(F.sum("w").alias("cw")))
-    win = Window.partitionBy("node").orderBy("cls").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # A class is indexed when the classes up to and including it (the light
-    # end) weigh at least cutoff*W; the tolerance only ever indexes more.
-    indexed = (cls.withColumn("cum", F.sum("cw").over(win)).join(tot, "node")
-               .where(F.col("cum") >= F.lit(cutoff) * F.col("W") * F.lit(1.0 - 1e-9))
-               .select("node", "cls"))
-    prefix = (members.withColumn("cls", _weight_class(F.col("w")))
-              .join(indexed, ["node", "cls"], "left_semi").select("node", "item"))
-    return (prefix.withColumnRenamed("node", "a")
-            .join(prefix.withColumnRenamed("node", "b"), "item")
-            .where(F.col("a") < F.col("b"))
-            .select("a", "b").distinct())
+SMALL = 64              # holders of an item that are paired up at once
+BLOCK = 32              # holders that are read together from a longer list
+
+
+def _round9(c) -> Column:
+    return F.round(c, 9)
+
+
+def _totals(members: DataFrame, sizes: DataFrame, small: int) -> DataFrame:
+    """``(node, tot, R)``: the weight of all items and that of the large ones, rounded
+    so that equal weights summed up in another order are equal."""
+    large = F.when(F.col("size") > small, F.col("w")).otherwise(F.lit(0.0))
+    return members.join(sizes, "item").groupBy("node").agg(
+        F.round(F.sum("w"), 12).alias("tot"), F.round(F.sum(large), 12).alias("R"))
+
+
+def small_pairs(members: DataFrame, sizes: DataFrame, small: int = SMALL) -> DataFrame:
+    """Unordered pairs ``(a, b)``, ``a < b``, that share an item of at most ``small`` holders."""
+    few = members.join(sizes.where((F.col("size") > 1) & (F.col("size") <= small)), "item").select("node", "item")
+    return (few.withColumnRenamed("node", "a").join(few.withColumnRenamed("node", "b"), "item")
+            .where(F.col("a") < F.col("b")).select("a", "b").distinct())
+
+
+def _best(scored: DataFrame, k: int) -> DataFrame:
+    """``(node, kth, kth_other)``: score and partner at rank ``k`` of the nodes
+    that have as many partners."""
+    both = scored.select(F.col("a").alias("node"), F.col("b").alias("other"), _round9("similarity").alias("x")).unionByName(
+        scored.select(F.col("b").alias("node"), F.col("a").alias("other"), _round9("similarity").alias("x")))
+    w = Window.partitionBy("node").orderBy(F.col("x").desc(), F.col("other").asc())
+    # rows up to k alone: planned as a window group limit, before the shuffle too
+    return (both.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k).where(F.col("rn") == k)
+            .select("node", F.col("x").alias("kth"), F.col("other").alias("kth_other")))
+
+
+def _blocks(lists: DataFrame, up: bool, block: int) -> DataFrame:
+    """``(item, side, blk, entries)``: the holders of each large item in order of
+    total weight (rising for ``up``), ``block`` at a time, with their positions."""
+    order = [F.col("item"), F.col("tot") if up else F.col("tot").desc(), F.col("node")]
+    n = numbered(lists, order, "__n")
+    start = n.groupBy("item").agg(F.min("__n").alias("__first"))
+    pos = n.join(start, "item").withColumn("pos", F.col("__n") - F.col("__first"))
+    entry = F.struct("pos", "tot", "node")
+    return (pos.groupBy("item", F.lit(up).alias("side"), F.floor(F.col("pos") / block).alias("blk"))
+            .agg(F.sort_array(F.collect_list(entry)).alias("entries")))                # block entries at most
+
+
+def _starts(asking: DataFrame, lists: DataFrame) -> DataFrame:
+    """``asking(a, Wa, R, item)`` with ``below``: how many of the item's holders
+    weigh less than ``R``. Holders and questions are counted along together in
+    ranges of (item, weight)."""
+    first = lists.groupBy("item").agg(F.count(F.lit(1)).alias("size"))
+    held = lists.select("item", F.col("tot").alias("v"), F.lit(1).alias("held"), F.lit(None).cast(asking.schema["a"].dataType).alias("a"),
+                        F.lit(None).cast("double").alias("Wa"))
+    asked = asking.select("item", F.col("R").alias("v"), F.lit(0).alias("held"), "a", "Wa")
+    run = running_sums(held.unionByName(asked), ["item", "v", "held", "a"], upto="held")
+    ahead = running_sums(first, ["item"], upto="size").select("item", "size", (F.col("upto") - F.col("size")).alias("ahead"))
+    return (run.where(F.col("held") == 0).join(ahead, "item")
+            .select("a", "Wa", F.col("v").alias("R"), "item", "size", (F.col("upto") - F.col("ahead")).alias("below")))
+
+
+def _bound(weight: Column) -> Column:
+    """The most that a node (``Wa``, ``R``) can score with one of total ``weight``."""
+    s = F.least(F.col("R"), weight)
+    return _round9(s / (F.col("Wa") + weight - s) + F.lit(1e-12))
+
+
+def _may_enter(weight: Column, node: Column, cutoff: float) -> Column:
+    """Whether a holder could be among the k best of a node with ``kth``, ``kth_other``."""
+    u = _bound(weight)
+    return (u >= F.lit(cutoff - 1e-9)) & (F.col("kth").isNull() | (u > F.col("kth"))
+                                          | ((u == F.col("kth")) & (node < F.col("kth_other"))))
+
+
+def scored_pairs(members: DataFrame, cutoff: float, top_k: int, small: int = SMALL, block: int = BLOCK) -> DataFrame:
+    """``(a, b, similarity)``, ``a < b``: pairs with similarity >= ``cutoff``, among
+    them the ``top_k`` best of every node (ties to the smaller id).
+    ``members``: written distinct ``(node, item, w)`` with finite w > 0."""
+    sizes = cut_lineage(members.groupBy("item").agg(F.count(F.lit(1)).alias("size")))
+    scored = cut_lineage(pair_scores(members, small_pairs(members, sizes, small)).where(F.col("similarity") >= cutoff))
+    large = sizes.where(F.col("size") > small).select("item")
+    if not large.take(1):
+        return scored
+    totals = cut_lineage(_totals(members, sizes, small))
+    lists = cut_lineage(members.join(large, "item", "left_semi").join(totals.select("node", "tot"), "node")
+                        .select("item", "node", "tot"))
+    best = cut_lineage(_best(scored, top_k))
+    # what a node could still find at most, against what it has
+    open_ = cut_lineage(totals.where(F.col("R") > 0).join(best, "node", "left")
+                        .select(F.col("node").alias("a"), F.col("tot").alias("Wa"), "R", "kth")
+                        .where((_round9(F.col("R") / F.col("Wa") + F.lit(1e-12)) >= F.lit(cutoff - 1e-9))
+                               & (F.col("kth").isNull() | (_round9(F.col("R") / F.col("Wa") + F.lit(1e-12)) >= F.col("kth")))))
+    if not open_.take(1):
+        return scored
+    blocks = cut_lineage(_blocks(lists, True, block).unionByName(_blocks(lists, False, block)))
+    asking = lists.select("item", F.col("node").alias("a")).join(open_.select("a", "Wa", "R"), "a")
+    at = _starts(cut_lineage(asking), lists)
+    frontier = cut_lineage(
+        at.select("a", "Wa", "R", "item", F.lit(True).alias("side"), F.col("below").alias("pos"), "size").unionByName(
+            at.select("a", "Wa", "R", "item", F.lit(False).alias("side"), (F.col("size") - F.col("below")).alias("pos"), "size"))
+        .where(F.col("pos") < F.col("size")))
+    while frontier.take(1):
+        known = frontier.join(best.withColumnRenamed("node", "a"), "a", "left").withColumn("blk", F.floor(F.col("pos") / block))
+        read = cut_lineage(known.join(blocks, ["item", "side", "blk"]))
+        seen = (read.select("a", "Wa", "R", "pos", "kth", "kth_other", F.explode("entries").alias("e"))
+                .where((F.col("e.pos") >= F.col("pos")) & (F.col("e.node") != F.col("a")))
+                .where(_may_enter(F.col("e.tot"), F.col("e.node"), cutoff)))
+        new = cut_lineage(seen.select(F.least("a", "e.node").alias("a"), F.greatest("a", "e.node").alias("b")).distinct()
+                          .join(scored.select("a", "b"), ["a", "b"], "left_anti"))
+        scored = cut_lineage(scored.unionByName(pair_scores(members, new).where(F.col("similarity") >= cutoff)))
+        best = cut_lineage(_best(scored, top_k))
+        last = F.element_at("entries", -1)
+        frontier = cut_lineage(
+            read.select("a", "Wa", "R", "item", "side", "size", "blk", last["tot"].alias("last"), last["node"].alias("last_node"))
+            .withColumn("pos", (F.col("blk") + 1) * block).where(F.col("pos") < F.col("size"))
+            .join(best.withColumnRenamed("node", "a"), "a", "left")
+            .where(_may_enter(F.col("last"), F.col("last_node"), cutoff))
+            .select("a", "Wa", "R", "item", "side", "pos", "size"))
+    return scored
 
 
 def pair_scores(members: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -105,7 +209,7 @@ def node_similarity(members: DataFrame, cutoff: float = 0.01, top_k: int = 10) -
     ``cutoff > 0``.
     """
     if cutoff <= 0:
-        raise ValueError("cutoff must be > 0 for the prefix filter")
+        raise ValueError("cutoff must be > 0: a pair without a shared item scores 0")
     m = members.groupBy("node", "item").agg(F.max("w").alias("w"))
     inf = float("inf")
     finite_nodes = m.groupBy("node").agg(F.max("w").alias("mx")).where(F.col("mx") < inf).select("node")
@@ -113,9 +217,8 @@ def node_similarity(members: DataFrame, cutoff: float = 0.01, top_k: int = 10) -
     m = cut_lineage(m.join(finite_nodes, "node", "left_semi").where(F.col("w") > 0))
     groups = cut_lineage(copy_groups(m))
     reps = groups.where(F.col("node") == F.col("grp")).select("node")
-    m_rep = m.join(reps, "node", "left_semi")
-    # written once: both orientations and the expansion read it
-    scored = cut_lineage(pair_scores(m_rep, candidate_pairs(m_rep, cutoff)).where(F.col("similarity") >= cutoff))
+    m_rep = cut_lineage(m.join(reps, "node", "left_semi"))
+    scored = scored_pairs(m_rep, cutoff, top_k)
     rep_pairs = (scored.select(F.col("a").alias("g1"), F.col("b").alias("g2"), "similarity")
                  .unionByName(scored.select(F.col("b").alias("g1"), F.col("a").alias("g2"), "similarity")))
     smallest = _smallest_members(groups, top_k + 1)
