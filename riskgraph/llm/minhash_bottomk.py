@@ -17,16 +17,16 @@ similarity is at least ``percent`` / 100, counted on the full sets.
    the ``SHARED - 1`` most frequent of them, for two sets with that many common
    keys must share a rarer one. So very common words and passages make no lists.
 3. Candidates grow with a list's length, not its square: a list pairs its
-   members with one hub. Pairs whose overlap on the union's sketch is far below
+   members with one hub, and a member meets the hubs of its longest lists. Pairs whose overlap on the union's sketch is far below
    the threshold (``MARGIN`` standard deviations) are dropped, the others are
    verified on the full sets, which are taken from the texts again for the
    nodes in question alone.
 4. Links give components. In lists of at most ``SHORT`` members that still hold
    several, every member outside the largest component is paired with all
    members of other components. The members of longer lists are listed anew by
-   the rarest shingles of their full sets, where the same is done: similar sets
-   share one of these for certain, dissimilar ones that a common passage had
-   brought together do not. So no link between different components of any list
+   the rarest shingles of their full sets, where the same is done, in blocks of
+   full sets: similar sets share one of these for certain, dissimilar ones that a
+   common passage had brought together do not. So no link between different components of any list
    is lost, and no pair inside one is tried.
 
 Signatures and shingle hashes have 64 bits (two different sets among 10^10
@@ -48,6 +48,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from riskgraph.llm.common import cut_lineage, mix64, segments, strings, word_hashes
 from riskgraph.operators.components import component_map
@@ -56,6 +57,8 @@ K = 48
 SHARED = 9
 SHORT = 50
 MARGIN = 6.0
+HUBS = 8                # hubs that a node is paired with
+BLOCK, BLOCK_GRAMS = 256, 65_536        # members and shingles of a block of full sets, about
 FILTER_BITS = 22        # of the fixed-size filter by which texts are taken again
 
 _MUL = np.uint64(0xD6E8FEB86659FD93)
@@ -224,10 +227,15 @@ def _largest(members: DataFrame) -> DataFrame:
 
 
 def _star(members: DataFrame) -> DataFrame:
-    """Each list's members paired with its hub, the member of smallest hash."""
-    hubs = cut_lineage(members.groupBy("key").agg(F.min(F.struct("sig", "n")).alias("h"))
-                       .select("key", F.col("h.sig").alias("hub"), F.col("h.n").alias("hn")))
-    return (members.join(hubs, "key").where(F.col("sig") != F.col("hub"))
+    """Members paired with hubs, the members of smallest hash of their lists:
+    each with the hubs of its ``HUBS`` longest lists. (What that leaves apart is
+    found by ``_crossing`` and ``_links_by_rare_shingles``, which lose nothing.)"""
+    hubs = cut_lineage(members.groupBy("key").agg(F.min(F.struct("sig", "n")).alias("h"), F.count(F.lit(1)).alias("c"))
+                       .select("key", F.col("h.sig").alias("hub"), F.col("h.n").alias("hn"), "c"))
+    met = (members.join(hubs, "key").where(F.col("sig") != F.col("hub"))
+           .groupBy("sig", "n", "hub", "hn").agg(F.max("c").alias("c")))
+    longest = Window.partitionBy("sig").orderBy(F.desc("c"), "hub")             # a sketch's keys at most
+    return (met.withColumn("at", F.row_number().over(longest)).where(F.col("at") <= HUBS)
             .select(*_ordered("sig", "hub"), F.col("n").alias("na"), F.col("hn").alias("nb")))
 
 
@@ -241,12 +249,52 @@ def _crossing(members: DataFrame) -> DataFrame:
             .select(*_ordered("sig", "x"), F.col("n").alias("na"), F.col("nx").alias("nb")))
 
 
+def _blocked(members: DataFrame, grams: DataFrame, name: str) -> DataFrame:
+    """``(g, name_blk, name)``: a group's members with their full sets, some
+    ``BLOCK`` members or ``BLOCK_GRAMS`` shingles together, dealt by hash."""
+    with_n = members.join(grams.select("sig", F.size("grams").alias("n")), "sig")
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_GRAMS))
+    size = cut_lineage(with_n.groupBy("g").agg(blocks.alias("blocks")))
+    dealt = cut_lineage(members.join(size, "g").select("g", "sig", "comp", F.pmod(F.xxhash64("sig"), "blocks").alias("blk")))
+    return cut_lineage(dealt.join(grams.withColumn("n", F.size("grams")), "sig").groupBy("g", F.col("blk").alias(f"{name}_blk"))
+                       .agg(F.collect_list(F.struct("sig", "comp", "n", "grams")).alias(name)))
+
+
+def _link_blocks(percent: int):
+    """The links between two blocks' members of different components."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(b.num_rows):
+                x, y = (_members(b.column(c)[at].values) for c in ("x", "y"))
+                g, found = b.column("g")[at].as_py(), ([], [])
+                owner, flat = np.repeat(np.arange(len(y["n"])), y["n"]), y["grams"]
+                ends = np.cumsum(x["n"])
+                for i in range(len(x["n"])):
+                    mine = x["grams"][ends[i] - x["n"][i]:ends[i]]
+                    place = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
+                    inter = np.bincount(owner[mine[place] == flat], minlength=len(y["n"]))
+                    link = (100 * inter >= percent * (y["n"] + x["n"][i] - inter)) & (y["comp"] != x["comp"][i]) & \
+                        ((y["comp"] == g) | (y["comp"] < x["comp"][i]))
+                    found[0].extend([int(x["sig"][i])] * int(link.sum()))
+                    found[1].extend(y["sig"][link].tolist())
+                a, z = (np.array(v, np.int64) for v in found)
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, z)), pa.array(np.maximum(a, z))], ["a", "b"])
+    return run
+
+
+def _members(block: pa.StructArray) -> dict[str, np.ndarray]:
+    out = {f: block.field(f).to_numpy(zero_copy_only=False) for f in ("sig", "comp", "n")}
+    return {**out, "grams": block.field("grams").flatten().to_numpy(zero_copy_only=False)}
+
+
 def _links_by_rare_shingles(grams: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     """Links ``(a, b)`` between components among full sets ``grams(sig,
     grams)``. A set of n is listed under its n - ceil(J n) + 1 rarest shingles
-    (rarest among these sets); similar sets share one of them for certain. The
-    join looks at a pair in the list of its rarest common shingle alone, and
-    passes on links, not candidates."""
+    (rarest among these sets); similar sets share one of them for certain. Lists
+    that still hold several components are gathered by their largest one; in such
+    a group, every member outside of it is compared with all members of other
+    components, block by block, on the full sets. A set travels once a block pair,
+    not once a list, and links alone leave the comparison."""
     sized = grams.withColumn("n", F.size("grams"))
     each = sized.select("sig", "n", F.explode("grams").alias("key"))
     shared = cut_lineage(each.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
@@ -255,18 +303,12 @@ def _links_by_rare_shingles(grams: DataFrame, comps: DataFrame, percent: int) ->
         each.join(shared, "key").groupBy("sig", "n").agg(F.collect_list(F.struct("c", "key")).alias("of"))
         .withColumn("spare", spare).where("spare > 0")
         .select("sig", "n", F.slice(F.array_sort("of"), F.lit(1), F.col("spare"))["key"].alias("keys")))
-    rare = _with_comp(listed.select("sig", "n", F.explode("keys").alias("key")), comps).drop("n")
-    full = cut_lineage(listed.select("sig", "n", "keys").join(grams, "sig"))
-    m = cut_lineage(rare.join(_largest(rare), "key"))
-    x = m.where("comp != top").join(full, "sig").select(
-        "key", *[F.col(c).alias("x_" + c) for c in ("sig", "comp", "n", "keys", "grams")])
-    inter = F.size(F.array_intersect("grams", "x_grams")).cast("long")
-    link = ((F.col("comp") != F.col("x_comp")) & ((F.col("comp") == F.col("top")) | (F.col("comp") < F.col("x_comp")))
-            & (F.least("n", "x_n") * 100 >= F.greatest("n", "x_n") * percent)
-            & (F.element_at(F.array_intersect("keys", "x_keys"), 1) == F.col("m_key"))
-            & (inter * 100 >= (F.col("n") + F.col("x_n") - inter) * percent))
-    y = m.join(full, "sig").withColumnRenamed("key", "m_key")
-    return cut_lineage(y.join(x, (F.col("m_key") == F.col("key")) & link).select(*_ordered("sig", "x_sig")))
+    rare = _with_comp(listed.select("sig", F.explode("keys").alias("key")), comps)
+    group = cut_lineage(rare.join(_largest(rare), "key").select(F.col("top").alias("g"), "sig", "comp").distinct())
+    x, y = _blocked(group.where("comp != g"), grams, "x"), _blocked(group, grams, "y")
+    pairs = x.select("g", "x_blk").join(y.select("g", "y_blk"), "g")
+    both = pairs.join(x, ["g", "x_blk"]).join(y, ["g", "y_blk"]).select("g", "x", "y")
+    return cut_lineage(both.mapInArrow(_link_blocks(percent), "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int = K) -> DataFrame:

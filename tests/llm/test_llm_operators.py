@@ -83,6 +83,7 @@ def brute_components(rows, words):
 @pytest.mark.parametrize("words", [2, 5])
 def test_near_duplicates_equal_brute_force(spark, corpus, words, monkeypatch):
     monkeypatch.setattr(minhash_bottomk, "SHORT", 5)       # take the way of the long lists too
+    monkeypatch.setattr(minhash_bottomk, "BLOCK", 3)
     got = minhash_bottomk.near_duplicates(documents(spark, corpus), words=words).collect()
     key = lambda r: tuple((x is None, x) for x in r)
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=key) == sorted(
