@@ -34,17 +34,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskgraph.llm.common import cut_lineage, strings
-from riskgraph.llm.units import Kept, byte_alphabet, byte_level, split_units
+from riskgraph.llm.units import LONG_UNIT, Kept, byte_alphabet, byte_level, split_units
 
 LONG = 65_536           # bytes of a text that is encoded in one place
 LEAF = 16_384
 FAN = 8                 # neighbours that one task joins in a round
 WINDOW = 8              # tokens on either side of a join, to begin with
 SLICE = 200             # texts that are Python strings at a time
+PIECES = 200_000        # pieces of at most LONG_UNIT characters that are remembered, some 60 MB
+#: Fixed value: the pattern of the byte-level tokenizer.
+PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Characters of which classes differ between versions of Unicode, or might.
+OTHER = re.compile("[^\t\n\r -~\xa1-\xac\xae-\u017f]")
+PROBES = ("a b", " a  b\n\n c", "x, y. z'll 12 3a don't we've", "Dieüauß Èonai, öäte. ÀÉ-ñ it's <b>&amp;</b> (9.5%) Łódź \\o/ A1b2",
+          " ¡¿½²³¼ª·µ º«»¬±°§¶", "\t\tx \r\n\r\n  y", "naïve' 'tis O'Neill'd IJĲĳŉſ", "tab\there __init__ a'b")
 
 
 class Codec:
@@ -54,12 +62,45 @@ class Codec:
         self.tokenizer, self.bytes = byte_level(path, plain_specials=False)
         self.specials = [a.content for a in self.tokenizer.get_added_tokens_decoder().values()]
         self.char = {b: c for c, b in byte_alphabet().items()}
+        #: Latin characters as the model knows them: one or two bytes, as characters.
+        self.latin = {x: "".join(self.char[b] for b in chr(x).encode()) for x in range(0x180)}
         self.kept = Kept(self._encode_units, len)
+        self.piece: dict[str, bytes] = {}
+        self.by_pattern = self._same_by_pattern()
 
-    def _encode_units(self, units: list[str]) -> list[bytes]:
+    def _library(self, units: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
 
+    def _same_by_pattern(self) -> bool:
+        """Whether the published pattern and the model give the library's ids."""
+        return [self._quick(u) for p in PROBES for u in split_units(p)] == \
+            self._library([u for p in PROBES for u in split_units(p)])
+
+    def _quick(self, unit: str) -> bytes:
+        """A unit of Latin characters: its pieces, by the pattern, go to the model
+        straight, without the library's bookkeeping of offsets."""
+        out = []
+        for p in PATTERN.findall(unit):
+            ids = self.piece.get(p)
+            if ids is None:
+                ids = np.array([t.id for t in self.tokenizer.model.tokenize(p.translate(self.latin))], "<u4").tobytes()
+                if len(p) <= LONG_UNIT:
+                    if len(self.piece) >= PIECES:
+                        self.piece.clear()
+                    self.piece[p] = ids
+            out.append(ids)
+        return b"".join(out)
+
+    def _encode_units(self, units: list[str]) -> list[bytes]:
+        """Ids of units; those with a special token's string or characters beyond
+        the Latin ones go to the library."""
+        if not self.by_pattern:
+            return self._library(units)
+        other = [u for u in units if OTHER.search(u) or any(s in u for s in self.specials)]
+        slow = dict(zip(other, self._library(other), strict=True)) if other else {}
+        return [slow[u] if u in slow else self._quick(u) for u in units]
+
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, 32-bit little-endian."""
         units = [split_units(t) for t in texts]

@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterable
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")     # a task is one thread
 
 _CUT = re.compile(r"(?<=[!-~\w])(?= )")
+_ODD = re.compile(r"[^!-~\w] ")      # a space before which no cut may be made
 ENTRY_BYTES = 200            # of a dictionary entry with its key, about
 LONG_UNIT = 64               # longer units are not kept
 BATCH = 2048                 # units that go to a tokenizer together
@@ -24,35 +25,52 @@ BATCH = 2048                 # units that go to a tokenizer together
 
 def split_units(text: str) -> list[str]:
     """The units of ``text``; joined they are the text."""
-    return _CUT.split(text) if text else []
+    if not text:
+        return []
+    if _ODD.search(text):
+        return _CUT.split(text)
+    first, *others = text.split(" ")
+    units = [" " + x for x in others]
+    return [first, *units] if first else units
 
 
 class Kept(dict):
     """Unit -> result. ``fill`` computes the results of new units, given as a
-    list; all are forgotten when they take more than ``limit`` bytes, by
-    ``size(result)``. Long units are not kept from one call to the next."""
+    list. What has been asked for since half of ``limit`` bytes (by
+    ``size(result)``) came in is kept, and what was asked for in the half before is
+    at hand; long units are not kept from one call to the next."""
 
-    def __init__(self, compute: Callable[[list[str]], Iterable], size: Callable, limit: int = 48 << 20):
+    def __init__(self, compute: Callable[[list[str]], Iterable], size: Callable, limit: int = 96 << 20):
         super().__init__()
         self.compute, self.size, self.limit, self.used = compute, size, limit, 0
         self.passing: list[str] = []
+        self.before: dict = {}
 
     def fill(self, units: Iterable[str]) -> None:
         for u in self.passing:
             del self[u]
         self.passing = []
-        if self.used > self.limit:
+        if self.used > self.limit // 2:
+            self.before = dict(self)
             self.clear()
             self.used = 0
-        new = [u for u in set(units) if u not in self]
+        new = []
+        for u in set(units).difference(self):
+            if u in self.before:
+                self._keep(u, self.before[u])
+            else:
+                new.append(u)
         for at in range(0, len(new), BATCH):
             part = new[at:at + BATCH]
             for u, got in zip(part, self.compute(part), strict=True):
-                self[u] = got
-                if len(u) > LONG_UNIT:
-                    self.passing.append(u)
-                else:
-                    self.used += ENTRY_BYTES + len(u) + self.size(got)
+                self._keep(u, got)
+
+    def _keep(self, u: str, got) -> None:
+        self[u] = got
+        if len(u) > LONG_UNIT:
+            self.passing.append(u)
+        else:
+            self.used += ENTRY_BYTES + len(u) + self.size(got)
 
 
 def byte_alphabet() -> dict[str, int]:
