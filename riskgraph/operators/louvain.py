@@ -45,18 +45,51 @@ def symmetric_entries(undirected: DataFrame | None = None, directed: DataFrame |
     return e.groupBy("src", "dst").agg(F.sum("w").alias("w"))
 
 
-def modularity(edges: DataFrame, assign: DataFrame) -> float:
-    """Q of a partition ``assign(node, community)`` (one scalar)."""
+def modularity_table(edges: DataFrame, assign: DataFrame) -> DataFrame:
+    """One row: ``(weight, communities, modularity)`` of a partition
+    ``assign(node, community)``; weight is the sum of all entries (2m), and only
+    communities with an edge count. Q is 0 without edges."""
     a = assign.select(F.col("node").alias("src"), F.col("community").alias("cs"))
     b = assign.select(F.col("node").alias("dst"), F.col("community").alias("cd"))
     e = edges.join(a, "src").join(b, "dst")
     per = e.groupBy("cs").agg(F.sum(F.when(F.col("cs") == F.col("cd"), F.col("w")).otherwise(0.0)).alias("inside"),
                               F.sum("w").alias("tot"))
-    r = per.agg(F.sum("inside").alias("i"), F.sum(F.col("tot") * F.col("tot")).alias("t2"),
-                F.sum("tot").alias("m2")).first()
-    if not r["m2"]:
-        return 0.0
-    return r["i"] / r["m2"] - r["t2"] / (r["m2"] * r["m2"])
+    all_ = per.agg(F.coalesce(F.sum("inside"), F.lit(0.0)).alias("i"), F.count(F.lit(1)).alias("communities"),
+                   F.coalesce(F.sum(F.col("tot") * F.col("tot")), F.lit(0.0)).alias("t2"),
+                   F.coalesce(F.sum("tot"), F.lit(0.0)).alias("weight"))
+    q = F.try_divide("i", "weight") - F.try_divide("t2", F.col("weight") * F.col("weight"))
+    return all_.select("weight", "communities", F.coalesce(q, F.lit(0.0)).alias("modularity"))
+
+
+def modularity(edges: DataFrame, assign: DataFrame) -> float:
+    """Q of a partition ``assign(node, community)`` (one scalar)."""
+    return modularity_table(edges, assign).first()["modularity"]
+
+
+def best_moves(kin: DataFrame, comm: DataFrame, tot: DataFrame, m: float) -> DataFrame:
+    """``(node, b, kin_own)``: each node's best other community ``b`` = (-score,
+    community), ties to the smaller, and its weight into its own. ``kin``: ``(node,
+    cv, kin)``, weight from a node to a community; ``comm``: ``(node, k, c)``; ``tot``:
+    ``(c, tot)``. The score is the part of the gain that depends on the target."""
+    rows = (kin.join(comm, "node")
+            .join(tot.select(F.col("c").alias("cv"), F.col("tot").alias("tot_d")), "cv"))
+    score = F.col("kin") / F.lit(m) - F.col("k") * F.col("tot_d") / F.lit(2.0 * m * m)
+    return rows.groupBy("node").agg(
+        F.min(F.when(F.col("cv") != F.col("c"),
+                     F.struct((-F.round(score, 15)).alias("ns"), F.col("cv").alias("cv")))).alias("b"),
+        F.sum(F.when(F.col("cv") == F.col("c"), F.col("kin")).otherwise(0.0)).alias("kin_own"))
+
+
+def first_moves(edges: DataFrame) -> DataFrame:
+    """``(node, target, score)``: where each node with neighbours would go first,
+    from a partition in which every node is alone."""
+    edges, obs = cut_lineage_observed(edges, s=F.sum("w"))
+    comm = cut_lineage(edges.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k"))
+                       .select("node", "k", F.col("node").alias("c")))
+    kin = edges.where(F.col("src") != F.col("dst")).select(F.col("src").alias("node"), F.col("dst").alias("cv"),
+                                                           F.col("w").alias("kin"))
+    best = best_moves(kin, comm, comm.select("c", F.col("k").alias("tot")), (obs["s"] or 0.0) / 2.0)
+    return best.select("node", F.col("b.cv").alias("target"), (-F.col("b.ns")).alias("score"))
 
 
 def _one_level(edges: DataFrame, two_m: float, level: int, max_iter: int,
@@ -91,13 +124,7 @@ def _one_level(edges: DataFrame, two_m: float, level: int, max_iter: int,
         tot = comm.groupBy("c").agg(F.sum("k").alias("tot"))
         kin = (join_state(links, comm.select(F.col("node").alias("dst"), F.col("c").alias("cv")))
                .groupBy(F.col("src").alias("node"), "cv").agg(F.sum("w").alias("kin")))
-        rows = (kin.join(comm, "node")
-                .join(tot.select(F.col("c").alias("cv"), F.col("tot").alias("tot_d")), "cv"))
-        score = F.col("kin") / F.lit(m) - F.col("k") * F.col("tot_d") / F.lit(2.0 * m * m)
-        best = rows.groupBy("node").agg(
-            F.min(F.when(F.col("cv") != F.col("c"),
-                         F.struct((-score).alias("ns"), F.col("cv").alias("cv")))).alias("b"),
-            F.sum(F.when(F.col("cv") == F.col("c"), F.col("kin")).otherwise(0.0)).alias("kin_own"))
+        best = best_moves(kin, comm, tot, m)
         cur = comm.join(best, "node", "left").join(tot, "c")
         gain = (-F.col("b.ns") - F.col("kin_own") / F.lit(m)
                 + F.col("k") * (F.col("tot") - F.col("k")) / F.lit(2.0 * m * m))
@@ -125,8 +152,10 @@ def louvain(nodes: DataFrame, edges: DataFrame, max_levels: int = 10, max_iter:
 
     ``edges``: symmetric entries ``(src, dst, w)`` (see ``symmetric_entries``).
     Stops when a level moves no node, when a level gains less than
-    ``tolerance`` modularity, or after ``max_levels``. Nodes without edges
-    stay in their own community.
+    ``tolerance`` modularity, or after ``max_levels``. Modularity is measured after
+    each level (moves made at once may get in each other's way); a level that
+    lowered it is taken back and is the last. Nodes without edges stay in their
+    own community.
     """
     edges, obs = cut_lineage_observed(edges.groupBy("src", "dst").agg(F.sum("w").alias("w")),
                                       s=F.sum("w"))
@@ -134,11 +163,16 @@ def louvain(nodes: DataFrame, edges: DataFrame, max_levels: int = 10, max_iter:
     assign = nodes.select("node", F.col("node").alias("community"))
     if two_m == 0:
         return cut_lineage(assign)
+    alone = edges.select(F.col("src").alias("node")).distinct()
+    q = modularity(edges, alone.select("node", F.col("node").alias("community")))
     for level in range(max_levels):
-        comm, moves, gained = _one_level(edges, two_m, level, max_iter, tolerance,
+        comm, moves, _ = _one_level(edges, two_m, level, max_iter, tolerance,
                                          (max_hot_keys, min_hot_degree))
         if moves == 0:
             break
+        before, q = q, modularity(edges, comm)
+        if q < before:
+            break
         nc = comm.select(F.col("node").alias("community"), F.col("community").alias("nc"))
         assign = cut_lineage(assign.join(nc, "community", "left")
                              .select("node", F.coalesce(F.col("nc"), F.col("community")).alias("community")))
@@ -146,6 +180,6 @@ def louvain(nodes: DataFrame, edges: DataFrame, max_levels: int = 10, max_iter:
         cd = comm.select(F.col("node").alias("dst"), F.col("community").alias("cd"))
         edges = cut_lineage(edges.join(cs, "src").join(cd, "dst")
                             .groupBy(F.col("cs").alias("src"), F.col("cd").alias("dst")).agg(F.sum("w").alias("w")))
-        if gained < tolerance:
+        if q - before < tolerance:
             break
     return assign

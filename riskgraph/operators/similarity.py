@@ -31,7 +31,7 @@ from riskgraph.session import cut_lineage
 
 
 SMALL = 64              # holders of an item that are paired up at once
-BLOCK = 32              # holders that are read together from a longer list
+BLOCK = 64              # holders that are read together from a longer list
 
 
 def _round9(c) -> Column:

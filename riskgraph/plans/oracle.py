@@ -176,6 +176,33 @@ SELECT ur.guid, ur.fraudMoneyTransfer, ur.wccId, ur.fraudRisk,
   ud.cardDegree, ud.deviceDegree, ud.ipDegree, cf.communitySize, cf.partOfCommunity
 FROM ur JOIN sid_deg sd ON sd.guid = ur.guid JOIN p2p_deg pd ON pd.guid = ur.guid
 JOIN uid_deg ud ON ud.guid = ur.guid JOIN cfeat cf ON cf.guid = ur.guid""")
+_cte("ln", ["g_user", "g_card", "g_device", "g_ip"], """
+SELECT label, guid, row_number() OVER (ORDER BY label, guid) - 1 AS id FROM (
+  SELECT 'User' AS label, CAST(guid AS VARCHAR) AS guid FROM g_user UNION ALL SELECT 'Card', guid FROM g_card
+  UNION ALL SELECT 'Device', guid FROM g_device UNION ALL SELECT 'IP', guid FROM g_ip) t""")
+_cte("le", ["ln", "g_id", "g_p2p"], """
+SELECT src, dst, sum(w) AS w FROM (
+  SELECT u.id AS src, i.id AS dst, 1.0::DOUBLE AS w FROM g_id e
+  JOIN ln u ON u.label = 'User' AND u.guid = CAST(e.start_guid AS VARCHAR)
+  JOIN ln i ON i.label = e.end_label AND i.guid = e.end_guid WHERE e.rel IN ('HAS_CC', 'USED')
+  UNION ALL
+  SELECT i.id, u.id, 1.0 FROM g_id e
+  JOIN ln u ON u.label = 'User' AND u.guid = CAST(e.start_guid AS VARCHAR)
+  JOIN ln i ON i.label = e.end_label AND i.guid = e.end_guid WHERE e.rel IN ('HAS_CC', 'USED')
+  UNION ALL
+  SELECT a.id, b.id, CASE WHEN a.id = b.id THEN 1.0 ELSE 0.5 END FROM (SELECT DISTINCT start_guid, end_guid FROM g_p2p) p
+  JOIN ln a ON a.label = 'User' AND a.guid = CAST(p.start_guid AS VARCHAR)
+  JOIN ln b ON b.label = 'User' AND b.guid = CAST(p.end_guid AS VARCHAR)
+  UNION ALL
+  SELECT b.id, a.id, 0.5 FROM (SELECT DISTINCT start_guid, end_guid FROM g_p2p) p
+  JOIN ln a ON a.label = 'User' AND a.guid = CAST(p.start_guid AS VARCHAR)
+  JOIN ln b ON b.label = 'User' AND b.guid = CAST(p.end_guid AS VARCHAR) WHERE a.id <> b.id) t
+GROUP BY src, dst""")
+_cte("lc", ["ln", "g_id"], """
+SELECT id AS node, CAST(floor(CAST(guid AS BIGINT) / 15) AS BIGINT) AS c FROM ln WHERE label = 'User'
+UNION ALL
+SELECT n.id, CAST(floor(min(e.start_guid) / 15) AS BIGINT) FROM ln n
+JOIN g_id e ON e.end_label = n.label AND e.end_guid = n.guid WHERE n.label IN ('Card', 'Device') GROUP BY n.id""")
 _cte("nb_raw", [], """
 SELECT o_custkey + (o_orderkey % 2) * 1000000 AS guid,
        CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS fraudMoneyTransfer,
@@ -296,13 +323,29 @@ SELECT kind, tableName, count(*) AS rowCount FROM (
   UNION ALL SELECT 'edge', 'p2p' FROM g_p2p
   UNION ALL SELECT 'edge', 'referred' FROM g_referred) t
 GROUP BY ROLLUP (kind, tableName)"""),
+    "loaded_graph_counts": _q(["g_card", "g_device", "g_ip", "g_user", "g_has_cc", "g_used", "g_has_ip", "g_p2p", "g_referred"], """
+SELECT 'node' AS kind, 'Card' AS name, count(*) AS count FROM g_card
+UNION ALL SELECT 'node', 'Device', count(*) FROM g_device
+UNION ALL SELECT 'node', 'IP', count(*) FROM g_ip
+UNION ALL SELECT 'node', 'User', count(*) FROM g_user
+UNION ALL SELECT 'edge', 'HAS_CC', count(*) FROM g_has_cc
+UNION ALL SELECT 'edge', 'USED', count(*) FROM g_used
+UNION ALL SELECT 'edge', 'HAS_IP', count(*) FROM g_has_ip
+UNION ALL SELECT 'edge', 'P2P', count(*) FROM g_p2p
+UNION ALL SELECT 'edge', 'REFERRED', count(*) FROM g_referred"""),
     "node_merge_last_wins": _q(["nb"], "SELECT * FROM nb"),
     "node_upsert": _q(["g_user", "nb"], """
 SELECT coalesce(e.guid, i.guid) AS guid,
        CASE WHEN i.guid IS NOT NULL THEN i.fraudMoneyTransfer ELSE e.fraudMoneyTransfer END AS fraudMoneyTransfer,
        CASE WHEN i.guid IS NOT NULL THEN i.moneyTransferErrorCancelAmount
-            ELSE e.moneyTransferErrorCancelAmount END AS moneyTransferErrorCancelAmount
+            ELSE e.moneyTransferErrorCancelAmount END AS moneyTransferErrorCancelAmount,
+       i.lastOrderDate
 FROM g_user e FULL OUTER JOIN nb i ON e.guid = i.guid"""),
+    "node_merge_epochs": _q(["nb_raw", "nb"], """
+SELECT nb.guid, nb.fraudMoneyTransfer, nb.lastOrderDate, a.moneyTransferErrorCancelAmount
+FROM nb LEFT JOIN (SELECT guid, moneyTransferErrorCancelAmount FROM nb_raw WHERE seq % 3 <> 1
+                   QUALIFY row_number() OVER (PARTITION BY guid ORDER BY lastOrderDate DESC, seq DESC) = 1) a
+  ON a.guid = nb.guid"""),
     "node_key_violations": _q(["g_user", "nb_raw"], """
 SELECT guid, count(*) AS cnt FROM (SELECT guid FROM g_user UNION ALL SELECT guid FROM nb_raw) t
 GROUP BY guid HAVING count(*) > 1"""),
@@ -440,13 +483,14 @@ SELECT start_guid, end_guid, end_label, round(w, 6) AS inverseDegreeWeight FROM
     "node_similarity": _q(["sim"], "SELECT node1, node2, round(similarity, 6) AS similarity FROM sim"),
     "similarity_distribution": _q(["sim"], _dist("SELECT similarity AS x FROM sim", "relationshipsWritten", 6)),
     "similar_to_communities": _q(["ur", "sim"], """
-SELECT s.node2 AS userId, round(sum(s.similarity), 6) AS totalScore,
-       array_to_string(list_sort(list(DISTINCT CAST(f.wccId AS VARCHAR))), ',') AS closeToCommunityIds
-FROM sim s
-JOIN (SELECT guid, wccId FROM ur WHERE fraudRisk = 1 AND wccId IN (
-        SELECT wccId FROM ur WHERE fraudRisk = 1 GROUP BY wccId HAVING count(*) > 2)) f ON f.guid = s.node1
-JOIN ur n ON n.guid = s.node2 AND n.fraudRisk = 0
-GROUP BY s.node2 ORDER BY totalScore DESC, userId"""),
+SELECT userId, communityId, round(score, 6) AS score, round(sum(score) OVER (PARTITION BY userId), 6) AS totalScore,
+       count(*) OVER (PARTITION BY userId) AS numberOfCommunities
+FROM (SELECT s.node2 AS userId, f.wccId AS communityId, sum(s.similarity) AS score
+      FROM sim s
+      JOIN (SELECT guid, wccId FROM ur WHERE fraudRisk = 1 AND wccId IN (
+              SELECT wccId FROM ur WHERE fraudRisk = 1 GROUP BY wccId HAVING count(*) > 2)) f ON f.guid = s.node1
+      JOIN ur n ON n.guid = s.node2 AND n.fraudRisk = 0
+      GROUP BY s.node2, f.wccId) t"""),
     "pagerank_p2p_sent": _pr("pagerank_p2p_sent"),
     "pagerank_p2p_received": _pr("pagerank_p2p_received"),
     "pagerank_shared_card": _pr("pagerank_shared_card"),
@@ -489,6 +533,19 @@ SELECT feature, round(abs(avg(base - acc)), 6) AS importance FROM (
        (VALUES ('sharedIdsDegree'), ('communitySize'), ('cardDegree'), ('deviceDegree'), ('ipDegree')) f(feature)
   GROUP BY feature, r) t
 GROUP BY feature"""),
+    "louvain_modularity": _q(["le", "lc"], """
+SELECT round(sum(tot), 6) AS weight, count(*) AS communities,
+       round(sum(inside) / sum(tot) - sum(tot * tot) / (sum(tot) * sum(tot)) + 1e-12, 6) AS modularity
+FROM (SELECT a.c, sum(CASE WHEN a.c = b.c THEN w ELSE 0 END) AS inside, sum(w) AS tot
+      FROM le JOIN lc a ON a.node = le.src JOIN lc b ON b.node = le.dst GROUP BY a.c) per"""),
+    "louvain_first_moves": _q(["le", "ln"], """
+SELECT n.label, n.guid, t.label AS targetLabel, t.guid AS targetGuid FROM (
+  SELECT le.src, le.dst, row_number() OVER (PARTITION BY le.src ORDER BY
+           round(le.w / (m.w / 2) - a.k * b.k / (2 * (m.w / 2) * (m.w / 2)), 15) DESC, le.dst) AS rn
+  FROM le JOIN (SELECT src, sum(w) AS k FROM le GROUP BY src) a ON a.src = le.src
+  JOIN (SELECT src, sum(w) AS k FROM le GROUP BY src) b ON b.src = le.dst, (SELECT sum(w) AS w FROM le) m
+  WHERE le.src <> le.dst) x
+JOIN ln n ON n.id = x.src JOIN ln t ON t.id = x.dst WHERE rn = 1"""),
     "ml_training_set": _q(["feat"], "SELECT guid, " + ", ".join(_fcol(c) for c in _FEATURES_10)
                           + ", fraudRisk - fraudMoneyTransfer AS label FROM feat"),
 }

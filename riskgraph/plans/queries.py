@@ -5,6 +5,7 @@ work grows with them. Column names equal the oracle SQL's."""
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -12,10 +13,14 @@ from pyspark.sql import functions as F
 
 from riskgraph.functions.exprs import r6
 from riskgraph.operators import degree as deg
+from riskgraph.operators import louvain as louvain_op
 from riskgraph.operators.graph import NATURAL, REVERSE, UNDIRECTED, orient, project, projection_counts
 from riskgraph.plans import metrics, model, reports
 from riskgraph.plans.pipeline import pipeline_for
+from riskgraph.session import scratch_dir
 from riskgraph.sources import files, sinks
+from riskgraph.sources.loader import load_graph
+from riskgraph.sources.mergestore import MergeStore
 from riskgraph.sources.overlay import _read, overlay_p2p, overlay_tables
 
 
@@ -46,12 +51,39 @@ _KINDS = {"cards": "node", "device": "node", "ip": "node", "user": "node",
           "has_cc": "edge", "used": "edge", "has_ip": "edge", "p2p": "edge", "referred": "edge"}
 
 
+_WRITTEN: dict = {}
+
+
+def _written(spark, sf) -> str:
+    """The folder with the nine tables as files, written once a session."""
+    key = (spark, sf.rstrip("/"))
+    if key not in _WRITTEN:
+        folder = scratch_dir(spark, f"loaded/{uuid.uuid4().hex}")
+        for name, df in overlay_tables(spark, sf, _p(spark, sf).g).items():
+            files.write_table(df, folder, name)
+        _WRITTEN[key] = folder
+    return _WRITTEN[key]
+
+
+def _tables(spark, sf) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(f"{_written(spark, sf)}/{name}.parquet") for name in _KINDS}
+
+
 def row_counts(spark, sf):
-    return files.row_counts(overlay_tables(spark, sf))
+    return files.row_counts(_tables(spark, sf))
 
 
 def load_totals(spark, sf):
-    return files.load_totals(overlay_tables(spark, sf), _KINDS)
+    return files.load_totals(_tables(spark, sf), _KINDS)
+
+
+def loaded_graph_counts(spark, sf):
+    """Nodes per label and edges per type of the graph that the loader builds
+    from the files: discovered, nodes first, edges matched to both ends."""
+    g = load_graph(spark, _written(spark, sf), check_keys=True)
+    parts = [df.select(F.lit(kind).alias("kind"), F.lit(name).alias("name"))
+             for kind, all_ in (("node", g.nodes), ("edge", g.edges)) for name, df in all_.items()]
+    return reduce(DataFrame.unionByName, parts).groupBy("kind", "name").agg(F.count(F.lit(1)).alias("count"))
 
 
 def _user_batch(spark, sf) -> DataFrame:
@@ -75,7 +107,21 @@ def node_merge_last_wins(spark, sf):
 
 def node_upsert(spark, sf):
     users = _p(spark, sf).users
-    return sinks.merge_nodes(users, _user_batch(spark, sf), ["lastOrderDate", "_seq"])
+    return sinks.merge_nodes(users, _user_batch(spark, sf), ["lastOrderDate", "_seq"], helpers=("_seq",))
+
+
+def node_merge_epochs(spark, sf):
+    """The user batch in three epochs, merged by the store: keys, last values."""
+    store = MergeStore(spark, scratch_dir(spark, f"store/{uuid.uuid4().hex}"), ["guid"], ["lastOrderDate", "_seq"],
+                       buckets=8)
+    batch = _user_batch(spark, sf)
+    for epoch in range(3):
+        part = batch.where(F.col("_seq") % 3 == epoch)
+        # the second batch knows nothing of the error amount
+        store.write(part.drop("moneyTransferErrorCancelAmount") if epoch == 1 else part, epoch)
+        if epoch == 1:
+            store.compact()
+    return store.read().drop("_seq")
 
 
 def node_key_violations(spark, sf):
@@ -96,7 +142,7 @@ def edge_merge_last_wins(spark, sf):
 
 
 def edge_label_pairs(spark, sf):
-    t = overlay_tables(spark, sf)
+    t = _tables(spark, sf)
     parts = [sinks.endpoint_labels(t[name]).select(F.lit(name).alias("tableName"), "start_label", "end_label")
              for name in ("has_cc", "used", "has_ip", "p2p", "referred")]
     return reduce(DataFrame.unionByName, parts)
@@ -414,6 +460,28 @@ def louvain(spark, sf):
     return _p(spark, sf).louvain_users()
 
 
+def louvain_modularity(spark, sf):
+    """Modularity of a given partition of the Louvain graph: households of 15
+    users, identifiers with their smallest user."""
+    p = _p(spark, sf)
+    _, edges = p.louvain_graph()
+    fifteen = lambda c: F.floor(F.col(c).cast("bigint") / 15).cast("bigint").alias("community")
+    users = p.node_ids.where(F.col("label") == "User").select(F.col("id").alias("node"), fifteen("guid"))
+    ids = (p.typed_id_edges.where(F.col("rel").isin("HAS_CC", "USED")).groupBy(F.col("end_id").alias("node"))
+           .agg(F.min("start_guid").alias("first")).select("node", fifteen("first")))
+    q = louvain_op.modularity_table(edges, users.unionByName(ids))
+    return q.select(r6("weight").alias("weight"), "communities", r6(F.col("modularity") + F.lit(1e-12)).alias("modularity"))
+
+
+def louvain_first_moves(spark, sf):
+    """The best first move of every node, from singletons."""
+    p = _p(spark, sf)
+    names = p.node_ids
+    moves = louvain_op.first_moves(p.louvain_graph()[1]).select(F.col("node").alias("id"), "target")
+    target = names.select(F.col("id").alias("target"), F.col("label").alias("targetLabel"), F.col("guid").alias("targetGuid"))
+    return moves.join(names, "id").join(target, "target").select("label", "guid", "targetLabel", "targetGuid")
+
+
 def louvain_report(spark, sf):
     p = _p(spark, sf)
     users = p.users.join(louvain(spark, sf), "guid")
@@ -442,9 +510,11 @@ QUERIES = {
     "ratio_buckets_card_flagged": ratio_buckets_card_flagged,
     "row_counts": row_counts,
     "load_totals": load_totals,
+    "loaded_graph_counts": loaded_graph_counts,
     "node_upsert": node_upsert,
     "node_key_violations": node_key_violations,
     "node_merge_last_wins": node_merge_last_wins,
+    "node_merge_epochs": node_merge_epochs,
     "edge_match_append": edge_match_append,
     "edge_merge_last_wins": edge_merge_last_wins,
     "edge_label_pairs": edge_label_pairs,
@@ -505,6 +575,8 @@ QUERIES = {
     "rf_shortlist": rf_shortlist,
     "rf_write_back": rf_write_back,
     "louvain": louvain,
+    "louvain_modularity": louvain_modularity,
+    "louvain_first_moves": louvain_first_moves,
     "louvain_report": louvain_report,
     "louvain_subgraph": louvain_subgraph,
     "stream_identifier_degrees": stream_identifier_degrees,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskgraph.functions.exprs import r3, r6, ratio, ratio_bucket, size_bin, uid8
 from riskgraph.operators.joinback import join_back
+from riskgraph.session import cut_lineage
 from riskgraph.plans.pipeline import AVG_RISK_CUT, MIN_RISK_USERS, FraudPipeline
 
 PERCENTILES = [0.5, 0.75, 0.9, 0.95, 0.99]
@@ -156,20 +157,28 @@ def weighted_degree_top(p: FraudPipeline, top: int = 10, key: str = "uid8") -> D
                     r6("averageFraudIdRisk").alias("averageFraudIdRisk")))
 
 
-def similar_to_communities(p: FraudPipeline) -> DataFrame:
+def similar_to_communities(p: FraudPipeline, listed: bool = False) -> DataFrame:
     """Non-risk users similar to members of risk communities with more than
-    two risk users: summed score and the sorted list of those communities."""
+    two risk users: a row for each user and community, with the score that comes
+    from it, the user's total score and number of communities. ``listed`` gives
+    the report's form instead, a row a user with the sorted list of communities
+    as one string (which grows with the user's communities)."""
     risk = p.users_risk.where(F.col("fraudRisk") == 1).select("guid", "wccId")
-    big = risk.groupBy("wccId").agg(F.count(F.lit(1)).alias("numberOfUsers")) \
-        .where(F.col("numberOfUsers") > MIN_RISK_USERS)
-    f = risk.join(big, "wccId", "left_semi").select(F.col("guid").alias("node1"), F.col("wccId"))
+    f = (join_back(risk, ["wccId"], keep=F.col("numberOfUsers") > MIN_RISK_USERS, numberOfUsers=F.count(F.lit(1)))
+         .select(F.col("guid").alias("node1"), "wccId"))
     non_risk = p.users_risk.where(F.col("fraudRisk") == 0).select(F.col("guid").alias("node2"))
     s = p.similarity.join(f, "node1").join(non_risk, "node2", "left_semi")
-    return (s.groupBy(F.col("node2").alias("userId"))
-            .agg(r6(F.sum("similarity")).alias("totalScore"),
-                 F.array_join(F.sort_array(F.collect_set(F.col("wccId").cast("string"))), ",")
-                 .alias("closeToCommunityIds"))
-            .orderBy(F.col("totalScore").desc(), F.col("userId")))
+    per = cut_lineage(s.groupBy(F.col("node2").alias("userId"), F.col("wccId").alias("communityId"))
+                      .agg(F.sum("similarity").alias("score")))
+    if listed:
+        return (per.groupBy("userId").agg(
+            r6(F.sum("score")).alias("totalScore"),
+            F.array_join(F.sort_array(F.collect_list(F.col("communityId").cast("string"))), ",")
+            .alias("closeToCommunityIds")).orderBy(F.col("totalScore").desc(), F.col("userId")))
+    return (join_back(per, ["userId"], totalScore=F.sum("score"), numberOfCommunities=F.count(F.lit(1)))
+            .select("userId", "communityId", r6("score").alias("score"), r6("totalScore").alias("totalScore"),
+                    "numberOfCommunities")
+            .orderBy(F.col("totalScore").desc(), F.col("userId"), F.col("communityId")))
 
 
 def community_size_hist(p: FraudPipeline, bins_per_decade: int = 10, max_size: int = 1000) -> DataFrame:

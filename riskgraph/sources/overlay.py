@@ -159,9 +159,10 @@ def overlay_graph(spark: SparkSession, sf_dir: str, parallel_edges: str = "keep"
                  meta={"sf_dir": sf_dir, "parallel_edges": parallel_edges})
 
 
-def overlay_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The nine source tables of the overlay in file form (with labels)."""
-    g = overlay_graph(spark, sf_dir)
+def overlay_tables(spark: SparkSession, sf_dir: str, g: Graph | None = None) -> dict[str, DataFrame]:
+    """The nine source tables of the overlay in file form (with labels), of the
+    graph ``g`` where it is built already."""
+    g = g or overlay_graph(spark, sf_dir)
     out = {
         "cards": g.nodes["Card"], "device": g.nodes["Device"], "ip": g.nodes["IP"], "user": g.users,
     }

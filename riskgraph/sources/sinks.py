@@ -50,10 +50,12 @@ def last_row_per_key(df: DataFrame, key, order_cols: list[str]) -> DataFrame:
     return picked.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest])
 
 
-def merge_nodes(existing: DataFrame, incoming: DataFrame, order_cols: list[str], key: str = "guid") -> DataFrame:
+def merge_nodes(existing: DataFrame, incoming: DataFrame, order_cols: list[str], key: str = "guid",
+                helpers: tuple[str, ...] = ()) -> DataFrame:
     """Node MERGE of a batch: per key the last incoming row wins (a null
-    removes the property), then create-or-update into ``existing``."""
-    last = last_row_per_key(incoming, key, order_cols).drop(*order_cols)
+    removes the property), then create-or-update into ``existing``. Order columns
+    are properties like any other; ``helpers`` are left out."""
+    last = last_row_per_key(incoming, key, order_cols).drop(*helpers)
     return upsert_nodes(existing, last, key)
 
 

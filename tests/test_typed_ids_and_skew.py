@@ -81,6 +81,20 @@ def test_rules_and_labels_with_hot_keys_equal_the_plain_ones(spark, no_merging):
     assert largest_task(out) < 800
 
 
+def test_components_with_a_hub_of_a_third_of_the_edges(spark, no_merging):
+    from riskgraph.operators import components
+    hub = spark.range(1, 9_001).select(F.lit(0).cast("long").alias("src"), F.col("id").alias("dst"))
+    rest = spark.range(9_001, 27_000).select(F.col("id").alias("src"), (F.col("id") - F.col("id") % 7).alias("dst"))
+    edges = cut_lineage(hub.unionByName(rest))
+    want = {r["node"]: r["comp"] for r in components.component_map(edges).collect()}
+    got = {r["node"]: r["comp"] for r in components.component_map(edges, max_heavy=50, min_heavy_rows=500).collect()}
+    assert got == want and sum(c == 0 for c in got.values()) > 9_000
+    both = components._both(cut_lineage(components._canonical(edges.toDF("u", "v"))))
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("__n"))
+    assert largest_task(components._joined_min(both, least, None)) > 9_000
+    assert largest_task(components._joined_min(both, least, (50, 500))) < 5_500
+
+
 def test_dense_ids_are_the_ranks_under_any_partitioning(spark):
     keys = [(a, f"{b:03d}") for a in ("Card", "Device") for b in range(0, 300, 3)]
     for parts in (1, 3, 9):
