@@ -34,12 +34,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskgraph.llm.common import cut_lineage, strings
-from riskgraph.llm.units import LONG_UNIT, Kept, byte_alphabet, byte_level, split_units
+from riskgraph.llm.units import LONG_UNIT, OTHER, PATTERN, Kept, byte_alphabet, byte_level, split_units
 
 LONG = 65_536           # bytes of a text that is encoded in one place
 LEAF = 16_384
@@ -47,10 +46,6 @@ FAN = 8                 # neighbours that one task joins in a round
 WINDOW = 8              # tokens on either side of a join, to begin with
 SLICE = 200             # texts that are Python strings at a time
 PIECES = 200_000        # pieces of at most LONG_UNIT characters that are remembered, some 60 MB
-#: Fixed value: the pattern of the byte-level tokenizer.
-PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Characters of which classes differ between versions of Unicode, or might.
-OTHER = re.compile("[^\t\n\r -~\xa1-\xac\xae-\u017f]")
 PROBES = ("a b", " a  b\n\n c", "x, y. z'll 12 3a don't we've", "Dieüauß Èonai, öäte. ÀÉ-ñ it's <b>&amp;</b> (9.5%) Łódź \\o/ A1b2",
           " ¡¿½²³¼ª·µ º«»¬±°§¶", "\t\tx \r\n\r\n  y", "naïve' 'tis O'Neill'd IJĲĳŉſ", "tab\there __init__ a'b")
 
