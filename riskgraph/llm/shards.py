@@ -45,6 +45,7 @@ class TopK:
         self.low = np.zeros((len(own), k))
         self.id = np.full((len(own), k), np.iinfo(np.int64).max)
         self.floor = np.full(len(own), -np.inf) if floor is None else floor
+        self.cap = np.inf           # scores beyond it, to either side, are equal
 
     def kth(self, q: np.ndarray) -> np.ndarray:
         """What a candidate must reach at least: the kth score so far, or the
@@ -60,11 +61,11 @@ class TopK:
             part = q[a:a + step]
             rough, off = queries[part] @ rows.T, slack(part)
             own = ids[None, :] == self.own[part][:, None]
-            least = np.where(own, -np.inf, rough - off)
+            least = np.where(own, -np.inf, np.clip(rough - off, -self.cap, self.cap))
             bound = self.kth(part)
             if rows.shape[0] > self.k:
                 bound = np.maximum(bound, np.partition(least, -self.k, axis=1)[:, -self.k])
-            r, c = np.nonzero((rough + off >= bound[:, None]) & ~own)
+            r, c = np.nonzero((np.maximum(rough + off, -self.cap) >= bound[:, None]) & ~own)
             if not len(r):
                 continue
             hit = np.unique(r)

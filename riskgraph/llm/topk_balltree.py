@@ -71,10 +71,10 @@ class BallTree:
                 top)
 
     def search(self, queries: np.ndarray, ids: np.ndarray, best: TopK) -> None:
-        norm = norms(queries)
+        norm, best.cap = norms(queries), float(LONG)
 
         def bound(node, q: np.ndarray) -> np.ndarray:
-            return queries[q] @ node[0] + norm[q] * (node[1] + OFF * node[5]) + OFF
+            return np.maximum(queries[q] @ node[0] + norm[q] * (node[1] + OFF * node[5]) + OFF, -best.cap)
 
         def visit(node, q: np.ndarray) -> None:
             if not len(q):
