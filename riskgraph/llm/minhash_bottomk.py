@@ -17,7 +17,8 @@ similarity is at least ``percent`` / 100, counted on the full sets.
    the ``SHARED - 1`` most frequent of them, for two sets with that many common
    keys must share a rarer one. So very common words and passages make no lists.
 3. Candidates grow with a list's length, not its square: a list pairs its
-   members with one hub, and a member meets the hubs of its longest lists. Pairs whose overlap on the union's sketch is far below
+   members with one hub, and a member meets the hubs of its longest lists and of all
+   its lists of two. Pairs whose overlap on the union's sketch is far below
    the threshold (``MARGIN`` standard deviations) are dropped, the others are
    verified on the full sets, which are taken from the texts again for the
    nodes in question alone.
@@ -57,7 +58,7 @@ K = 48
 SHARED = 9
 SHORT = 50
 MARGIN = 6.0
-HUBS = 8                # hubs that a node is paired with
+HUBS = 8                # hubs of lists of three or more that a node is paired with at first
 BLOCK, BLOCK_GRAMS = 256, 65_536        # members and shingles of a block of full sets, about
 FILTER_BITS = 22        # of the fixed-size filter by which texts are taken again
 
@@ -228,14 +229,15 @@ def _largest(members: DataFrame) -> DataFrame:
 
 def _star(members: DataFrame) -> DataFrame:
     """Members paired with hubs, the members of smallest hash of their lists:
-    each with the hubs of its ``HUBS`` longest lists. (What that leaves apart is
+    each with the hubs of its ``HUBS`` longest lists and of all its lists of two, for
+    these are done with that. (What that leaves apart in longer lists is
     found by ``_crossing`` and ``_links_by_rare_shingles``, which lose nothing.)"""
     hubs = cut_lineage(members.groupBy("key").agg(F.min(F.struct("sig", "n")).alias("h"), F.count(F.lit(1)).alias("c"))
                        .select("key", F.col("h.sig").alias("hub"), F.col("h.n").alias("hn"), "c"))
     met = (members.join(hubs, "key").where(F.col("sig") != F.col("hub"))
            .groupBy("sig", "n", "hub", "hn").agg(F.max("c").alias("c")))
     longest = Window.partitionBy("sig").orderBy(F.desc("c"), "hub")             # a sketch's keys at most
-    return (met.withColumn("at", F.row_number().over(longest)).where(F.col("at") <= HUBS)
+    return (met.withColumn("at", F.row_number().over(longest)).where((F.col("at") <= HUBS) | (F.col("c") == 2))
             .select(*_ordered("sig", "hub"), F.col("n").alias("na"), F.col("hn").alias("nb")))
 
 
