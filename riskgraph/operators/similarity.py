@@ -3,8 +3,13 @@ neighbours) with a similarity cutoff and top-k per node.
 
 Exact, without emitting all pairs of a hub's neighbours:
 
-1. Items with at most ``SMALL`` holders pair up their holders: linear in the
-   number of memberships. Whoever is not met shares items with more holders
+1. Items with at most ``SMALL`` holders are compared in blocks of nodes: a block
+   holds the nodes of one neighbourhood (see ``dealt``) and gets the list of each
+   item that it holds once, however many of its nodes share it. The sums of minima
+   of a node with all its partners are added up in numpy, and only what can be among
+   its ``top_k`` leaves the block, so neither the pairs nor their items are shuffled.
+   A block reads at most ``BLOCK_COST`` list entries; a node that would read more on
+   its own is paired up by joins. Who is not met shares items with more holders
    ("large" ones) alone. These are light in an inverse-degree graph, and what a
    node holds of them, ``R``, bounds its score with any such node b:
    ``s / (W + W_b - s)`` with ``s = min(R, W_b)``, at most ``R / W``.
@@ -18,20 +23,25 @@ Exact, without emitting all pairs of a hub's neighbours:
    below the cutoff or its kth score (or equal to it, with no smaller id to come).
    What is read stays near what is kept, however many hold the item.
 
-Scores of the candidates are exact (expand the smaller side, probe the other).
+Scores of the candidates are exact (in a block, where a node holds no large item;
+else expand the smaller side, probe the other).
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskgraph.operators.ranges import numbered, running_sums
-from riskgraph.session import cut_lineage
+from riskgraph.session import cut_lineage, importable
 
 
-SMALL = 64              # holders of an item that are paired up at once
+SMALL = 1024            # holders of an item that are compared at once
 BLOCK = 64              # holders that are read together from a longer list
+BLOCK_COST = 8_000_000  # list entries that a block of nodes reads, at most
 
 
 def _round9(c) -> Column:
@@ -46,11 +56,100 @@ def _totals(members: DataFrame, sizes: DataFrame, small: int) -> DataFrame:
         F.round(F.sum("w"), 12).alias("tot"), F.round(F.sum(large), 12).alias("R"))
 
 
-def small_pairs(members: DataFrame, sizes: DataFrame, small: int = SMALL) -> DataFrame:
-    """Unordered pairs ``(a, b)``, ``a < b``, that share an item of at most ``small`` holders."""
-    few = members.join(sizes.where((F.col("size") > 1) & (F.col("size") <= small)), "item").select("node", "item")
-    return (few.withColumnRenamed("node", "a").join(few.withColumnRenamed("node", "b"), "item")
-            .where(F.col("a") < F.col("b")).select("a", "b").distinct())
+def dealt(held: DataFrame, totals: DataFrame, cost: int) -> tuple[DataFrame, DataFrame]:
+    """``held(node, item, w, size)`` -> ``(node, blk, n)``: nodes dealt to blocks that
+    read at most some ``cost`` list entries (the sizes of a node's items), and ``(node)``
+    of those that read more alone. Nodes that reach the same smallest item over one step
+    (node, item, node, item) come one after the other, so a block's nodes share lists."""
+    own = cut_lineage(held.groupBy("node").agg(F.sum("size").alias("cost"), F.min("item").alias("least")))
+    near = held.join(own.select("node", "least"), "node").groupBy("item").agg(F.min("least").alias("least"))
+    order = cut_lineage(held.join(near, "item").groupBy("node").agg(F.min("least").alias("least"))
+                        .join(own.select("node", "cost"), "node"))
+    run = running_sums(order.where(F.col("cost") <= cost), ["least", "node"], upto="cost")
+    return (cut_lineage(run.select("node", F.floor((F.col("upto") - 1) / cost).cast("long").alias("blk"))),
+            order.where(F.col("cost") > cost).select("node"))
+
+
+def _compared(cutoff: float, top_k: int):
+    """A block's nodes against all holders of their items: ``(a, b, similarity,
+    again)``. ``again``: both hold large items too, so the score is to be counted
+    anew; of the other partners a node names its ``top_k`` best."""
+    def run(key: tuple, mine: pa.Table, lists: pa.Table) -> pa.Table:
+        entries = lists.column("entries").combine_chunks()
+        ends = entries.offsets.to_numpy().astype(np.int64)
+        flat = entries.values
+        w, part_tot, part_rest = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("w", "tot", "R"))
+        coded = flat.field("node").dictionary_encode()
+        sort = pc.sort_indices(coded.dictionary).to_numpy()
+        ids, rank = coded.dictionary.take(pa.array(sort)), np.empty(len(sort), np.int64)
+        rank[sort] = np.arange(len(sort))
+        at, tot, rest = rank[coded.indices.to_numpy()], np.empty(len(sort)), np.empty(len(sort))
+        tot[at], rest[at] = part_tot, part_rest
+        slot = pc.index_in(mine.column("item"), lists.column("item").combine_chunks()).to_numpy()
+        node = pc.index_in(mine.column("node"), ids).to_numpy()
+        weight = mine.column("w").to_numpy()
+        order = np.argsort(node, kind="stable")
+        node, weight, slot = node[order], weight[order], slot[order]
+        starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]]) if len(node) else np.zeros(0, np.int64)
+        out = ([], [], [], [])
+        for lo, hi in zip(starts, np.r_[starts[1:], len(node)], strict=True):
+            me = node[lo]
+            spans = [(ends[s], ends[s + 1]) for s in slot[lo:hi]]
+            who = np.concatenate([at[x:y] for x, y in spans])
+            common = np.concatenate([np.minimum(w[x:y], m) for (x, y), m in zip(spans, weight[lo:hi], strict=True)])
+            if len(who) * 8 > len(ids):
+                met = np.bincount(who, common, len(ids))
+                b = np.flatnonzero(met)
+                inter = met[b]
+            else:
+                b, where = np.unique(who, return_inverse=True)
+                inter = np.bincount(where, common)
+            more = np.minimum(rest[me], rest[b])
+            score = inter / (tot[me] + tot[b] - inter)
+            bound = (inter + more) / np.maximum(tot[me] + tot[b] - inter - more, inter + more)
+            again = more > 0
+            keep = (b != me) & np.where(again, bound >= cutoff - 1e-9, score >= cutoff)
+            b, score, again = b[keep], score[keep], again[keep]
+            known = np.flatnonzero(~again)
+            if len(known) > top_k:
+                # ids are sorted: equal scores go to the smaller one
+                known = known[np.argsort(-np.round(score[known], 9), kind="stable")[:top_k]]
+            pick = np.r_[known, np.flatnonzero(again & (b > me))]
+            out[0].append(np.full(len(pick), me, np.int64))
+            out[1].append(b[pick])
+            out[2].append(score[pick])
+            out[3].append(again[pick])
+        a, b, score, again = (np.concatenate(c) if c else np.zeros(0, t) for c, t in zip(out, (np.int64, np.int64, float, bool), strict=True))
+        return pa.table([ids.take(pa.array(np.minimum(a, b))), ids.take(pa.array(np.maximum(a, b))), pa.array(score), pa.array(again)],
+                        ["a", "b", "similarity", "again"])
+    return run
+
+
+def paired(members: DataFrame, sizes: DataFrame, totals: DataFrame, cutoff: float, top_k: int, small: int = SMALL,
+           cost: int = BLOCK_COST) -> DataFrame:
+    """``(a, b, similarity)``, ``a < b``: of the pairs that share an item of at most
+    ``small`` holders and reach ``cutoff`` the ``top_k`` best of every node, and all of two
+    nodes that hold larger items too."""
+    importable(members.sparkSession)
+    held = cut_lineage(members.join(sizes.where((F.col("size") > 1) & (F.col("size") <= small)), "item")
+                       .select("node", "item", "w", "size"))
+    blocks, alone = dealt(held, totals, cost)
+    mine = cut_lineage(held.join(blocks, "node").select("blk", "node", "item", "w"))
+    lists = cut_lineage(held.join(totals, "node").groupBy("item").agg(
+        F.collect_list(F.struct("node", "w", "tot", "R")).alias("entries")))         # small ones at most
+    read = cut_lineage(mine.select("blk", "item").distinct().join(lists, "item"))
+    kind = members.schema["node"].dataType.simpleString()
+    found = cut_lineage(mine.groupBy("blk").cogroup(read.groupBy("blk")).applyInArrow(
+        _compared(cutoff, top_k), f"a {kind}, b {kind}, similarity double, again boolean"))
+    few = held.join(alone.withColumnRenamed("node", "a"), F.col("node") == F.col("a"), "left_semi").select(F.col("node").alias("a"), "item")
+    heavy = few.join(held.select(F.col("node").alias("b"), "item"), "item").where(F.col("a") != F.col("b"))
+    recount = cut_lineage(found.where("again").select("a", "b").unionByName(heavy.select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct())
+    exact = found.where("not again").select("a", "b", "similarity")
+    if not recount.take(1):
+        return exact.groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
+    anew = pair_scores(members, recount).where(F.col("similarity") >= cutoff)
+    return exact.unionByName(anew).groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
 
 
 def _best(scored: DataFrame, k: int) -> DataFrame:
@@ -108,11 +207,11 @@ def scored_pairs(members: DataFrame, cutoff: float, top_k: int, small: int = SMA
     them the ``top_k`` best of every node (ties to the smaller id).
     ``members``: written distinct ``(node, item, w)`` with finite w > 0."""
     sizes = cut_lineage(members.groupBy("item").agg(F.count(F.lit(1)).alias("size")))
-    scored = cut_lineage(pair_scores(members, small_pairs(members, sizes, small)).where(F.col("similarity") >= cutoff))
+    totals = cut_lineage(_totals(members, sizes, small))
+    scored = cut_lineage(paired(members, sizes, totals, cutoff, top_k, small))
     large = sizes.where(F.col("size") > small).select("item")
     if not large.take(1):
         return scored
-    totals = cut_lineage(_totals(members, sizes, small))
     lists = cut_lineage(members.join(large, "item", "left_semi").join(totals.select("node", "tot"), "node")
                         .select("item", "node", "tot"))
     best = cut_lineage(_best(scored, top_k))
