@@ -5,14 +5,15 @@ plus all that ever reaches it. A round is therefore a push: every node of the
 *frontier* (whatever it received in the last round, if that is more than
 ``tol``) sends ``d * received * share`` along its out-edges, and what arrives
 is added to the receivers' scores. A node that received no more than the
-tolerance sends nothing, a run (variant) without such nodes has no row left
-and costs nothing, and the job ends when no run has any. The shares of one
+tolerance sends nothing, a node without anything to send in any run (variant)
+has no row left, and the job ends when no run has any. The shares of one
 node never add up to more than 1, so whatever is not sent on is bounded by
 ``tol`` a node and round.
 
-Several runs over different edge sets are pushed together as one long
-``(variant, node, residual)`` table, so a round is one join and one partial
-aggregate for all of them.
+Several runs are pushed together: a node has one row with a residual for each
+run, a link one row with its share in each run (none: 0), so a round is one join
+and one partial aggregate for all of them, and edges that several runs have in
+common are read once.
 
 Semantics: non-normalised ``pr(v) = (1 - d) + d * sum(pr(u) * share(u->v))``;
 ``share`` is ``1/outdeg(u)`` or ``w/sum(w)`` over u's positive-weight edges;
@@ -23,15 +24,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskgraph.operators.joinback import join_back
 from riskgraph.operators.skew import HotSplit, join_state, split_hot
-from riskgraph.session import cut_lineage, cut_lineage_observed, shuffle_partitions
+from riskgraph.session import cut_lineage, cut_lineage_observed, fixed_shuffles, shuffle_partitions
 
 MAX_ITER = 1000
 TOLERANCE = 1e-7
+ROWS_PER_PART = 500_000
 
 
 def edge_shares(edges: DataFrame) -> DataFrame:
@@ -41,18 +43,21 @@ def edge_shares(edges: DataFrame) -> DataFrame:
     return with_sum.select("variant", "src", "dst", (F.col("w") / F.col("tot")).alias("share"))
 
 
-def _push(links: HotSplit, state: DataFrame, damping: float, tol: float) -> DataFrame:
-    """One round: ``state(variant, src, r, acc)`` -> the same one push later.
-    The link table holds a pseudo-link of every node to itself (share null),
-    on which the node's score so far travels, so that the state is read once
+def _push(links: HotSplit, state: DataFrame, runs: range, damping: float, tol: float) -> DataFrame:
+    """One round: ``state(src, r0.., acc0..)`` -> the same one push later.
+    The link table holds a pseudo-link of every node to itself (``own``),
+    on which the node's scores so far travel, so that the state is read once
     and a round stays one join and one aggregate."""
-    own = F.col("share").isNull()
-    sent = F.when(F.col("r") > F.lit(tol), F.lit(damping) * F.col("r") * F.col("share")).otherwise(F.lit(0.0))
-    moved = join_state(links, state).where(own | (F.col("r") > F.lit(tol))).select(
-        "variant", F.col("dst").alias("src"),
-        F.when(own, F.lit(0.0)).otherwise(sent).alias("r"),
-        F.when(own, F.col("acc")).otherwise(sent).alias("acc"))
-    return moved.groupBy("variant", "src").agg(F.sum("r").alias("r"), F.sum("acc").alias("acc"))
+    live = reduce(Column.__or__, [F.col(f"r{i}") > F.lit(tol) for i in runs])
+
+    def sent(i: int) -> Column:
+        return F.when(~F.col("own") & (F.col(f"r{i}") > F.lit(tol)),
+                      F.lit(damping) * F.col(f"r{i}") * F.col(f"s{i}")).otherwise(F.lit(0.0))
+    moved = join_state(links, state).where(F.col("own") | live).select(
+        F.col("dst").alias("src"), *[sent(i).alias(f"r{i}") for i in runs],
+        *[F.when(F.col("own"), F.col(f"acc{i}")).otherwise(F.lit(0.0)).alias(f"acc{i}") for i in runs])
+    got = moved.groupBy("src").agg(*[F.sum(f"{c}{i}").alias(f"{c}{i}") for c in ("r", "acc") for i in runs])
+    return got.select("src", *[f"r{i}" for i in runs], *[(F.col(f"acc{i}") + F.col(f"r{i}")).alias(f"acc{i}") for i in runs])
 
 
 def pagerank_many(nodes: DataFrame, variants: dict[str, tuple[DataFrame, bool]],
@@ -65,43 +70,50 @@ def pagerank_many(nodes: DataFrame, variants: dict[str, tuple[DataFrame, bool]],
     the frontier for the next rounds and, for every node that was reached,
     what it got (a delta, summed once at the end). Only rows of nodes that
     were reached are written, so late plans over a small frontier are small.
-    The links are written once, bucketed on ``(variant, src)`` into as many
-    buckets as a shuffle has partitions: a round's aggregate leaves its rows
-    where the next round's join wants them, so a round has one exchange and
-    never moves a link. Sources with a huge out-degree are split off
-    (``skew.split_hot``) and joined to a broadcast of their own rows (at most
-    ``max_hot_keys``), so no bucket holds a hub; a plan then makes one round,
+    The links are written once, bucketed on ``src`` into as many
+    buckets as a round's shuffle has partitions (by their number, not by the
+    session's setting, which may be far too many for a small graph): a round's
+    aggregate leaves its rows where the next round's join wants them, so a round
+    has one exchange and never moves a link. Sources with a huge out-degree are
+    split off (``skew.split_hot``) and joined to a broadcast of their own rows (at
+    most ``max_hot_keys``), so no bucket holds a hub; a plan then makes one round,
     as both parts read the frontier.
     """
-    spark = nodes.sparkSession
+    spark, runs = nodes.sparkSession, range(len(variants))
     weights = [(e.where(F.col("w") > 0) if weighted else e.withColumn("w", F.lit(1.0)))
-               .select(F.lit(n).alias("variant"), "src", "dst", F.col("w").cast("double").alias("w"))
-               for n, (e, weighted) in variants.items()]
+               .select(F.lit(i).alias("variant"), "src", "dst", F.col("w").cast("double").alias("w"))
+               for i, (e, weighted) in enumerate(variants.values())]
     shares = edge_shares(cut_lineage(reduce(DataFrame.unionByName, weights)))
-    start = cut_lineage(nodes.select(F.explode(F.array(*[F.lit(n) for n in variants])).alias("variant"),
-                                     F.col("guid").alias("src")))
-    known = start.select("src").distinct()
-    edges = cut_lineage(shares.join(known.select(F.col("src").alias("dst")), "dst", "left_semi")
-                        .select("variant", "src", "dst", "share"))
-    loops = start.select("variant", "src", F.col("src").alias("dst"), F.lit(None).cast("double").alias("share"))
-    links = split_hot(edges.unionByName(loops), ["variant", "src"], max_hot_keys, min_hot_degree,
-                      buckets=shuffle_partitions(spark))
+    start = cut_lineage(nodes.groupBy(F.col("guid").alias("src")).agg(F.count(F.lit(1)).cast("double").alias("rows")))
+    one = F.col("share")
+    edges = shares.join(start.select(F.col("src").alias("dst")), "dst", "left_semi").groupBy("src", "dst").agg(
+        *[F.coalesce(F.sum(F.when(F.col("variant") == i, one)), F.lit(0.0)).alias(f"s{i}") for i in runs])
+    loops = nodes.select(F.col("guid").alias("src"), F.col("guid").alias("dst"), *[F.lit(0.0).alias(f"s{i}") for i in runs], F.lit(True).alias("own"))
+    table, seen = cut_lineage_observed(edges.withColumn("own", F.lit(False)).unionByName(loops), n=F.count(F.lit(1)))
+    parts = min(shuffle_partitions(spark), max(spark.sparkContext.defaultParallelism, -(-seen["n"] // ROWS_PER_PART)))
     base = 1.0 - damping
-    frontier, reached, done = start.withColumn("r", F.lit(base)), [], 0
-    while done < max_iter:
-        state = frontier.select("variant", "src", "r", F.lit(0.0).alias("acc"))
-        rounds = min(1 if links.n_hot else cut_every, max_iter - done)
-        for _ in range(rounds):
-            state = _push(links, state, damping, tol)
-        got, seen = cut_lineage_observed(state.where((F.col("acc") > 0) | (F.col("r") > 0)),
-                                         live=F.count(F.when(F.col("r") > F.lit(tol), 1)))
-        done += rounds
-        reached.append(got.select("variant", "src", "acc"))
-        if not seen["live"]:
-            break
-        frontier = got.where(F.col("r") > F.lit(tol)).select("variant", "src", "r")
-    total = reduce(DataFrame.unionByName, [start.select("variant", "src", F.lit(base).alias("acc")), *reached])
-    return cut_lineage(total.groupBy("variant", F.col("src").alias("guid")).agg(F.sum("acc").alias("pagerank")))
+    with fixed_shuffles(spark, parts):
+        links = split_hot(table, ["src"], max_hot_keys, min_hot_degree, buckets=parts)
+        frontier, reached, done = start.select("src", *[(F.col("rows") * F.lit(base)).alias(f"r{i}") for i in runs]), [], 0
+        while done < max_iter:
+            state = frontier.select("src", *[f"r{i}" for i in runs], *[F.lit(0.0).alias(f"acc{i}") for i in runs])
+            rounds = min(1 if links.n_hot else cut_every, max_iter - done)
+            for _ in range(rounds):
+                state = _push(links, state, runs, damping, tol)
+            some = reduce(Column.__or__, [F.col(f"acc{i}") > 0 for i in runs])
+            live = reduce(Column.__or__, [F.col(f"r{i}") > F.lit(tol) for i in runs])
+            got, seen = cut_lineage_observed(state.where(some), live=F.count(F.when(live, 1)))
+            done += rounds
+            reached.append(got.select("src", *[f"acc{i}" for i in runs]))
+            if not seen["live"]:
+                break
+            frontier = got.where(live).select("src", *[f"r{i}" for i in runs])
+        first = start.select("src", *[(F.col("rows") * F.lit(base)).alias(f"acc{i}") for i in runs])
+        total = reduce(DataFrame.unionByName, [first, *reached]).groupBy("src").agg(
+            *[F.sum(f"acc{i}").alias(f"acc{i}") for i in runs])
+        each = F.explode(F.array(*[F.struct(F.lit(v).alias("variant"), F.col(f"acc{i}").alias("pagerank"))
+                                   for i, v in enumerate(variants)])).alias("x")
+        return cut_lineage(total.select("src", each).select("x.variant", F.col("src").alias("guid"), "x.pagerank"))
 
 
 def pagerank(nodes: DataFrame, edges: DataFrame, weighted: bool = False, damping: float = 0.85,
