@@ -47,17 +47,15 @@ def _push(links: HotSplit, state: DataFrame, runs: range, damping: float, tol: f
     """One round: ``state(src, r0.., acc0..)`` -> the same one push later.
     The link table holds a pseudo-link of every node to itself (``own``),
     on which the node's scores so far travel, so that the state is read once
-    and a round stays one join and one aggregate."""
-    live = reduce(Column.__or__, [F.col(f"r{i}") > F.lit(tol) for i in runs])
-
-    def sent(i: int) -> Column:
-        return F.when(~F.col("own") & (F.col(f"r{i}") > F.lit(tol)),
-                      F.lit(damping) * F.col(f"r{i}") * F.col(f"s{i}")).otherwise(F.lit(0.0))
-    moved = join_state(links, state).where(F.col("own") | live).select(
-        F.col("dst").alias("src"), *[sent(i).alias(f"r{i}") for i in runs],
-        *[F.when(F.col("own"), F.col(f"acc{i}")).otherwise(F.lit(0.0)).alias(f"acc{i}") for i in runs])
-    got = moved.groupBy("src").agg(*[F.sum(f"{c}{i}").alias(f"{c}{i}") for c in ("r", "acc") for i in runs])
-    return got.select("src", *[f"r{i}" for i in runs], *[(F.col(f"acc{i}") + F.col(f"r{i}")).alias(f"acc{i}") for i in runs])
+    and a round stays one join and one aggregate. Written as SQL expressions, few
+    steps a round: a plan of several rounds is analysed anew at each of its steps."""
+    least, d = ("null" if tol is None else f"double('{float(tol)!r}')"), f"double('{float(damping)!r}')"
+    live = " or ".join(f"r{i} > {least}" for i in runs)
+    sent = [f"case when not own and r{i} > {least} then {d} * r{i} * s{i} else 0D end as r{i}" for i in runs]
+    kept = [f"case when own then acc{i} else 0D end as acc{i}" for i in runs]
+    moved = join_state(links, state).where(f"own or {live}").selectExpr("dst as src", *sent, *kept)
+    return moved.groupBy("src").agg(*[F.expr(f"sum(r{i}) as r{i}") for i in runs],
+                                    *[F.expr(f"sum(acc{i}) + sum(r{i}) as acc{i}") for i in runs])
 
 
 def pagerank_many(nodes: DataFrame, variants: dict[str, tuple[DataFrame, bool]],
