@@ -34,6 +34,7 @@ BINS = 32
 PARTITIONS = 64                 # of the training rows, at least
 ROWS_PER_PARTITION = 500_000
 SLICE = 20_000                  # rows that are scored at a time
+MASK_ROWS = 512                 # rows whose masks of all trees are kept at a time
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(16)])
 
 
@@ -241,16 +242,67 @@ def fit_forest(train: DataFrame, features: list[str], label: str = "label", tree
     return model
 
 
+def _leaf_masks(model: Forest) -> tuple[list[np.ndarray], np.ndarray]:
+    """Per feature: for each bin and tree, the leaves that a row of that bin can reach
+    as bits, from the left; and each tree's values by leaf: trees x 2^depth. A row
+    is in the first leaf that is left by all its features (Lucchese et al.:
+    "QuickScorer", 2015). A leaf above the last level is the leaf at its left edge."""
+    trees, depth = len(model.feature), model.feature.shape[1].bit_length() - 2
+    n = 1 << depth
+    masks = [np.full((len(e) + 1, trees), (1 << n) - 1, np.uint64) for e in model.edges]
+    values, rows = np.zeros((trees, n)), np.arange(trees)
+    at = np.tile(np.arange(n, 2 * n), (trees, 1))           # where each last node's path ends
+    for level in range(depth - 1, -1, -1):
+        for node in range(1 << level, 2 << level):
+            width = n >> level                              # leaves under the node, the first of them
+            first = node * width - n
+            ends = model.feature[:, node] < 0
+            at[ends, first:first + width] = node
+            left = np.uint64(((1 << (width // 2)) - 1) << first)
+            for tree in rows[~ends]:
+                f = model.feature[tree, node]
+                masks[f][model.cut[tree, node] + 1:, tree] &= ~left
+    values = model.p[rows[:, None], at]
+    return masks, values
+
+
+def _first_bit(x: np.ndarray) -> np.ndarray:
+    return np.bitwise_count((x & (~x + x.dtype.type(1))) - x.dtype.type(1))
+
+
 def _scored(model: Forest):
     depth = model.feature.shape[1].bit_length() - 2
 
+    def walked(bins: np.ndarray) -> np.ndarray:
+        p = np.zeros(len(bins))
+        for feature, cut, share in zip(model.feature, model.cut, model.p, strict=True):
+            p += share[_walk(bins, feature, cut, depth)]
+        return p
+
+    def masked():
+        masks, values = _leaf_masks(model)
+        kind, (trees, n) = np.uint32 if depth <= 5 else np.uint64, values.shape
+        used = [(f, m.astype(kind)) for f, m in enumerate(masks) if len(m) > 1 and (m != m[0]).any()]
+        values, base = values.ravel(), np.arange(trees) * n
+
+        def run(bins: np.ndarray) -> np.ndarray:
+            out = np.zeros(len(bins))
+            for at in range(0, len(bins), MASK_ROWS):
+                part = bins[at:at + MASK_ROWS]
+                reach = np.full((len(part), trees), (1 << n) - 1, kind)
+                for f, m in used:
+                    reach &= m[part[:, f]]
+                # added up tree by tree, as if the trees were walked
+                out[at:at + MASK_ROWS] = np.add.reduce(values[np.ascontiguousarray((_first_bit(reach) + base).T)], axis=0)
+            return out
+        return run
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = masked() if depth <= 6 else walked
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE):
                 b = whole.slice(at, SLICE)
-                x, p = _bins(_matrix(b, model.features), model.edges), np.zeros(b.num_rows)
-                for feature, cut, share in zip(model.feature, model.cut, model.p, strict=True):
-                    p += share[_walk(x, feature, cut, depth)]
+                p = total(_bins(_matrix(b, model.features), model.edges))
                 yield pa.RecordBatch.from_arrays(
                     [*b.columns, pa.array(p / len(model.feature))], [*b.schema.names, "probability"])
     return run
