@@ -55,22 +55,26 @@ def er_shared_ids(id_edges: DataFrame, id_degree: DataFrame, max_degree: int = 1
     with the ids of ``dictionary.py`` where labels may share guids.
     Output: ``(start_guid, end_guid)`` with start < end.
     """
-    member = id_edges.select(F.col("start_guid").alias("user"), F.col("end_guid").alias("id"), "rel").distinct()
+    member = id_edges.select(F.col("start_guid").alias("user"), F.col("end_guid").alias("id"), "rel")
+    # a user's identifiers once, and whether a card or device tells of them: the one
+    # shuffle of all edges; all else reads this table
+    ids = cut_lineage(member.groupBy("user", "id").agg(F.max(F.col("rel").isin("HAS_CC", "USED")).alias("own")))
     low_ids = id_degree.where(F.col("degree") <= max_degree).select(F.col("guid").alias("id"))
-    low = (member.where(F.col("rel").isin("HAS_CC", "USED"))
-           .join(low_ids, "id", "left_semi").select("user", "id"))
+    low = cut_lineage(ids.where("own").join(low_ids, "id", "left_semi").select("user", "id"))
     cand = (low.withColumnRenamed("user", "u1")
             .join(low.withColumnRenamed("user", "u2"), "id")
             .where(F.col("u1") < F.col("u2"))
             .select("u1", "u2").distinct())
-    ids = member.select("user", "id").distinct()
-    n_ids = ids.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
+    ids = ids.select("user", "id")
+    n_ids = cut_lineage(ids.groupBy("user").agg(F.count(F.lit(1)).alias("n")))
+    # pairs that are too few for the rule's count on one side alone need no look
     c = (cand.join(n_ids.select(F.col("user").alias("u1"), F.col("n").alias("n1")), "u1")
-         .join(n_ids.select(F.col("user").alias("u2"), F.col("n").alias("n2")), "u2"))
+         .join(n_ids.select(F.col("user").alias("u2"), F.col("n").alias("n2")), "u2")
+         .where(F.least("n1", "n2") >= min_shared))
     small_first = F.col("n1") <= F.col("n2")
-    c = c.select("u1", "u2",
-                 F.when(small_first, F.col("u1")).otherwise(F.col("u2")).alias("s"),
-                 F.when(small_first, F.col("u2")).otherwise(F.col("u1")).alias("o"))
+    c = cut_lineage(c.select("u1", "u2",
+                             F.when(small_first, F.col("u1")).otherwise(F.col("u2")).alias("s"),
+                             F.when(small_first, F.col("u2")).otherwise(F.col("u1")).alias("o")))
     expanded = c.join(ids.select(F.col("user").alias("s"), "id"), "s")
     shared = expanded.join(ids.select(F.col("user").alias("o"), "id"), ["o", "id"], "left_semi")
     counted = shared.groupBy("u1", "u2").agg(F.count(F.lit(1)).alias("cnt"))

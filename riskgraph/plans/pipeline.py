@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from riskgraph.functions.exprs import inverse_degree_weight, ratio
 from riskgraph.operators import degree as deg
 from riskgraph.operators.components import wcc
-from riskgraph.operators.dictionary import node_dictionary, user_ids, with_end_ids
+from riskgraph.operators.dictionary import edge_ends, node_dictionary, user_ids, with_end_ids
 from riskgraph.operators.graph import Graph
 from riskgraph.operators.joinback import join_back
 from riskgraph.operators.louvain import louvain, symmetric_entries
@@ -79,16 +79,21 @@ class FraudPipeline:
     def p2p(self) -> DataFrame:
         return self.g.edges["P2P"]
 
+    @cached_property
+    def edge_ends(self) -> DataFrame:
+        """(end_label, end_key, __n) of the identifiers that edges name, written once."""
+        return edge_ends(self.id_edges)
+
     @cached_property
     def node_ids(self) -> DataFrame:
         """(label, guid, id) of every node, written once."""
-        return cut_lineage(node_dictionary(self.g))
+        return cut_lineage(node_dictionary(self.g, self.edge_ends))
 
     @cached_property
     def typed_id_edges(self) -> DataFrame:
         """Identifier edges with ``end_id``, which tells a card from a device of
         the same guid, written once."""
-        return cut_lineage(with_end_ids(self.id_edges, self.node_ids))
+        return cut_lineage(with_end_ids(self.id_edges, self.node_ids, self.edge_ends))
 
     # ---- part 1: identifier degrees ----------------------------------
     def id_degrees(self) -> DataFrame:
@@ -113,8 +118,9 @@ class FraudPipeline:
 
     @cached_property
     def _shared_ids(self) -> DataFrame:
-        """Rule-2 pairs, written once."""
-        e = self.typed_id_edges.join(self.users.select(F.col("guid").alias("start_guid")), "start_guid", "left_semi")
+        """Rule-2 pairs, written once. Degrees are needed of cards and devices alone."""
+        e = (self.typed_id_edges.where(F.col("end_label").isin("Card", "Device"))
+             .join(self.users.select(F.col("guid").alias("start_guid")), "start_guid", "left_semi"))
         d = e.groupBy(F.col("end_id").alias("guid")).agg(F.count(F.lit(1)).alias("degree"))
         typed = self.typed_id_edges.select("start_guid", F.col("end_id").alias("end_guid"), "rel")
         return cut_lineage(er_shared_ids(typed, d, HUB_MAX_DEGREE, MIN_SHARED_IDS))

@@ -156,7 +156,8 @@ def overlay_graph(spark: SparkSession, sf_dir: str, parallel_edges: str = "keep"
         edges["REFERRED"] = edges["REFERRED"].distinct()
     return Graph(nodes=nodes, edges=edges,
                  id_edges=id_edges.select("start_guid", "end_guid", "rel", "end_label"),
-                 meta={"sf_dir": sf_dir, "parallel_edges": parallel_edges})
+                 meta={"sf_dir": sf_dir, "parallel_edges": parallel_edges,
+                       "nodes_of_edges": tuple(_LABEL.values())})
 
 
 def overlay_tables(spark: SparkSession, sf_dir: str, g: Graph | None = None) -> dict[str, DataFrame]:
