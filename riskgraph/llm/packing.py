@@ -40,23 +40,31 @@ from riskgraph.llm.common import cut_lineage, strings
 
 WINDOW, OPEN, MERGE, CLOSING = 4096, 16, 64, 2
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 700_000       # entries of each of a worker's two caches, some 200 bytes each
+CACHE_BYTES = 140 << 20     # of each of a worker's two caches, about
+ENTRY_BYTES = 200           # of a dictionary entry with its key and value, about
 
 _OTHER = re.compile("[^\t\n\r -~À-ÖØ-öø-įı-ňŊ-ž]|<\\|")
 
 
 class _Cache(dict):
-    """Text -> its ids as bytes of 16-bit numbers. Cleared when full, so its
-    memory is bounded."""
+    """Text -> its ids as bytes of 16-bit numbers. What has been asked for since
+    half of ``limit`` bytes came in is kept, and what was asked for in the half
+    before is at hand, so its memory is bounded and frequent words stay."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, limit: int):
         super().__init__()
-        self.encode = encode
+        self.encode, self.limit, self.used, self.before = encode, limit, 0, {}
 
     def __missing__(self, text: str) -> bytes:
-        if len(self) >= CACHE_WORDS:
+        ids = self.before.get(text)
+        if ids is None:
+            ids = self.encode(text)
+        if self.used > self.limit // 2:
+            self.before = self.copy()
             self.clear()
-        ids = self[text] = self.encode(text)
+            self.used = 0
+        self[text] = ids
+        self.used += ENTRY_BYTES + len(text) + len(ids)
         return ids
 
 
@@ -72,18 +80,18 @@ class Encoder:
     tokenizer's own pre-tokenizer pattern and given to its model. That, and the
     cache, are used only if a probe shows the same ids."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = t = Tokenizer.from_file(path)
         mapped = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.bytes = {c: mapped.pre_tokenize_str(chr(c))[0][0] for c in range(0xA1, 0x180)}
-        self.pieces = _Cache(lambda p, tokenize=t.model.tokenize: _packed([x.id for x in tokenize(p)]))
+        self.pieces = _Cache(lambda p, tokenize=t.model.tokenize: _packed([x.id for x in tokenize(p)]), cache_bytes)
         self.pattern = _split_pattern(t)
         small = t.get_vocab_size() <= 65536
         self.by_word = small and all(self._whole(p) == [i for w in p.split() for i in self._whole(w)] for p in PROBES)
         quick = self.pattern is not None and all(
             _packed(self._whole(w)) == self._quick(w) for p in PROBES for w in p.split())
-        self.words = _Cache(self._quick if quick else lambda w: _packed(self._whole(w)))
+        self.words = _Cache(self._quick if quick else lambda w: _packed(self._whole(w)), cache_bytes)
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -115,14 +123,14 @@ def _split_pattern(tokenizer):
     return regex.compile(pattern) if pattern and [x.get("type") for x in steps] == ["Split", "ByteLevel"] else None
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One per Python worker and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, cache_bytes: int = CACHE_BYTES) -> Encoder:
+    """One per Python worker, file and size of the caches."""
+    if (path, cache_bytes) not in _ENCODERS:
+        _ENCODERS[path, cache_bytes] = Encoder(path, cache_bytes)
+    return _ENCODERS[path, cache_bytes]
 
 
 class Packer:
@@ -200,9 +208,9 @@ COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id"
 SCHEMA = "doc_id {}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
-def _pack_task(path: str, window: int, slots: int, closing: int):
+def _pack_task(path: str, window: int, slots: int, closing: int, cache_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, rows = encoder(path), None
+        enc, rows = encoder(path, cache_bytes), None
         for b in batches:
             if rows is None:
                 rows = _Rows(TaskContext.get().partitionId() << 32, b.schema.field("doc_id").type)
@@ -234,15 +242,16 @@ def _merge_task(window: int):
 
 
 def pack(docs: DataFrame, tokenizer_path: str | None = None, window: int = WINDOW, open_windows: int = OPEN,
-         closing_id: int = CLOSING) -> DataFrame:
+         closing_id: int = CLOSING, cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """A row per piece: ``(doc_id, start, length, ids_crc32, doc_tokens,
-    sequence_id, offset)``."""
+    sequence_id, offset)``. ``cache_bytes``: of words' ids, about, in each of a
+    worker's two caches; less of it costs time alone."""
     if tokenizer_path is None:
         import public_tokenizers
         tokenizer_path = str(public_tokenizers.path(TOKENIZER))
     schema = SCHEMA.format(docs.schema["doc_id"].dataType.simpleString())
     packed = cut_lineage(docs.select("doc_id", "text").mapInArrow(
-        _pack_task(tokenizer_path, window, open_windows, closing_id), schema))
+        _pack_task(tokenizer_path, window, open_windows, closing_id, cache_bytes), schema))
     left = packed.where("ids is not null").withColumn("g", F.expr(f"shiftright(sequence_id, 32) div {MERGE}"))
     merged = left.groupBy("g").applyInArrow(lambda t: _merge_task(window)(t.drop_columns(["g"])), schema)
     return packed.where("ids is null").unionByName(merged).drop("ids")
