@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskgraph.operators.skew import join_state, split_hot
+from riskgraph.operators.skew import HotSplit, join_state, split_hot
 from riskgraph.session import cut_lineage, cut_lineage_observed
 
 
@@ -92,6 +92,20 @@ def first_moves(edges: DataFrame) -> DataFrame:
     return best.select("node", F.col("b.cv").alias("target"), (-F.col("b.ns")).alias("score"))
 
 
+def may_move(node: str, level: int, it: int):
+    """Whether the node may move in this round: a half of the nodes, by hash, in an
+    even round and the other half in the next."""
+    return F.pmod(F.xxhash64(F.col(node), F.lit(level), F.lit(it // 2)), F.lit(2)) == it % 2
+
+
+def weights_to_communities(links: HotSplit, comm: DataFrame, level: int, it: int) -> DataFrame:
+    """``(node, cv, kin)``: the weight from each node that may move in this round to
+    its neighbours' communities. The links of the other half are not read further."""
+    return (join_state(links, comm.select(F.col("node").alias("dst"), F.col("c").alias("cv")))
+            .where(may_move("src", level, it))
+            .groupBy(F.col("src").alias("node"), "cv").agg(F.sum("w").alias("kin")))
+
+
 def _one_level(edges: DataFrame, two_m: float, level: int, max_iter: int,
                tolerance: float,
                hot: tuple[int, int] = (10_000, 100_000)) -> tuple[DataFrame, int, float]:
@@ -122,14 +136,11 @@ def _one_level(edges: DataFrame, two_m: float, level: int, max_iter: int,
     total_moves, total_gain, last_moved, last_gained = 0, 0.0, 0, 0.0
     for it in range(max_iter):
         tot = comm.groupBy("c").agg(F.sum("k").alias("tot"))
-        kin = (join_state(links, comm.select(F.col("node").alias("dst"), F.col("c").alias("cv")))
-               .groupBy(F.col("src").alias("node"), "cv").agg(F.sum("w").alias("kin")))
-        best = best_moves(kin, comm, tot, m)
+        best = best_moves(weights_to_communities(links, comm, level, it), comm, tot, m)
         cur = comm.join(best, "node", "left").join(tot, "c")
         gain = (-F.col("b.ns") - F.col("kin_own") / F.lit(m)
                 + F.col("k") * (F.col("tot") - F.col("k")) / F.lit(2.0 * m * m))
-        eligible = F.pmod(F.xxhash64(F.col("node"), F.lit(level), F.lit(it // 2)), F.lit(2)) == it % 2
-        go = F.col("b").isNotNull() & (gain > F.lit(1e-12)) & eligible
+        go = F.col("b").isNotNull() & (gain > F.lit(1e-12))         # without b: may not move, or has no neighbours
         comm, r = cut_lineage_observed(
             cur.select("node", F.when(go, F.col("b.cv")).otherwise(F.col("c")).alias("c"), "k",
                        F.when(go, gain).alias("gain")),
