@@ -28,21 +28,22 @@ from riskgraph.session import cut_lineage, cut_lineage_observed
 
 def symmetric_entries(undirected: DataFrame | None = None, directed: DataFrame | None = None) -> DataFrame:
     """Weighted symmetric entries of (A + A^T) / 2 for directed edges and of
-    A for undirected ones; inputs are ``(src, dst, w)``."""
+    A for undirected ones; inputs are ``(src, dst, w)``. Each input is read once:
+    a pair's weights are summed up and then written both ways round."""
+    ends = [F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")]
     parts = []
     if undirected is not None:
-        parts.append(undirected.select("src", "dst", "w"))
-        parts.append(undirected.where(F.col("src") != F.col("dst"))
-                     .select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w"))
+        parts.append(undirected.where("src is not null and dst is not null").select(*ends, "w"))
     if directed is not None:
         half = F.when(F.col("src") == F.col("dst"), F.col("w")).otherwise(F.col("w") / 2)
-        parts.append(directed.select("src", "dst", half.alias("w")))
-        parts.append(directed.where(F.col("src") != F.col("dst"))
-                     .select(F.col("dst").alias("src"), F.col("src").alias("dst"), (F.col("w") / 2).alias("w")))
+        parts.append(directed.where("src is not null and dst is not null").select(*ends, half.alias("w")))
     e = parts[0]
     for p in parts[1:]:
         e = e.unionByName(p)
-    return e.groupBy("src", "dst").agg(F.sum("w").alias("w"))
+    one, other = F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    ways = F.when(F.col("src") == F.col("dst"), F.array(one)).otherwise(F.array(one, other))
+    return (e.groupBy("src", "dst").agg(F.sum("w").alias("w"))
+            .select(F.explode(ways).alias("x"), "w").select("x.src", "x.dst", "w"))
 
 
 def modularity_table(edges: DataFrame, assign: DataFrame) -> DataFrame:
@@ -73,6 +74,11 @@ def best_moves(kin: DataFrame, comm: DataFrame, tot: DataFrame, m: float) -> Dat
     ``(c, tot)``. The score is the part of the gain that depends on the target."""
     rows = (kin.join(comm, "node")
             .join(tot.select(F.col("c").alias("cv"), F.col("tot").alias("tot_d")), "cv"))
+    return _best_of(rows, m)
+
+
+def _best_of(rows: DataFrame, m: float) -> DataFrame:
+    """``best_moves`` of ``(node, c, k, cv, kin, tot_d)``."""
     score = F.col("kin") / F.lit(m) - F.col("k") * F.col("tot_d") / F.lit(2.0 * m * m)
     return rows.groupBy("node").agg(
         F.min(F.when(F.col("cv") != F.col("c"),
@@ -82,13 +88,17 @@ def best_moves(kin: DataFrame, comm: DataFrame, tot: DataFrame, m: float) -> Dat
 
 def first_moves(edges: DataFrame) -> DataFrame:
     """``(node, target, score)``: where each node with neighbours would go first,
-    from a partition in which every node is alone."""
+    from a partition in which every node is alone. Communities are nodes here, so
+    a link gets the degrees of its two ends once and serves both of them."""
     edges, obs = cut_lineage_observed(edges, s=F.sum("w"))
-    comm = cut_lineage(edges.groupBy(F.col("src").alias("node")).agg(F.sum("w").alias("k"))
-                       .select("node", "k", F.col("node").alias("c")))
-    kin = edges.where(F.col("src") != F.col("dst")).select(F.col("src").alias("node"), F.col("dst").alias("cv"),
-                                                           F.col("w").alias("kin"))
-    best = best_moves(kin, comm, comm.select("c", F.col("k").alias("tot")), (obs["s"] or 0.0) / 2.0)
+    k = cut_lineage(edges.groupBy("src").agg(F.sum("w").alias("k")))
+    end = lambda c: k.select(F.col("src").alias(c), F.col("k").alias(f"k_{c}"))
+    links = edges.where("src < dst").join(end("src"), "src").join(end("dst"), "dst")
+    way = lambda a, b: F.struct(F.col(a).alias("node"), F.col(b).alias("cv"), F.col(f"k_{a}").alias("k"),
+                                F.col(f"k_{b}").alias("tot_d"))
+    rows = (links.select(F.explode(F.array(way("src", "dst"), way("dst", "src"))).alias("x"), F.col("w").alias("kin"))
+            .select("x.*", "kin", F.col("x.node").alias("c")))
+    best = _best_of(rows, (obs["s"] or 0.0) / 2.0)
     return best.select("node", F.col("b.cv").alias("target"), (-F.col("b.ns")).alias("score"))
 
 

@@ -95,6 +95,17 @@ class FraudPipeline:
         the same guid, written once."""
         return cut_lineage(with_end_ids(self.id_edges, self.node_ids, self.edge_ends))
 
+    @cached_property
+    def owned_id_edges(self) -> DataFrame:
+        """(start_guid, end_id) of the card and device edges, which Louvain's graph
+        has: from ``typed_id_edges`` if these are written, else joined without the
+        IP edges and written once."""
+        owned = F.col("rel").isin("HAS_CC", "USED")
+        if "typed_id_edges" in self.__dict__:
+            return self.typed_id_edges.where(owned).select("start_guid", "end_id")
+        return cut_lineage(with_end_ids(self.id_edges.where(owned), self.node_ids, self.edge_ends)
+                           .select("start_guid", "end_id"))
+
     # ---- part 1: identifier degrees ----------------------------------
     def id_degrees(self) -> DataFrame:
         """(label, guid, degree, flaggedDegree) of every identifier."""
@@ -262,7 +273,7 @@ class FraudPipeline:
         one edge per pair)."""
         ids = self.node_ids
         nodes = ids.where(F.col("label").isin("User", "Card", "Device")).select(F.col("id").alias("node"))
-        und = (self.typed_id_edges.where(F.col("rel").isin("HAS_CC", "USED"))
+        und = (self.owned_id_edges
                .select(F.col("start_guid").cast("string").alias("u"), F.col("end_id").alias("dst"))
                .join(user_ids(ids, "u", "src"), "u").select("src", "dst", F.lit(1.0).alias("w")))
         pairs = self.p2p.select(F.col("start_guid").cast("string").alias("u1"),

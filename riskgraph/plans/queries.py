@@ -467,7 +467,7 @@ def louvain_modularity(spark, sf):
     _, edges = p.louvain_graph()
     fifteen = lambda c: F.floor(F.col(c).cast("bigint") / 15).cast("bigint").alias("community")
     users = p.node_ids.where(F.col("label") == "User").select(F.col("id").alias("node"), fifteen("guid"))
-    ids = (p.typed_id_edges.where(F.col("rel").isin("HAS_CC", "USED")).groupBy(F.col("end_id").alias("node"))
+    ids = (p.owned_id_edges.groupBy(F.col("end_id").alias("node"))
            .agg(F.min("start_guid").alias("first")).select("node", fifteen("first")))
     q = louvain_op.modularity_table(edges, users.unionByName(ids))
     return q.select(r6("weight").alias("weight"), "communities", r6(F.col("modularity") + F.lit(1e-12)).alias("modularity"))
