@@ -51,7 +51,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskgraph.llm.common import cut_lineage, mix64, segments, strings, word_hashes
+from riskgraph.llm.common import cut_lineage, mix64, releasing, segments, strings, word_hashes
 from riskgraph.operators.components import component_map
 
 K = 48
@@ -99,6 +99,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 def _sketcher(words: int, k: int):
     """Per text: signature, size and sketch."""
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
         for b in batches:
@@ -114,6 +115,7 @@ def _sketcher(words: int, k: int):
 
 def _full_sets(words: int):
     """Per ``(sig, text)``: the full set."""
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
         for b in batches:
@@ -126,6 +128,7 @@ def _full_sets(words: int):
 
 def _confirm(words: int, percent: int):
     """The pairs whose texts' full sets are similar enough."""
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
         for b in batches:
@@ -264,6 +267,7 @@ def _blocked(members: DataFrame, grams: DataFrame, name: str) -> DataFrame:
 
 def _link_blocks(percent: int):
     """The links between two blocks' members of different components."""
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(b.num_rows):

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskgraph.llm.common import cut_lineage, strings
+from riskgraph.llm.common import cut_lineage, releasing, strings
 
 WINDOW, OPEN, MERGE, CLOSING = 4096, 16, 64, 2
 TOKENIZER = "word_bpe_49k.json"
@@ -208,7 +208,8 @@ COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id"
 SCHEMA = "doc_id {}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
-def _pack_task(path: str, window: int, slots: int, closing: int, cache_bytes: int):
+def _pack_task(path: str, window: int, slots: int, closing: int, cache_bytes: int, keep: bool = True):
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, rows = encoder(path, cache_bytes), None
         for b in batches:
@@ -225,6 +226,8 @@ def _pack_task(path: str, window: int, slots: int, closing: int, cache_bytes: in
         if rows is not None:
             rows.emit(packer.merge(), rest=True)
             yield rows.batch()
+        if not keep:
+            _ENCODERS.pop((path, cache_bytes), None)
     return run
 
 
@@ -242,16 +245,17 @@ def _merge_task(window: int):
 
 
 def pack(docs: DataFrame, tokenizer_path: str | None = None, window: int = WINDOW, open_windows: int = OPEN,
-         closing_id: int = CLOSING, cache_bytes: int = CACHE_BYTES) -> DataFrame:
+         closing_id: int = CLOSING, cache_bytes: int = CACHE_BYTES, keep_encoder: bool = True) -> DataFrame:
     """A row per piece: ``(doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset)``. ``cache_bytes``: of words' ids, about, in each of a
-    worker's two caches; less of it costs time alone."""
+    worker's two caches; less of it costs time alone. ``keep_encoder``: whether a
+    worker holds the tokenizer and the caches for its next task; else it loads them anew."""
     if tokenizer_path is None:
         import public_tokenizers
         tokenizer_path = str(public_tokenizers.path(TOKENIZER))
     schema = SCHEMA.format(docs.schema["doc_id"].dataType.simpleString())
     packed = cut_lineage(docs.select("doc_id", "text").mapInArrow(
-        _pack_task(tokenizer_path, window, open_windows, closing_id, cache_bytes), schema))
+        _pack_task(tokenizer_path, window, open_windows, closing_id, cache_bytes, keep_encoder), schema))
     left = packed.where("ids is not null").withColumn("g", F.expr(f"shiftright(sequence_id, 32) div {MERGE}"))
     merged = left.groupBy("g").applyInArrow(lambda t: _merge_task(window)(t.drop_columns(["g"])), schema)
     return packed.where("ids is null").unionByName(merged).drop("ids")

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskgraph.llm.common import cut_lineage, strings
+from riskgraph.llm.common import cut_lineage, releasing, strings
 
 LABELLED = 20_000       # rows of labels that are used at most
 SAMPLE = 20_000         # texts on which the classifier is fitted at most
@@ -120,6 +120,7 @@ def _numbers(memo: _Memo, text: str) -> set[int]:
     return out
 
 
+@releasing
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In how many toxic and how many clean rows each feature is; counts go
     out whenever they fill ``COUNT_BYTES``."""
@@ -181,6 +182,7 @@ def voter_of(feature: str) -> int:
 def _vote(features: list[str]):
     voters = [voter_of(f) for f in features]
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _wanted(features)
         for b in (part for whole in batches for part in _slices(whole)):
@@ -302,6 +304,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, sample: in
 
 
 def _score_votes(model: Model):
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             scores = [model.score(h) for h in b.column("hits").to_pylist()]
@@ -319,6 +322,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
 
 
 def _filter_texts(model: Model, threshold: float):
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _wanted(model.features)
         for b in (part for whole in batches for part in _slices(whole)):
