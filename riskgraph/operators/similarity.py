@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskgraph.operators.ranges import numbered, running_sums
-from riskgraph.session import cut_lineage, importable
+from riskgraph.session import cut_lineage, importable, written
 
 
 SMALL = 1024            # holders of an item that are compared at once
@@ -75,11 +75,10 @@ def _compared(cutoff: float, top_k: int):
     again)``. ``again``: both hold large items too, so the score is to be counted
     anew; of the other partners a node names its ``top_k`` best."""
     def run(key: tuple, mine: pa.Table, lists: pa.Table) -> pa.Table:
-        entries = lists.column("entries").combine_chunks()
-        ends = entries.offsets.to_numpy().astype(np.int64)
-        flat = entries.values
-        w, part_tot, part_rest = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("w", "tot", "R"))
-        coded = flat.field("node").dictionary_encode()
+        holders, *numbers = (lists.column(c).combine_chunks() for c in ("nodes", "ws", "tots", "Rs"))
+        ends = np.r_[0, np.cumsum(pc.list_value_length(holders).to_numpy().astype(np.int64))]
+        w, part_tot, part_rest = (c.flatten().to_numpy(zero_copy_only=False) for c in numbers)
+        coded = holders.flatten().dictionary_encode()
         sort = pc.sort_indices(coded.dictionary).to_numpy()
         ids, rank = coded.dictionary.take(pa.array(sort)), np.empty(len(sort), np.int64)
         rank[sort] = np.arange(len(sort))
@@ -130,17 +129,25 @@ def paired(members: DataFrame, sizes: DataFrame, totals: DataFrame, cutoff: floa
     """``(a, b, similarity)``, ``a < b``: of the pairs that share an item of at most
     ``small`` holders and reach ``cutoff`` the ``top_k`` best of every node, and all of two
     nodes that hold larger items too."""
-    importable(members.sparkSession)
+    spark = members.sparkSession
+    importable(spark)
     held = cut_lineage(members.join(sizes.where((F.col("size") > 1) & (F.col("size") <= small)), "item")
                        .select("node", "item", "w", "size"))
     blocks, alone = dealt(held, totals, cost)
-    mine = cut_lineage(held.join(blocks, "node").select("blk", "node", "item", "w"))
-    lists = cut_lineage(held.join(totals, "node").groupBy("item").agg(
-        F.collect_list(F.struct("node", "w", "tot", "R")).alias("entries")))         # small ones at most
-    read = cut_lineage(mine.select("blk", "item").distinct().join(lists, "item"))
     kind = members.schema["node"].dataType.simpleString()
-    found = cut_lineage(mine.groupBy("blk").cogroup(read.groupBy("blk")).applyInArrow(
-        _compared(cutoff, top_k), f"a {kind}, b {kind}, similarity double, again boolean"))
+
+    def lists() -> DataFrame:
+        return held.join(totals, "node").groupBy("item").agg(
+            F.collect_list(F.struct("node", "w", "tot", "R")).alias("e"))               # small ones at most
+
+    def compared() -> DataFrame:
+        mine = cut_lineage(held.join(blocks, "node").select("blk", "node", "item", "w"))
+        read = written(spark, lambda: mine.select("blk", "item").distinct().join(cut_lineage(lists()), "item"))
+        # an array a column: a shuffled entry is as long as its values
+        read = read.select("blk", "item", *[F.col(f"e.{c}").alias(f"{c}s") for c in ("node", "w", "tot", "R")])
+        return mine.groupBy("blk").cogroup(read.groupBy("blk")).applyInArrow(
+            _compared(cutoff, top_k), f"a {kind}, b {kind}, similarity double, again boolean")
+    found = written(spark, compared)
     few = held.join(alone.withColumnRenamed("node", "a"), F.col("node") == F.col("a"), "left_semi").select(F.col("node").alias("a"), "item")
     heavy = few.join(held.select(F.col("node").alias("b"), "item"), "item").where(F.col("a") != F.col("b"))
     recount = cut_lineage(found.where("again").select("a", "b").unionByName(heavy.select(
@@ -208,7 +215,7 @@ def scored_pairs(members: DataFrame, cutoff: float, top_k: int, small: int = SMA
     ``members``: written distinct ``(node, item, w)`` with finite w > 0."""
     sizes = cut_lineage(members.groupBy("item").agg(F.count(F.lit(1)).alias("size")))
     totals = cut_lineage(_totals(members, sizes, small))
-    scored = cut_lineage(paired(members, sizes, totals, cutoff, top_k, small))
+    scored = written(members.sparkSession, lambda: paired(members, sizes, totals, cutoff, top_k, small))
     large = sizes.where(F.col("size") > small).select("item")
     if not large.take(1):
         return scored
@@ -312,12 +319,16 @@ def node_similarity(members: DataFrame, cutoff: float = 0.01, top_k: int = 10) -
     m = members.groupBy("node", "item").agg(F.max("w").alias("w"))
     inf = float("inf")
     finite_nodes = m.groupBy("node").agg(F.max("w").alias("mx")).where(F.col("mx") < inf).select("node")
-    # members and copy groups are read by several branches: written once
-    m = cut_lineage(m.join(finite_nodes, "node", "left_semi").where(F.col("w") > 0))
-    groups = cut_lineage(copy_groups(m))
-    reps = groups.where(F.col("node") == F.col("grp")).select("node")
-    m_rep = cut_lineage(m.join(reps, "node", "left_semi"))
-    scored = scored_pairs(m_rep, cutoff, top_k)
+    spark = members.sparkSession
+
+    def represented() -> tuple[DataFrame, DataFrame]:
+        """Copy groups and their representatives' members, each read by several branches."""
+        own = cut_lineage(m.join(finite_nodes, "node", "left_semi").where(F.col("w") > 0))
+        groups = cut_lineage(copy_groups(own))
+        reps = groups.where(F.col("node") == F.col("grp")).select("node")
+        return groups, cut_lineage(own.join(reps, "node", "left_semi"))
+    groups, m_rep = written(spark, represented)
+    scored = written(spark, lambda: scored_pairs(m_rep, cutoff, top_k))
     rep_pairs = (scored.select(F.col("a").alias("g1"), F.col("b").alias("g2"), "similarity")
                  .unionByName(scored.select(F.col("b").alias("g1"), F.col("a").alias("g2"), "similarity")))
     smallest = _smallest_members(groups, top_k + 1)

@@ -23,7 +23,7 @@ from riskgraph.operators.louvain import louvain, symmetric_entries
 from riskgraph.operators.pagerank import pagerank_many
 from riskgraph.operators.resolve import er_p2p_shared_card, er_shared_ids, label_fraud_risk
 from riskgraph.operators.similarity import node_similarity
-from riskgraph.session import cut_lineage
+from riskgraph.session import cut_lineage, kept, staying
 from riskgraph.sources.overlay import overlay_graph
 
 # The workload parameters of the analysis.
@@ -82,18 +82,21 @@ class FraudPipeline:
     @cached_property
     def edge_ends(self) -> DataFrame:
         """(end_label, end_key, __n) of the identifiers that edges name, written once."""
-        return edge_ends(self.id_edges)
+        with staying():
+            return edge_ends(self.id_edges)
 
     @cached_property
     def node_ids(self) -> DataFrame:
         """(label, guid, id) of every node, written once."""
-        return cut_lineage(node_dictionary(self.g, self.edge_ends))
+        ends = self.edge_ends
+        return kept(self.spark, lambda: node_dictionary(self.g, ends))
 
     @cached_property
     def typed_id_edges(self) -> DataFrame:
         """Identifier edges with ``end_id``, which tells a card from a device of
         the same guid, written once."""
-        return cut_lineage(with_end_ids(self.id_edges, self.node_ids, self.edge_ends))
+        ids, ends = self.node_ids, self.edge_ends
+        return kept(self.spark, lambda: with_end_ids(self.id_edges, ids, ends))
 
     @cached_property
     def owned_id_edges(self) -> DataFrame:
@@ -103,8 +106,8 @@ class FraudPipeline:
         owned = F.col("rel").isin("HAS_CC", "USED")
         if "typed_id_edges" in self.__dict__:
             return self.typed_id_edges.where(owned).select("start_guid", "end_id")
-        return cut_lineage(with_end_ids(self.id_edges.where(owned), self.node_ids, self.edge_ends)
-                           .select("start_guid", "end_id"))
+        ids, ends = self.node_ids, self.edge_ends
+        return kept(self.spark, lambda: with_end_ids(self.id_edges.where(owned), ids, ends).select("start_guid", "end_id"))
 
     # ---- part 1: identifier degrees ----------------------------------
     def id_degrees(self) -> DataFrame:
@@ -125,7 +128,7 @@ class FraudPipeline:
     def _p2p_shared_card(self) -> DataFrame:
         """Rule-1 pairs, written once (read by components, PageRank and
         the features)."""
-        return cut_lineage(er_p2p_shared_card(self.p2p, self.g.edges["HAS_CC"]))
+        return kept(self.spark, lambda: er_p2p_shared_card(self.p2p, self.g.edges["HAS_CC"]))
 
     @cached_property
     def _shared_ids(self) -> DataFrame:
@@ -134,7 +137,7 @@ class FraudPipeline:
              .join(self.users.select(F.col("guid").alias("start_guid")), "start_guid", "left_semi"))
         d = e.groupBy(F.col("end_id").alias("guid")).agg(F.count(F.lit(1)).alias("degree"))
         typed = self.typed_id_edges.select("start_guid", F.col("end_id").alias("end_guid"), "rel")
-        return cut_lineage(er_shared_ids(typed, d, HUB_MAX_DEGREE, MIN_SHARED_IDS))
+        return kept(self.spark, lambda: er_shared_ids(typed, d, HUB_MAX_DEGREE, MIN_SHARED_IDS))
 
     def resolution_edges(self) -> DataFrame:
         """Undirected user-user edges for WCC: both rule outputs."""
@@ -145,13 +148,15 @@ class FraudPipeline:
     @cached_property
     def wcc_labels(self) -> DataFrame:
         """(guid, wccId), materialised once."""
-        return cut_lineage(wcc(self.users, self.resolution_edges()))
+        edges = self.resolution_edges()
+        return kept(self.spark, lambda: wcc(self.users, edges))
 
     @cached_property
     def users_risk(self) -> DataFrame:
         """(guid, fraudMoneyTransfer, wccId, fraudRisk), materialised once."""
         u = self.users.select("guid", "fraudMoneyTransfer")
-        return cut_lineage(label_fraud_risk(u, self.wcc_labels))
+        labels = self.wcc_labels
+        return kept(self.spark, lambda: label_fraud_risk(u, labels))
 
     def risk_degrees(self) -> DataFrame:
         """Identifier degrees w.r.t. all, flagged and fraud-risk users."""
@@ -167,9 +172,9 @@ class FraudPipeline:
         fraudRiskDegree), written once. Degrees are joined back on the identifier,
         hubs over salts."""
         u = self.users_risk.select(F.col("guid").alias("start_guid"), "fraudRisk")
-        e = cut_lineage(self.typed_id_edges.select("start_guid", "end_guid", "end_label", "end_id").join(u, "start_guid"))
-        return cut_lineage(join_back(e, ["end_id"], degree=F.count(F.lit(1)),
-                                     fraudRiskDegree=F.sum("fraudRisk").cast("bigint")))
+        typed = self.typed_id_edges.select("start_guid", "end_guid", "end_label", "end_id")
+        return kept(self.spark, lambda: join_back(cut_lineage(typed.join(u, "start_guid")), ["end_id"], degree=F.count(F.lit(1)),
+                                                  fraudRiskDegree=F.sum("fraudRisk").cast("bigint")))
 
     def risk_touched_ids(self) -> DataFrame:
         """Identifiers with an edge from a fraud-risk user: (label, guid)."""
@@ -191,7 +196,7 @@ class FraudPipeline:
         m = self.fraud_shared_id_edges().select(
             F.col("start_guid").alias("node"), F.col("end_id").alias("item"),
             F.col("inverseDegreeWeight").alias("w"))
-        return cut_lineage(node_similarity(m, SIMILARITY_CUTOFF, SIMILARITY_TOP_K))
+        return kept(self.spark, lambda: node_similarity(m, SIMILARITY_CUTOFF, SIMILARITY_TOP_K))
 
     # ---- part 4: features --------------------------------------------
     def pagerank_variants(self) -> dict:
