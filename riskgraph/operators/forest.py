@@ -34,6 +34,7 @@ BINS = 32
 PARTITIONS = 64                 # of the training rows, at least
 ROWS_PER_PARTITION = 500_000
 SLICE = 20_000                  # rows that are scored at a time
+KNOWN = 100_000                 # scores of rows alike that are at hand
 MASK_ROWS = 512                 # rows whose masks of all trees are kept at a time
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(16)])
 
@@ -270,6 +271,32 @@ def _first_bit(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count((x & (~x + x.dtype.type(1))) - x.dtype.type(1))
 
 
+def _alike_once(total, edges: list[np.ndarray]):
+    """``total``, a score by rows of bins, where rows of the same bins are scored once;
+    the scores of up to ``KNOWN`` kinds of rows are at hand from one call to the next."""
+    sizes = [len(e) + 1 for e in edges]
+    if not sizes or math.prod(sizes) >= 1 << 63:
+        return total
+    factor = np.cumprod([1, *sizes[:-1]], dtype=np.int64)
+    known, score = np.zeros(0, np.int64), np.zeros(0)
+
+    def run(bins: np.ndarray) -> np.ndarray:
+        nonlocal known, score
+        keys, first, where = np.unique(bins @ factor, return_index=True, return_inverse=True)
+        at = np.searchsorted(known, keys)
+        hit = np.append(known, -1)[at] == keys
+        out = np.empty(len(keys))
+        out[hit], new = score[at[hit]], np.flatnonzero(~hit)
+        if len(new):
+            out[new] = total(bins[first[new]])
+            if len(known) + len(new) > KNOWN:
+                known, score = keys, out
+            else:
+                known, score = np.insert(known, at[new], keys[new]), np.insert(score, at[new], out[new])
+        return out[where]
+    return run
+
+
 def _scored(model: Forest):
     depth = model.feature.shape[1].bit_length() - 2
 
@@ -289,16 +316,18 @@ def _scored(model: Forest):
             out = np.zeros(len(bins))
             for at in range(0, len(bins), MASK_ROWS):
                 part = bins[at:at + MASK_ROWS]
+                if len(part) == 1:                          # numpy adds up a single column in another order
+                    part = np.repeat(part, 2, axis=0)
                 reach = np.full((len(part), trees), (1 << n) - 1, kind)
                 for f, m in used:
                     reach &= m[part[:, f]]
                 # added up tree by tree, as if the trees were walked
-                out[at:at + MASK_ROWS] = np.add.reduce(values[np.ascontiguousarray((_first_bit(reach) + base).T)], axis=0)
+                out[at:at + MASK_ROWS] = np.add.reduce(values[np.ascontiguousarray((_first_bit(reach) + base).T)], axis=0)[:len(out) - at]
             return out
         return run
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = masked() if depth <= 6 else walked
+        total = _alike_once(masked() if depth <= 6 else walked, model.edges)
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE):
                 b = whole.slice(at, SLICE)
